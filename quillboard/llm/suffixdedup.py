@@ -30,7 +30,7 @@ GRAM = 40
 SIDE = LENGTH - GRAM  # the most context that a string has on either side of its anchor
 HOT = 20_000
 BUCKET = 500_000
-SORTED = 40_000
+SORTED = 15_000
 PLANES = ("gram", "context", "doc", "high", "tag", "pos")
 KINDS = (np.uint32, np.uint64, np.uint32, np.uint32, np.uint32, np.uint32)
 
@@ -56,7 +56,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     row = np.searchsorted(ends, at, "right") - 1
     left, right = np.minimum(SIDE, at - ends[row]), np.minimum(SIDE, ends[row + 1] - at - GRAM)
     context = mix((p[at + GRAM + right] - p[at - left]) * inverse[at - left] + (left * (SIDE + 1) + right).astype(np.uint64))
-    return row, at - ends[row], gram[at], context
+    return row, at - ends[row], mix(gram[at]), context  # mixed again: the least hashes are all small
 
 
 def _rows(bucket: np.ndarray, planes: list[np.ndarray]) -> pa.RecordBatch:
@@ -280,12 +280,12 @@ def repeats(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
         for b in batches:
             data, offsets = utf8(b.column("text"))
             doc, tag = b.column("doc_id").to_numpy(), b.column("tag").to_numpy()
-            for lo, hi in chunks(offsets):
+            for lo, hi in chunks(offsets, 1 << 18):
                 row, pos, gram, context = anchors(data, offsets[lo : hi + 1])
                 if len(row):
                     held.append((gram, context, doc[lo + row], tag[lo + row].astype(np.int64), pos))
                     n += len(row)
-                if n > 1_000_000:
+                if n > 300_000:
                     yield from _deal(held, bits)
                     held, n = [], 0
         if held:
