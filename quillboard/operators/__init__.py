@@ -1,0 +1 @@
+"""Operators of the score board and the forecast scorer."""
