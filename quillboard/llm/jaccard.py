@@ -10,8 +10,8 @@ powers of two; a set just above a band's border also enters the band below.
 Codes that very many sets share (a passage, a near copy) pair nothing. A set is settled if
 it has more unshared codes than it can lose to a partner. The few others meet once more by
 single shingles; those that are still unsettled, members of large groups of near copies, are
-compared with the group's pivot, and, where that leaves two of them in different components,
-with those that the triangle inequality does not rule out.
+compared with the group's pivot, its most central set, and, where that leaves some of them in
+different components, block by block with the rest of the group.
 
 Set comparisons use 64-bit hashes of the shingles.
 """
@@ -31,7 +31,7 @@ from quillboard.llm._scratch import Scratch
 WIDTH = 5
 NUMERATOR, DENOMINATOR = 75, 100
 HOT = 32  # a code that more sets share pairs nothing by itself
-PIVOTS = 8
+BLOCK = 512  # sets of a pivot's group that are compared at once
 BUCKET_CODES = 500_000
 TOKENS, FIRST = 0, 6  # the band of small sets, whose shingles are parts of their own; the first band of 2**6 parts
 MULTIPLIERS = mix(np.arange(101, 101 + WIDTH, dtype=np.uint64))
@@ -41,7 +41,7 @@ REF = np.uint64((1 << 40) - 1)
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     data, offsets = utf8(column)
-    for lo, hi in chunks(offsets, 2 << 20):
+    for lo, hi in chunks(offsets, 1 << 19):
         words, bounds = word_hashes(data, offsets[lo : hi + 1])
         spread = sum((words[k : len(words) - WIDTH + 1 + k] * m for k, m in enumerate(MULTIPLIERS)), np.uint64(0)) if len(words) >= WIDTH else np.empty(0, np.uint64)
         codes = mix(spread + np.uint64(WIDTH))
@@ -119,7 +119,7 @@ def _dealt(codes: list[np.ndarray], refs: list[np.ndarray], bits: int) -> pa.Rec
 
 
 DEALT = "bucket long, code binary, ref binary, top binary"
-MET = "kind int, a long, b long, n long"  # 0: a pair and its common codes; 1: a pivot, a set, the pivot's number; 2: a set and its hot codes
+MET = "kind int, a long, b long, n long"  # 0: a pair and its common codes; 1: a pivot and a set; 2: a set and its hot codes
 
 
 def _meet(table: pa.Table, pivots: bool) -> pa.Table:
@@ -149,10 +149,9 @@ def _meet(table: pa.Table, pivots: bool) -> pa.Table:
     rows = [(np.zeros(len(x)), x, y, n)]
     hot = sizes > HOT
     if pivots and hot.any():
-        for k in range(PIVOTS):  # the references of a code are in order
-            pivot, other = np.repeat(ref[starts[hot] + k], sizes[hot]), ref[np.repeat(hot, sizes)]
-            x, y, _ = _tallied(pivot[pivot < other], other[pivot < other])
-            rows.append((np.ones(len(x)), x, y, np.full(len(x), k)))
+        pivot, other = np.repeat(ref[starts[hot]], sizes[hot]), ref[np.repeat(hot, sizes)]  # the references of a code are in order
+        x, y, n = _tallied(pivot[pivot < other], other[pivot < other])
+        rows.append((np.ones(len(x)), x, y, n))
     x, n = np.unique(ref[np.repeat(hot, sizes)], return_counts=True)
     rows.append((np.full(len(x), 2), x, x, n))
     kind, x, y, n = (np.concatenate(c).astype(np.int64) for c in zip(*rows, strict=True))
@@ -184,7 +183,7 @@ def _first_meeting(documents: DataFrame, codes: int, scratch: Scratch) -> DataFr
                         codes.append(_sketch(s, band))
                         refs.append(np.full(len(codes[-1]), _ref(key, band), np.uint64))
                         held += len(codes[-1])
-                if held > 1_500_000:
+                if held > 500_000:
                     yield _dealt(codes, refs, bits)
                     codes, refs, held = [], [], 0
         if codes:
@@ -194,17 +193,22 @@ def _first_meeting(documents: DataFrame, codes: int, scratch: Scratch) -> DataFr
     return scratch.table("met", dealt.groupBy("bucket").applyInArrow(lambda t: _meet(t, False), MET))
 
 
+def _central_ref(unshared: float, key: int) -> int:
+    """A reference whose order puts sets with fewer unshared codes first: they make the better pivots."""
+    return min(255, int(unshared * 256)) << 32 | _ref(key, TOKENS) & 0xFFFFFFFF
+
+
 def _second_meeting(sets: DataFrame, codes: int, scratch: Scratch) -> DataFrame:
     bits = _bits(codes)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             codes = [mix(np.frombuffer(x, np.uint64) + np.uint64(1)) for x in b.column("codes").to_pylist()]
-            refs = [np.full(len(c), _ref(k, TOKENS), np.uint64) for c, k in zip(codes, b.column("hi").to_pylist(), strict=True)]
+            refs = [np.full(len(c), k, np.uint64) for c, k in zip(codes, b.column("ref").to_pylist(), strict=True)]
             for lo in range(0, len(codes), 2000):
                 yield _dealt(codes[lo : lo + 2000], refs[lo : lo + 2000], bits)
 
-    return scratch.table("met2", sets.select("hi", "codes").mapInArrow(deal, DEALT).groupBy("bucket").applyInArrow(lambda t: _meet(t, True), MET))
+    return scratch.table("met2", sets.select("ref", "codes").mapInArrow(deal, DEALT).groupBy("bucket").applyInArrow(lambda t: _meet(t, True), MET))
 
 
 def _sets(documents: DataFrame) -> DataFrame:
@@ -236,6 +240,48 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "codes_a", "codes_b").mapInArrow(run, "a long, b long, shared long, total long")
 
 
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links between two blocks of a pivot's group, as far as they join components.
+
+    Sets that both link with the pivot need no look; by the triangle inequality neither do
+    sets whose distances to the pivot are more than a link's distance apart.
+    """
+    table = table.combine_chunks()
+    rep, d, near, part, block = (table.column(c).to_numpy() for c in ("rep", "d", "near", "component", "block"))
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("codes").chunk(0)]
+    left, right = np.flatnonzero(block == table.column("x")[0].as_py()), np.flatnonzero(block == table.column("y")[0].as_py())
+    size = np.array([len(x) for x in sets])
+    flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(flat, kind="stable")
+    new = np.concatenate(([True], flat[order][1:] != flat[order][:-1]))
+    often = np.diff(np.append(np.flatnonzero(new), len(flat)))
+    code = np.empty(len(flat), np.int64)
+    code[order] = np.where(np.repeat(often > 1, often), np.cumsum(np.repeat(often > 1, often) & new) - 1, -1)
+    shared, total = np.zeros((len(left), len(right)), np.float32), int(np.count_nonzero(often > 1))
+    for lo in range(0, total, 4096):  # a slice of the codes that occur twice at a time
+        some = np.flatnonzero((code >= lo) & (code < lo + 4096))
+        has = np.zeros((len(sets), min(4096, total - lo)), np.float32)
+        has[row[some], code[some] - lo] = 1
+        shared += has[left] @ has[right].T
+    union = size[left][:, None] + size[right][None] - shared
+    link = (shared * DENOMINATOR >= union * NUMERATOR) & (part[left][:, None] != part[right][None]) & ~(near[left][:, None] & near[right][None])
+    link &= np.abs(d[left][:, None] - d[right][None]) <= 1 - NUMERATOR / DENOMINATOR + 1e-9
+    parent = {int(p): int(p) for p in np.unique(part)}
+
+    def root(p: int) -> int:
+        while parent[p] != p:
+            parent[p] = p = parent[parent[p]]
+        return p
+
+    found = []
+    for i, j in zip(*np.nonzero(link), strict=True):
+        a, b = root(int(part[left[i]])), root(int(part[right[j]]))
+        if a != b:
+            parent[a] = b
+            found.append((int(rep[left[i]]), int(rep[right[j]])))
+    return pa.table({"u": pa.array([f[0] for f in found], pa.int64()), "v": pa.array([f[1] for f in found], pa.int64())})
+
+
 def shingle_join(documents: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, n_shingles, component_id of every document.
 
@@ -270,9 +316,9 @@ def shingle_join(documents: DataFrame, scratch: Scratch) -> DataFrame:
 
     refs = scratch.table("refs", with_hot(refs, met))
     pairs = scratch.table("pairs", close_pairs(met, refs))
-    unsettled = scratch.table("unsettled", refs.where("parts - loss - hot < 1").select("rep").distinct())
+    unsettled = scratch.table("unsettled", refs.where("parts - loss - hot < 1").groupBy("rep").agg(F.min((F.col("parts") - F.col("hot")) / F.col("parts")).alias("unshared")))
 
-    involved = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(unsettled).distinct()
+    involved = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(unsettled.select("rep")).distinct()
     needed = classes.join(involved, "rep", "left_semi").select("rep", "hi", "lo")
     texts = docs.join(needed.select("rep").distinct(), F.col("doc_id") == F.col("rep"))
     sets = scratch.table("sets", _sets(texts.select("rep", "text")).join(needed, ["rep", "hi", "lo"], "left_semi").dropDuplicates(["rep"]))
@@ -289,37 +335,26 @@ def shingle_join(documents: DataFrame, scratch: Scratch) -> DataFrame:
     if unsettled.isEmpty():
         parts = joined(edges, "first")
     else:
-        loose = classes.join(unsettled, "rep", "left_semi").select("rep", "n", "hi")
-        again = sets.join(unsettled, "rep", "left_semi")
+        ref = F.udf(_central_ref, "long")
+        loose = scratch.table("loose", classes.join(unsettled, "rep").select("rep", "n", ref("unshared", "hi").alias("ref")))
+        again = sets.join(loose, "rep").select("ref", "codes")
         met2 = _second_meeting(again, loose.agg(F.sum("n")).first()[0], scratch)
-        ref = F.udf(lambda k: _ref(k, TOKENS), "long")
-        refs2 = scratch.table("refs2", with_hot(loose.select(ref("hi").alias("ref"), "rep", "n", F.col("n").alias("parts")), met2))
+        refs2 = scratch.table("refs2", with_hot(loose.select("ref", "rep", "n", F.col("n").alias("parts")), met2))
         losing = F.expr(f"(n + n * {DENOMINATOR} div {NUMERATOR}) * {DENOMINATOR - NUMERATOR} div {DENOMINATOR + NUMERATOR}")
         still = refs2.where(F.col("n") - losing - F.col("hot") < 1).select(F.col("ref").alias("b"))
-        around = met2.where("kind = 1").join(still, "b", "left_semi").groupBy(F.col("a").alias("ref_a"), F.col("b").alias("ref_b")).agg(F.min("n").alias("number"))
+        around = met2.where("kind = 1").join(still, "b", "left_semi").select(F.col("a").alias("ref_a"), F.col("b").alias("ref_b")).distinct()
         spokes = around.join(refs2.select(F.col("ref").alias("ref_a"), F.col("rep").alias("a")), "ref_a").join(refs2.select(F.col("ref").alias("ref_b"), F.col("rep").alias("b")), "ref_b").where("a != b")
-        spokes = scratch.table("spokes", spokes.select("a", "b", "number"))
-        stars = scratch.table("stars", _verified(spokes.where("number = 0").select("a", "b"), sets))
+        stars = scratch.table("stars", _verified(spokes.select("a", "b").distinct(), sets))
         edges = edges.union(edges_of(_verified(close_pairs(met2, refs2), sets), "second")).union(edges_of(stars, "stars"))
         parts = joined(edges, "stars")
-        part_of = lambda x: parts.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
-
-        def apart(pairs: DataFrame) -> DataFrame:
-            """Of pairs, those in different components that can link by size."""
-            size = lambda x: classes.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"))
-            pairs = pairs.join(part_of("a"), "a", "left").join(part_of("b"), "b", "left").where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b"))
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            return pairs.join(size("a"), "a").join(size("b"), "b").where(fits).select("a", "b")
-
-        edges = edges.union(edges_of(_verified(apart(spokes.where("number > 0").select("a", "b")), sets), "spokes"))
-        parts = joined(edges, "spokes")
-        # What is still apart around a pivot: a link needs distances to the pivot within a quarter of each other.
-        far = stars.select(F.col("a").alias("pivot"), F.col("b").alias("x"), (1 - F.col("shared") / F.col("total")).alias("d"), F.expr(linked).alias("near"))
-        far = far.join(parts.select(F.col("node").alias("x"), "component"), "x", "left").select("pivot", "x", "d", "near", F.coalesce("component", "x").alias("c"))
-        rest = far.where("not near").select("pivot", F.col("x").alias("a"), F.col("d").alias("d_a"), F.col("c").alias("c_a"))
-        every = far.select("pivot", F.col("x").alias("b"), F.col("d").alias("d_b"), F.col("c").alias("c_b"), "near")
-        left = rest.join(every, "pivot").where((F.col("c_a") != F.col("c_b")) & (F.abs(F.col("d_a") - F.col("d_b")) <= 1 - NUMERATOR / DENOMINATOR + 1e-9) & (F.col("near") | (F.col("a") < F.col("b"))))
-        late = edges_of(_verified(apart(left.select("a", "b").distinct()), sets), "late")
+        # What is still apart around a pivot is compared block by block.
+        far = stars.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), (1 - F.col("shared") / F.col("total")).alias("d"), F.expr(linked).alias("near"))
+        far = far.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        groups = far.groupBy("pivot").agg(F.count("*").alias("size"), F.count_if(~F.col("near")).alias("loose")).where("loose > 0")
+        dealt = far.join(groups.select("pivot", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "pivot").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("x"), F.greatest("block", j).alias("y")))
+        dealt = dealt.select("pivot", "rep", "d", "near", "component", "block", F.explode(meets).alias("m")).select("pivot", "m.x", "m.y", "rep", "d", "near", "component", "block")
+        late = scratch.table("late", dealt.join(sets.select("rep", "codes"), "rep").groupBy("pivot", "x", "y").applyInArrow(_block_links, "u long, v long"))
         if not late.isEmpty():
             parts = joined(edges.union(late), "late")
 
