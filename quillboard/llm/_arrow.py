@@ -66,7 +66,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, block: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word of each row, and the n + 1 bounds of the rows' words.
 
     Works block by block of bytes, so a very long text needs little more than its own size.

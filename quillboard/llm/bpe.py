@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000  # words; runs, which hold less, half of it
 END = 256  # a word's last byte b stands as chr(END + b) where the vocabulary marks word ends
 WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
@@ -90,7 +90,7 @@ class Merges:
     def fits(self, a: int, b: int) -> bool:
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) > CACHE_WORDS:
                 self.pairs.clear()
             known = self.pairs[a, b] = self._apart(a, b, float("inf"))
         return known
@@ -124,12 +124,12 @@ class Merges:
 class _Runs(dict):
     """Ids, as little-endian 32-bit bytes, of runs of text between white space."""
 
-    def __init__(self, make):
+    def __init__(self, make, most=CACHE_WORDS):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
 
     def __missing__(self, run):
-        if len(self) > CACHE_WORDS:
+        if len(self) > self.most:
             self.clear()
         value = self[run] = self.make(run)
         return value
@@ -150,7 +150,7 @@ class WordCodec:
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(pattern)
         self.word_ids = _Runs(lambda w: np.array(self.merges.encode(w.encode()), "<u4").tobytes())
-        self.run_ids = _Runs(self._run)
+        self.run_ids = _Runs(self._run, CACHE_WORDS // 2)
         names = {k: t for t, k in spec["model"]["vocab"].items()} | {k: t for t, k in self.special.items()}
         pieces = [names.get(k, "").encode() + b" " for k in range(max(names) + 1)]
         self.offsets = np.concatenate(([0], np.cumsum([len(p) for p in pieces])))
