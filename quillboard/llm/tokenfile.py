@@ -31,7 +31,7 @@ MAGIC = b"QBTOKEN1"
 HEADER = struct.Struct("<8sIIIIQ")  # magic, bytes of an id, buckets, slots, documents, ids
 DIRECT = 1 << 31  # a seed with this bit names the slot of a bucket's only key
 SEED = np.uint64(0x9E3779B97F4A7C15)
-CACHE_PIECES = 500_000
+CACHE_PIECES = 600_000
 PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 OTHER_WHITE = re.compile(r"[^\S \n]")
 

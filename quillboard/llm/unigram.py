@@ -37,7 +37,7 @@ class Counter:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         self.unknown = min(s for _, s in pieces) - UNKNOWN_PENALTY
-        self.counted = _Runs(self.count)
+        self.counted = _Runs(self.count, 500_000)
 
     def count(self, run: str) -> tuple[int, float]:
         """Pieces and score of the best segmentation of one word, its space mark included."""
