@@ -267,11 +267,13 @@ def _covered(n: int, marks: list[tuple[int, int]]) -> np.ndarray:
 def repeats(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """The documents with a tag, and (doc_id, tag, marks) of those with repeated strings."""
     docs = documents.withColumn("doc_id", documents["doc_id"].cast("long"))
-    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+    unique = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
+    if unique:
         docs = docs.withColumn("tag", F.lit(0))
     else:  # rows that share a doc_id: equal texts are one document, others follow each other
         docs = docs.withColumn("tag", F.when(F.col("doc_id").isNull(), 0).otherwise(F.dense_rank().over(Window.partitionBy("doc_id").orderBy("text")) - 1))
     known = docs.where("doc_id is not null").select("doc_id", "tag", "text")
+    known = known if unique else known.dropDuplicates(["doc_id", "tag"])
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, min(31, int(np.ceil(np.log2(max(1, size / 30 / BUCKET))))))
 

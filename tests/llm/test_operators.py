@@ -1,0 +1,288 @@
+"""Each operator against a plain version, with nulls, empty and long texts, ties and repeats."""
+
+import hashlib
+import io
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+from quillboard.llm import bpe, embedding, jaccard, license, media, mixing, quality, suffixdedup, tokenfile, unigram  # noqa: E402
+from quillboard.llm._graph import connected_components  # noqa: E402
+from quillboard.llm._scratch import Scratch  # noqa: E402
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words string, slot string"
+WORDS = "ash bee cat dog elm fox gnu hen ivy jay kid law map nut oak pig rat sea tea urn".split()
+
+
+def prose(seed, n=80):
+    r = np.random.default_rng(seed)
+    return " ".join(WORDS[k] for k in r.integers(0, len(WORDS), n))
+
+
+PASSAGE = prose(1)
+TEXTS = [None, "", "  \n", "one", "Two words", PASSAGE, PASSAGE, PASSAGE.upper(), prose(2) + " " + PASSAGE, PASSAGE + " " + prose(3), PASSAGE + " tail", "ab" * 300, prose(4, 9000), "Released under the MIT License.\nCC BY cc by", "ünï <|endoftext|> ' x\u001cΣΣ", "x" * 70000]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(k, t, "en" if k % 3 else None, f"s{k % 3}" if k % 5 else None, len(t) if t else None, "clash", "clash") for k, t in enumerate(TEXTS)]
+    return spark.createDataFrame([*rows, rows[5], (None, PASSAGE, None, None, None, None, None)], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.where("false")
+
+
+def by_id(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+def test_media(docs, none):
+    rows = media.media_digest(docs).collect()
+    assert len(rows) == len(TEXTS) + 2 and media.media_digest(none).count() == 0
+    for r in rows:
+        raw = (PASSAGE if r["doc_id"] is None else TEXTS[r["doc_id"]] or "").encode()
+        padded = raw + b" " * (-len(raw) % 192 or (0 if raw else 192))
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-16:]))
+        assert r["media_bytes"] == len(padded) + 44 and r["feature"].startswith("audio/wav;")
+
+
+def test_sniff(spark):
+    import gzip
+    import zipfile
+
+    z = io.BytesIO()
+    with zipfile.ZipFile(z, "w") as f:
+        f.writestr("a.txt", "hello")
+    zipped, wav, gz = z.getvalue(), media.to_wav(b"abc" * 64), gzip.compress(b"hello" * 50)
+    assert media.sniff(zipped)[:2] == ("application/zip", len(zipped))
+    assert media.sniff(gz + b"rest")[:2] == ("application/gzip", len(gz))
+    assert media.sniff(b"text RIFF and BM without structure")[0] == "application/octet-stream"
+    carved = media.sniff(b"junk" + wav + b"more" + gz)[2]
+    assert [(s, n, k) for s, n, k in carved] == [(4, len(wav), "audio/wav"), (8 + len(wav), len(gz), "application/gzip")]
+    df = spark.createDataFrame([(bytearray(wav), "text/plain"), (None, None)], "data binary, declared string")
+    got = media.sniff_media(df, "data", "declared").collect()
+    assert [(r["detected_type"], r["corrected"]) for r in got] == [("audio/wav", True), ("application/octet-stream", False)]
+
+
+def shingles(text):
+    w = re.findall("[^\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+
+def components(sets):
+    parent = {k: k for k in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return {k: find(k) for k in sets}
+
+
+def test_jaccard(spark, docs, none):
+    sets = {k: shingles(t) for k, t in enumerate(TEXTS)}
+    rows = jaccard.shingle_join(docs, Scratch(spark, "t")).collect()
+    assert len(rows) == len(TEXTS) + 2
+    want = components(sets)
+    assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows} == {(k, len(s), want[k]) for k, s in sets.items()} | {(None, len(sets[5]), None)}
+    assert jaccard.shingle_join(none, Scratch(spark, "t")).count() == 0
+
+
+def test_jaccard_of_a_large_group_of_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "HOT", 4)
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    r, base, texts = np.random.default_rng(5), prose(9, 160).split(), []
+    for k in range(60):
+        w = list(base)
+        for at in r.integers(0, len(w), int(r.integers(0, 9))):
+            w[at] = f"w{r.integers(0, 1000)}"
+        texts.append(" ".join(w))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = components({k: shingles(t) for k, t in enumerate(texts)})
+    assert {x["doc_id"]: x["component_id"] for x in jaccard.shingle_join(df, Scratch(spark, "t")).collect()} == want
+
+
+def removed(texts):
+    seen, out = set(), {}
+    for k, t in enumerate(texts):
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for s in range(len(b) - 99):
+            if b[s : s + 100] in seen:
+                gone[s : s + 100] = True
+            seen.add(b[s : s + 100])
+        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        out[k] = (len(b), int(gone.sum()), int(gone[:1].sum() + np.count_nonzero(gone[1:] & ~gone[:-1])), hashlib.sha256(kept).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("hot", [20_000, 1])
+def test_suffix_dedup(spark, docs, none, monkeypatch, hot):
+    monkeypatch.setattr(suffixdedup, "HOT", hot)
+    rows = suffixdedup.remove_repeats(docs, Scratch(spark, "t")).collect()
+    assert len(rows) == len(TEXTS) + 2
+    got = {r["doc_id"]: tuple(r)[1:] for r in rows}
+    assert {k: v for k, v in got.items() if k is not None} == removed(TEXTS)
+    assert got[None][1] == 0 and suffixdedup.remove_repeats(none, Scratch(spark, "t")).count() == 0
+    left = by_id(suffixdedup.remove_repeats(docs, Scratch(spark, "t"), keep=True))
+    assert left[5]["text"] == PASSAGE and left[6]["text"] == "" and left[0]["text"] is None and left[5]["slot"] == "clash"
+
+
+def test_embedding(spark):
+    r = np.random.default_rng(3)
+    x = r.normal(size=(300, 16))
+    x[100:200] = x[0] + r.normal(size=(100, 16)) * 0.1
+    x[200:210] = x[5]
+    x[210] = 0
+    rows = [(k, k % 2 if k != 50 else None, [float(np.float32(c)) for c in v]) for k, v in enumerate(x)] + [(300, 0, None), (301, 0, [1.0, None]), (302, 0, [float("nan")] * 16), (None, 0, [1.0] * 16), (5, 1, [float(np.float32(c)) for c in x[5]])]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")
+    got = embedding.near_vectors(df, Scratch(spark, "t")).collect()
+    assert len(got) == len(rows)
+    v = np.array([row[2] for row in rows[:210]] + [rows[-1][2]], np.float64)
+    ids, labels = [*range(210), 5], [row[1] for row in rows[:210]] + [1]
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    same = np.array([[a == b and a is not None for b in labels] for a in labels])
+    links = ((u @ u.T >= 0.98) & same).sum(1) - np.array([lab is not None for lab in labels])
+    by = {r["vec_id"]: r["n_links"] for r in got if r["vec_id"] is not None}
+    assert {i: by[i] for i in ids} == dict(zip(ids, links.tolist(), strict=True))
+    assert all(r["n_links"] == 0 for r in got if r["vec_id"] in (None, 50, 210, 300, 301, 302))
+    assert embedding.near_vectors(df.where("false"), Scratch(spark, "t")).count() == 0
+
+
+def test_token_files(spark, docs, none):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, scratch = Tokenizer.from_file(path), Scratch(spark, "t")
+    manifest = tokenfile.write_token_files(docs, path, f"{scratch.path}/ids", 2, scratch, shard_bytes=4000)
+    rows = sorted(tokenfile.read_token_files(manifest).collect(), key=lambda r: r["start"])
+    order = [(None, PASSAGE), *sorted([*enumerate(TEXTS), (5, PASSAGE)], key=lambda x: x[0])]
+    start = 0
+    assert manifest.count() > 2 and len(rows) == len(order)
+    for r, (k, t) in zip(rows, order, strict=True):
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 2]
+        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (k, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    for path in [r["path"] for r in manifest.collect()]:
+        with tokenfile._open(path, "r") as f:
+            shard = tokenfile.Shard(f)
+            known = [(k, x.tolist()) for k, _, x in shard.scan() if k is not None]
+            assert all(shard.get(k).tolist() == next(x for j, x in known if j == k) for k, _ in known)
+            assert shard.get(10**12) is None
+    empty = Scratch(spark, "t")
+    assert tokenfile.read_token_files(tokenfile.write_token_files(none, public_tokenizers.path("byte_bpe_50k.json"), f"{empty.path}/ids", 2, empty)).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 1000])
+def test_perfect_hash(n):
+    keys = np.arange(n, dtype=np.int64) * 977 - 5
+    assert sorted(tokenfile.build_index(keys)[1].tolist()) == list(range(n))
+
+
+def test_quality(spark):
+    d, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    held_out = labels.where("doc_id % 3 = 0")
+    scores = quality.quality_scores(d, labels.where("doc_id % 3 <> 0"))
+    right = scores.join(held_out, "doc_id").selectExpr("avg(cast(accepted = (quality = 1) as int))").first()[0]
+    assert right >= 0.95 and scores.count() == d.count()
+
+
+def test_quality_edges(spark, docs, none):
+    labels = spark.createDataFrame([(1, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    assert all(r["accepted"] for r in quality.quality_scores(docs, labels).collect())
+    some = spark.createDataFrame([(k, k % 2, 0) for k in range(12)], "doc_id long, quality int, toxic int")
+    assert quality.quality_scores(docs, some).count() == len(TEXTS) + 2
+    assert quality.quality_scores(none, some).count() == 0
+    assert quality.quality_scores(docs, some, keep=True).columns == docs.columns
+
+
+def test_mixing(spark, docs, none):
+    got = mixing.mix_sources(docs, {"": 1, "s0": 2, "s1": 3, "s2": 4}, block_docs=1).collect()
+    assert len(got) == len(TEXTS) + 2 and all(r["release"] <= r["slot"] < r["deadline"] for r in got)
+    assert len({r["slot"] for r in got}) == len(got) and mixing.mix_sources(none).count() == 0
+    d = spark.range(3000).selectExpr("id doc_id", "case when id % 3 < 2 then 'hot' else concat('s', id % 11) end source")
+    rows = sorted(mixing.mix_sources(d, block_docs=1).where("in_mix").collect(), key=lambda r: r["slot"])
+    held = sum(r["source"] == "hot" for r in rows) / len(rows)
+    assert len([r for r in rows if r["source"] != "hot"]) == 1000 and abs(held - 0.25) < 0.02
+
+
+def test_edf_keeps_every_share(spark):
+    parts = {"a": 503, "b": 250, "c": 130, "d": 100, "e": 17}
+    slots = {r["slot"]: r["source"] for r in mixing.edf_period(spark, parts).collect()}
+    done = dict.fromkeys(parts, 0)
+    for t in range(1000):
+        done[slots[t]] += 1
+        assert all(abs(done[s] - parts[s] * (t + 1) / 1000) < 1 for s in parts)
+
+
+def test_unigram(docs, none):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = Tokenizer(models.Unigram(unigram.vocabulary(path), 0, True))
+    library.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.Metaspace(prepend_scheme="always")])
+    for r in unigram.count_tokens(docs.where("doc_id < 15"), path).collect():
+        assert r["n_tokens"] == len(library.encode(TEXTS[r["doc_id"]] or "", add_special_tokens=False).ids)
+    assert unigram.count_tokens(none, path).count() == 0
+
+
+def test_license(docs, none):
+    rows = by_id(license.license_scan(docs))
+    r = rows[13]
+    assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == (9, 3, 3, 7, "cc-by,mit")
+    assert rows[0]["n_words"] == 0 and rows[0]["first_word"] is None and rows[0]["labels"] == ""
+    assert license.license_scan(docs).count() == len(TEXTS) + 2 and license.license_scan(none).count() == 0
+
+
+def test_license_join_against_all_pairs(spark):
+    r = np.random.default_rng(2)
+    lines = []
+    for _, t in license.TEMPLATES:
+        w = t.split()
+        lines += [" ".join(w[k] for k in r.permutation(len(w))[: len(w) - cut]) for cut in range(4)]
+    got = {(x["block"], x["template"]) for x in license.template_matches(spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")).collect()}
+    want = {(i, k) for i, line in enumerate(lines) for k, (_, t) in enumerate(license.TEMPLATES) if len(set(line.split()) & set(t.split())) >= license.THRESHOLD * len(set(t.split()))}
+    assert got == want
+
+
+def test_bpe(docs, none):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    for r in bpe.bpe_digest(docs.where("doc_id is not null"), path, with_ids=True).collect():
+        ids = library.encode(TEXTS[r["doc_id"]] or "", add_special_tokens=False).ids
+        assert r["ids"] == ids and r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    assert bpe.bpe_digest(none, path).count() == 0 and bpe.bpe_encode(docs, path).count() == len(TEXTS) + 2
+
+
+def test_components(spark):
+    edges = [(k, k + 1) for k in range(50)] + [(100, 101), (101, 100), (7, 7), (None, 3)]
+    got = connected_components(spark.createDataFrame(edges, "u long, v long"), Scratch(spark, "t")).collect()
+    assert {r["node"]: r["component"] for r in got} == {k: 0 for k in range(51)} | {100: 100, 101: 100}
+
+
+def test_pipeline(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    names, before = docs.columns, docs.count()
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = Scratch(spark, "p").table("t", stage(spark, docs, "/root/testdata/sf0.001"))
+        assert docs.count() <= before and (k == 4 or docs.columns == names)
+        before = docs.count()
+    assert before > 100
