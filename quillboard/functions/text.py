@@ -26,3 +26,16 @@ def moving_ttr(words: Column, window: int, step: int) -> Column:
     ratios = F.transform(starts, lambda i: F.size(F.array_distinct(F.slice(words, i + 1, F.lit(window)))) / window)
     mean = F.aggregate(ratios, F.lit(0.0), lambda a, x: a + x) / F.size(ratios)
     return F.when(n <= window, type_token_ratio(words)).otherwise(mean)
+
+
+def words(text: Column) -> Column:
+    """Runs of other than white space."""
+    return F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " ")
+
+
+def consonant_skeleton(word: Column) -> Column:
+    """The consonant sounds of a word: spellings of one sound made equal, vowels but the first letter dropped, doubles squeezed."""
+    w = F.regexp_replace(F.lower(word), "[^a-z]", "")
+    for spelt, sound in (("ph", "f"), ("ck", "k"), ("x", "ks"), ("q", "k"), ("c", "k"), ("z", "s")):
+        w = F.replace(w, F.lit(spelt), F.lit(sound))
+    return F.regexp_replace(F.regexp_replace(w, "(?<=.)[aeiouy]", ""), r"(.)\1+", "$1")

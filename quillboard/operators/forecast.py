@@ -54,3 +54,16 @@ def latest_before(rows: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("person").orderBy(micros).rangeBetween(Window.unboundedPreceding, -1)
     least = F.max(F.struct(F.col("ts"), (-F.col("id")).alias("k"), F.col("value").alias("v"))).over(earlier)
     return rows.select("id", "person", F.round(least["v"], 6).alias("prior_value"), (-least["k"]).alias("prior_id"))
+
+
+def join_outcomes(rows: DataFrame, resolutions: DataFrame, priors: DataFrame, withdrawn: DataFrame, restated: DataFrame, stale_before: Column) -> DataFrame:
+    """Each forecast with its resolution, its prior and the first reason why it does not score.
+
+    All sides meet on id by equi joins. Precedence: withdrawn, restated, not eligible, stale,
+    no resolution, already public, unresolvable, no prior; else scored.
+    """
+    out = rows.join(resolutions, "id", "left").join(priors, "id", "left")
+    out = out.join(withdrawn.select("id").distinct().withColumn("withdrawn", F.lit(True)), "id", "left").join(restated.select("id").distinct().withColumn("restated", F.lit(True)), "id", "left")
+    why = F.when(F.col("withdrawn"), "withdrawn").when(F.col("restated"), "restated").when(~F.col("eligible"), F.concat(F.lit("not_eligible:"), F.col("reason")))
+    why = why.when(F.col("judged") < stale_before, "stale").when(F.col("outcome").isNull(), "no_resolution").when(F.col("public"), "already_public")
+    return out.withColumn("state", why.when(F.col("outcome") == "unresolvable", "unresolvable").when(F.col("prior").isNull(), "no_prior").otherwise("scored"))

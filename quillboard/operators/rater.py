@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 DIMENSIONS = ("d1", "d2", "d3")
@@ -100,3 +101,32 @@ def one_way_icc(rows: DataFrame, group: str, value: str) -> DataFrame:
     msb, msw = "(b - s * s / n) / (m - 1)", "(q - b) / (n - m)"
     n0 = "(n - kk / n) / (m - 1)"
     return t.select(F.col("m").alias("groups"), "n", r6(F.expr("sqrt((q - s * s / n) / (n - 1))")).alias("sd"), r6(F.expr(f"greatest(0.0D, ({msb} - {msw}) / ({msb} + ({n0} - 1) * {msw}))")).alias("icc"))
+
+
+def venue_effects(rows: DataFrame, value: str, least: int = 8, most_venues: int = 1000) -> DataFrame:
+    """Points that a venue adds with the person held fixed: least squares of person + venue, centred, 3 places.
+
+    Spark sums (person, venue) cells and reduces them to one row for each pair of venues, person
+    effects eliminated; the driver solves that system, of at most `most_venues` squared. A venue
+    of under `least` rows has no effect.
+    """
+    per = rows.groupBy("person", "venue").agg(F.count("*").alias("n"), F.sum(value).alias("s"))
+    size = per.groupBy("venue").agg(F.sum("n").alias("rows"), F.count("*").alias("people"))
+    cells = per.join(size.where(F.col("rows") >= least).select("venue"), "venue")
+    whole = Window.partitionBy("person")
+    cells = cells.select("person", "venue", "n", F.col("n").cast("double").alias("x"), "s", F.sum("n").over(whole).alias("pn"), F.sum("s").over(whole).alias("ps"))
+    right = cells.groupBy("venue").agg(F.sum("n").alias("n"), F.sum(F.col("s") - F.col("x") * F.col("ps") / F.col("pn")).alias("b"))
+    names = [r["venue"] for r in right.select("venue").orderBy("venue").limit(most_venues + 1).collect()]
+    if len(names) > most_venues:
+        raise ValueError(f"more than {most_venues} venues")
+    pairs = cells.select("person", "venue", "x", "pn").join(cells.select("person", F.col("venue").alias("other"), F.col("x").alias("y")), "person")
+    at = {v: k for k, v in enumerate(names)}
+    a, b = np.zeros((len(names), len(names))), np.zeros(len(names))
+    for r in right.collect():
+        a[at[r["venue"]], at[r["venue"]]] += r["n"]
+        b[at[r["venue"]]] = r["b"]
+    for r in pairs.groupBy("venue", "other").agg(F.sum(F.col("x") * F.col("y") / F.col("pn")).alias("c")).collect():
+        a[at[r["venue"]], at[r["other"]]] -= r["c"]
+    found = np.linalg.lstsq(a, b, rcond=None)[0] if len(names) > 1 else b * 0
+    effects = rows.sparkSession.createDataFrame([(v, round(float(e - found.mean()), 3)) for v, e in zip(names, found, strict=True)], "venue string, effect double")
+    return size.join(effects, "venue", "left").select("venue", F.col("rows").alias("n"), "people", F.coalesce("effect", F.lit(0.0)).alias("effect"))

@@ -96,4 +96,37 @@ ORACLES = {
     "board_bootstrap": f"""with {F}, v as (select person, list(value order by id) v from f group by person), d as (select person, v, unnest(range(100)) i from v),
  m as (select person, len(v) n, i, list_sum([v[1 + (('0x' || substr(md5(person::varchar || ':' || i::varchar || ':' || j::varchar), 1, 8))::bigint % len(v))] for j in range(len(v))]) / len(v) m from d),
  s as (select person, any_value(n) n, list(m order by m) m from m group by person) select person, n, round(m[6], 6) lo, round(m[96], 6) hi from s""",
+    "search_rate_gate": f"""with {F}, a as (select kind judge, count(*) filter (person % 2 = 0) n_left, count(*) filter (person % 2 = 1) n_right, avg(x) filter (person % 2 = 0) l, avg(x) filter (person % 2 = 1) r, var_samp(x) filter (person % 2 = 0) vl, var_samp(x) filter (person % 2 = 1) vr
+ from (select *, case when value > 100 then 100.0 else 0.0 end::double x from f) group by kind), b as (select *, l - r gap, sqrt(vl / n_left + vr / n_right) se from a)
+ select judge, n_left, n_right, round(l, 6) rate_left, round(r, 6) rate_right, round(gap, 6) gap, round(se, 6) se, case when gap - 1.645 * se > -5 and gap + 1.645 * se < 5 then 'PASS' when gap - 1.645 * se >= 5 or gap + 1.645 * se <= -5 then 'FAIL' else 'INCONCLUSIVE' end verdict from b""",
+    "deadline_stated": """with s as (select o_orderkey, o_orderdate::date d, o_orderpriority[1] k from orders)
+ select o_orderkey, case k when '1' then strftime(d, '%Y') when '2' then strftime(d, '%Y-%m') when '3' then strftime(d, '%Y-%m-%d') when '4' then strftime(d, '%d.%m.%Y') end stated,
+ case k when '1' then make_date(year(d), 12, 31) when '2' then last_day(d) when '3' then d end deadline, case k when '4' then 'malformed' when '5' then 'missing' else 'ok' end note from s""",
+    "dates_in_text": """with o as (select o_orderkey, o_orderdate::date d from orders)
+ select o_orderkey, k::int k, case k when 0 then strftime(d, '%B %-d, %Y') when 1 then strftime(d, '%B %Y') when 2 then strftime(d, '%Y-%m-%d') when 3 then strftime(d, '%Y-%m') else strftime(d, '%Y') end as found,
+ year(d)::int as year, case when k < 4 then month(d)::int end as month, case when k in (0, 2) then day(d)::int end as day from o, range(5) r(k)""",
+    "outcome_join": f"""with {FLAGS}, j as (select fl.*, o.o_orderkey, o.o_orderstatus, o.o_orderdate, o.o_orderpriority, c.c_acctbal / 10000 prior,
+ fl.id in (select doc_id from labels where toxic = 1) withdrawn, fl.id in (select p_partkey from part where p_size > 40) restated
+ from fl left join orders o on o.o_orderkey = fl.id left join customer c on c.c_custkey = fl.id and c.c_acctbal > 0),
+ s as (select *, case when withdrawn then 'withdrawn' when restated then 'restated' when not eligible then 'not_eligible:' || reason when o_orderdate::date < date '1993-06-01' then 'stale' when o_orderkey is null then 'no_resolution'
+ when o_orderpriority = '1-URGENT' then 'already_public' when o_orderstatus not in ('F', 'O') then 'unresolvable' when prior is null then 'no_prior' else 'scored' end state from j)
+ select state, count(*) n, count(distinct person) people, round(avg(case when state = 'scored' then prior end), 6) mean_prior from s group by state""",
+    "schedule_blocks": "with r as (select doc_id, source, lang, row_number() over (partition by source, lang order by md5(doc_id::varchar), doc_id) as round from documents) select *, (round - 1) // 10 as block from r",
+    "ngram_run": f"""with {TOK}, e as (select doc_id, len(w) n, unnest(w) x, generate_subscripts(w, 1) i from t), r as (select *, i - row_number() over (partition by doc_id, x order by i) g from e),
+ m as (select doc_id, max(k) best from (select doc_id, count(*) k from r group by doc_id, x, g) group by doc_id) select t.doc_id, case when len(w) >= 10 and best > 5 then best - 4 else 0 end run from t left join m on m.doc_id = t.doc_id""",
+    "stutter_collapse": """with a as (select doc_id, string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ') w from documents), e as (select doc_id, unnest(w) x, generate_subscripts(w, 1) i from a),
+ k as (select *, lower(trim(x, '.,!?')) y from e), r as (select *, i - row_number() over (partition by doc_id, y order by i) g from k), p as (select *, row_number() over (partition by doc_id, y, g order by i) p from r)
+ select doc_id, count(*) words, count(*) filter (p > 2 and y <> '') removed, count(*) filter (p = 3 and y <> '') runs, md5(string_agg(x, ' ' order by i) filter (p <= 2 or y = '')) kept_md5 from p group by doc_id""",
+    "replay_share": f"""with {TOK}, g as (select doc_id, unnest(range(0, len(w) - 19)) p, unnest([array_to_string(w[q + 1 : q + 20], ' ') for q in range(0, len(w) - 19)]) h from t),
+ r as (select doc_id, p, p > min(p) over (partition by doc_id, h) again from g), c as (select doc_id, count(distinct p + o) k from r, range(20) z(o) where again group by doc_id)
+ select t.doc_id, len(w) words, coalesce(k, 0) replayed, round(coalesce(k, 0) / greatest(len(w), 1), 6) share, coalesce(k, 0) >= 0.05 * greatest(len(w), 1) flagged from t left join c on c.doc_id = t.doc_id""",
+    "near_dup_pairs": """with t as (select doc_id, lang, regexp_extract_all(lower(text), '[a-z'']+') w from documents), s as (select lang, min(doc_id) doc_id, g from (select doc_id, lang, list_sort(list_distinct([array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)])) g from t where len(w) >= 5) group by lang, g),
+ e as (select lang, doc_id, len(g) n, unnest(g) h from s), c as (select a.doc_id doc_a, b.doc_id doc_b, least(any_value(a.n), any_value(b.n)) m, count(*) common from e a join e b on a.lang = b.lang and a.h = b.h and a.doc_id < b.doc_id group by all)
+ select doc_a, doc_b, common, round(common / m, 6) containment from c where common >= 0.75 * m""",
+    "sound_groups": """with w as (select distinct unnest(regexp_extract_all(lower(text), '[a-z'']+')) word from conversations), s as (select word, replace(replace(replace(replace(replace(replace(replace(word, '''', ''), 'ph', 'f'), 'ck', 'k'), 'x', 'ks'), 'q', 'k'), 'c', 'k'), 'z', 's') v from w),
+ c as (select word, left(v, 1) || regexp_replace(substr(v, 2), '[aeiouy]', '', 'g') v from s), q as (select word, array_to_string([v[i] for i in range(1, length(v) + 1) if i = 1 or v[i] <> v[i - 1]], '') sound from c)
+ select sound, count(*) words, min(word) as first, max(word) as last from q group by sound""",
 }
+
+#: Queries that SQL does not express: tests hold them against plain forms.
+WITHOUT_SQL = {"venue_effects", "span_dedupe", "html_text"}

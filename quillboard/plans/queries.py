@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from quillboard.functions import text as tx
-from quillboard.operators import forecast as fc, rater as rt
+from quillboard.functions import dates as dt, text as tx
+from quillboard.operators import forecast as fc, rater as rt, transcript as tr
 from quillboard.operators.rater import r6
 from quillboard.sources.tables import forecasts, ratings, read
 from quillboard.streaming.arrivals import daily_cells
@@ -334,3 +334,113 @@ def board_bootstrap(spark, d, draws: int = 100):
     pick = lambda i: F.aggregate(F.sequence(F.lit(0), F.size("v") - 1), F.lit(0.0), lambda s, j: s + F.get("v", (F.conv(F.substring(F.md5(F.concat_ws(":", F.col("person").cast("string"), i.cast("string"), j.cast("string"))), 1, 8), 16, 10).cast("long") % F.size("v")).cast("int"))["value"]) / F.size("v")
     means = per.select("person", F.size("v").cast("long").alias("n"), F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), pick)).alias("m"))
     return means.select("person", "n", r6(F.get("m", F.lit(int(0.05 * draws)))).alias("lo"), r6(F.get("m", F.lit(min(int(0.95 * draws), draws - 1)))).alias("hi"))
+
+
+@query
+def venue_effects(spark, d):
+    """Over blinded recordings whose judges agree on the venue."""
+    g = ratings(spark, d)
+    agreed = rt.venue_vote(g).where("agreed").select("rec", "venue")
+    return rt.venue_effects(rt.consensus(rt.calibrated(g).where("mode = 'F'")).join(agreed, "rec"), "overall")
+
+
+@query
+def search_rate_gate(spark, d):
+    """Rate of events worth over 100 by kind for even and odd users, with a verdict on their difference at 5 points."""
+    left = F.col("person") % 2 == 0
+    x = F.when(F.col("value") > 100, 100.0).otherwise(0.0)
+    per = forecasts(spark, d).groupBy(F.col("kind").alias("judge")).agg(*[a for side, of in (("left", left), ("right", ~left)) for a in (F.count_if(of).alias(f"n_{side}"), F.avg(F.when(of, x)).alias(f"r_{side}"), F.var_samp(F.when(of, x)).alias(f"v_{side}"))])
+    gap, se = F.col("r_left") - F.col("r_right"), F.sqrt(F.col("v_left") / F.col("n_left") + F.col("v_right") / F.col("n_right"))
+    lo, hi = gap - 1.645 * se, gap + 1.645 * se
+    return per.select("judge", "n_left", "n_right", r6(F.col("r_left")).alias("rate_left"), r6(F.col("r_right")).alias("rate_right"), r6(gap).alias("gap"), r6(se).alias("se"), F.when((lo > -5) & (hi < 5), "PASS").when((lo >= 5) | (hi <= -5), "FAIL").otherwise("INCONCLUSIVE").alias("verdict"))
+
+
+@query
+def deadline_stated(spark, d):
+    """Order dates as years, months, days, another form or nothing, read back to the last day that they name."""
+    form = lambda f: F.date_format("o_orderdate", f)
+    kind = F.substring("o_orderpriority", 1, 1)
+    stated = F.when(kind == "1", form("yyyy")).when(kind == "2", form("yyyy-MM")).when(kind == "3", form("yyyy-MM-dd")).when(kind == "4", form("dd.MM.yyyy"))
+    deadline, note = dt.stated_deadline(F.col("stated"))
+    return read(spark, d, "orders").select("o_orderkey", stated.alias("stated")).select("o_orderkey", "stated", deadline.alias("deadline"), note.alias("note"))
+
+
+@query
+def dates_in_text(spark, d):
+    """Dates named in a note on each order: one row for each, in order."""
+    form = lambda f: F.date_format("o_orderdate", f)
+    note = F.concat(F.lit("Placed on "), form("MMMM d, yyyy"), F.lit(" in "), form("MMMM yyyy"), F.lit(", billed "), form("yyyy-MM-dd"), F.lit(" for "), form("yyyy-MM"), F.lit(" of "), form("yyyy"), F.lit(", account 4994"), F.col("o_custkey").cast("string"))
+    found = read(spark, d, "orders").select("o_orderkey", F.posexplode(dt.dates_in(note)).alias("k", "found"))
+    year, month, day = dt.date_parts(F.col("found"))
+    return found.select("o_orderkey", "k", "found", year.alias("year"), month.alias("month"), day.alias("day"))
+
+
+@query
+def outcome_join(spark, d):
+    f = fc.flags(forecasts(spark, d))
+    o = read(spark, d, "orders")
+    status = F.when(F.col("o_orderstatus") == "F", "yes").when(F.col("o_orderstatus") == "O", "no").otherwise("unresolvable")
+    resolutions = o.select(F.col("o_orderkey").alias("id"), status.alias("outcome"), F.to_date("o_orderdate").alias("judged"), (F.col("o_orderpriority") == "1-URGENT").alias("public"))
+    priors = read(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("id"), (F.col("c_acctbal") / 10000).alias("prior"))
+    withdrawn = read(spark, d, "labels").where("toxic = 1").select(F.col("doc_id").alias("id"))
+    restated = read(spark, d, "part").where("p_size > 40").select(F.col("p_partkey").alias("id"))
+    j = fc.join_outcomes(f, resolutions, priors, withdrawn, restated, F.lit("1993-06-01").cast("date"))
+    return j.groupBy("state").agg(F.count("*").alias("n"), F.count_distinct("person").alias("people"), r6(F.avg(F.when(F.col("state") == "scored", F.col("prior")))).alias("mean_prior"))
+
+
+@query
+def schedule_blocks(spark, d):
+    """Rounds over languages and sources in digest order, ten of each to a block.
+
+    Ranks come from counts of digest prefixes and ranks within one: a hot source is spread.
+    """
+    docs = read(spark, d, "documents").select("doc_id", "source", "lang", F.md5(F.col("doc_id").cast("string")).alias("h")).withColumn("b", F.substring("h", 1, 3))
+    tally = docs.groupBy("source", "lang", "b").agg(F.count("*").alias("k"))
+    before = Window.partitionBy("source", "lang").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tally.select("source", "lang", "b", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("before"))
+    within = Window.partitionBy("source", "lang", "b").orderBy("h", "doc_id")
+    placed = docs.join(offsets, ["source", "lang", "b"]).select("doc_id", "source", "lang", (F.col("before") + F.row_number().over(within)).alias("round"))
+    return placed.withColumn("block", F.floor((F.col("round") - 1) / 10))
+
+
+@query
+def ngram_run(spark, d):
+    return read(spark, d, "documents").select("doc_id", tx.tokens(F.col("text")).alias("w")).select("doc_id", tr.longest_gram_run(F.col("w")).alias("run"))
+
+
+@query
+def stutter_collapse(spark, d):
+    return tr.stutter(read(spark, d, "documents"), "doc_id", tx.words(F.col("text")))
+
+
+@query
+def replay_share(spark, d):
+    return tr.replay_share(read(spark, d, "documents"), "doc_id", tx.tokens(F.col("text")))
+
+
+@query
+def near_dup_pairs(spark, d):
+    return tr.containment_pairs(read(spark, d, "documents"), "doc_id", "lang", tx.tokens(F.col("text")))
+
+
+@query
+def sound_groups(spark, d):
+    """Distinct words of the conversations by their consonants."""
+    w = read(spark, d, "conversations").select(F.explode(tx.tokens(F.col("text"))).alias("word")).distinct()
+    return w.groupBy(tx.consonant_skeleton(F.col("word")).alias("sound")).agg(F.count("*").alias("words"), F.min("word").alias("first"), F.max("word").alias("last"))
+
+
+@query
+def span_dedupe(spark, d):
+    """Spans of documents where a benchmark passage's first six words stand, as long as the passage; near-identical ones once."""
+    quotes = read(spark, d, "benchmark").select("item_id", F.split(tx.normalised(F.col("text")), " ").alias("q")).where(F.size("q") >= 6)
+    quotes = quotes.select("item_id", F.size("q").alias("len"), F.array_join(F.slice("q", 1, 6), " ").alias("key"))
+    docs = read(spark, d, "documents").select("doc_id", F.split(tx.normalised(F.col("text")), " ").alias("w")).where(F.size("w") >= 6)
+    keys = docs.select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - 5), lambda i: F.array_join(F.slice("w", i, F.lit(6)), " "))).alias("start", "key"))
+    spans = keys.join(quotes, "key").select("doc_id", F.col("item_id").alias("id"), "start", (F.col("start") + F.col("len")).alias("end"))
+    return tr.distinct_spans(spans, "doc_id").select("doc_id", "spans", F.explode("kept").alias("s")).select("doc_id", "spans", F.col("s.id").alias("item_id"), F.col("s.s").alias("start"), F.col("s.e").alias("end"))
+
+
+@query
+def html_text(spark, d):
+    return read(spark, d, "pages").select("page_id", tr.page_digest("html").alias("t")).select("page_id", "t.*")
