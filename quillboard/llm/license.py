@@ -1,8 +1,9 @@
 """License scans: phrases at word places, and an exact containment join with templates.
 
 Everything is a DataFrame expression. A text block is a line; a block is labelled with
-every template of which it holds at least the threshold share of the words. The words
-are ordered by how often they occur in the whole corpus, rarest first, and three filters
+every template of which it holds at least the threshold share of the words, and among them
+those that tell the template apart: all of a short one, the license's name of a long one.
+The words are ordered by how often they occur in the whole corpus, rarest first, and three filters
 cut the candidates: the prefixes must meet, the block must be long enough, and the places
 of the meeting word must leave room for the overlap that is needed.
 """
@@ -32,9 +33,18 @@ TEMPLATES = [
     ("all-rights-reserved", "all rights reserved no part of this publication may be reproduced"),
 ]
 THRESHOLD = 0.85
+
+#: Templates of fewer distinct words than this must be held whole, and words that name a license must be held by any block that its template labels.
+WHOLE_BELOW = 12
+NAMES = {"gnu", "apache", "mit", "cc", "nc", "sa", "creative", "commons", "attribution", "mozilla"}
 OTHERS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
+def _telling(words: list[str]) -> list[str]:
+    """The words of a template that tell it apart from others: a block without one of them is not its notice."""
+    return words if len(words) < WHOLE_BELOW else [w for w in words if w in NAMES]
+
+
 def _words(text: Column) -> Column:
     """Lower-cased words with single spaces between; the fold is F.lower, which maps no word onto or off the phrases' letters."""
     return F.trim(F.regexp_replace(F.lower(text), OTHERS, " "))
@@ -47,9 +57,9 @@ def _blocks(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
 
 
 def template_matches(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, block, template, label, containment: the exact containment join of lines with templates.
+    """doc_id, block, template, label, containment, told: the exact containment join of lines with templates.
 
-    The only rows that the driver sees are the counts of the templates' own words.
+    told: the block holds the words that tell the template apart. The only rows that the driver sees are the counts of the templates' own words.
     """
     spark = documents.sparkSession
     sets = [(k, label, sorted(set(text.split()))) for k, (label, text) in enumerate(templates)]
@@ -62,8 +72,9 @@ def template_matches(documents: DataFrame, templates: list[tuple[str, str]] = TE
     prefixes = []
     for k, label, ws in sets:
         ranks = sorted(order[w] for w in ws)
-        prefixes += [(r, k, label, j, len(ranks), need[k], ranks) for j, r in enumerate(ranks[: len(ranks) - need[k] + 1])]
-    table = spark.createDataFrame(prefixes, "rank int, template int, label string, t_at int, t_size int, need int, t_ranks array<int>")
+        told = [order[w] for w in _telling(ws)]
+        prefixes += [(r, k, label, j, len(ranks), need[k], ranks, told) for j, r in enumerate(ranks[: len(ranks) - need[k] + 1])]
+    table = spark.createDataFrame(prefixes, "rank int, template int, label string, t_at int, t_size int, need int, t_ranks array<int>, t_told array<int>")
     rank_of = F.create_map(*[F.lit(x) for w, r in order.items() for x in (w, r)])
     ranked = blocks.where(F.size("words") >= least).select("doc_id", "block", F.array_sort(F.transform("words", lambda w: rank_of[w])).alias("ranks"))
     starts = ranked.select("doc_id", "block", "ranks", F.posexplode(F.slice("ranks", F.lit(1), F.size("ranks") - (least - 1))).alias("b_at", "rank"))
@@ -73,7 +84,7 @@ def template_matches(documents: DataFrame, templates: list[tuple[str, str]] = TE
     shared = F.size(F.array_intersect("ranks", "t_ranks"))
     # A pair meets at most once for each word of a template's prefix: its first meeting stands for it.
     first = F.col("rank") == F.element_at(F.array_intersect("ranks", "t_ranks"), 1)
-    return candidates.where(first & (shared >= F.col("need"))).select("doc_id", "block", "template", "label", (shared / F.col("t_size")).alias("containment"))
+    return candidates.where(first & (shared >= F.col("need"))).select("doc_id", "block", "template", "label", (shared / F.col("t_size")).alias("containment"), (F.size(F.array_except("t_told", "ranks")) == 0).alias("told"))
 
 
 def license_scan(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -111,7 +122,7 @@ def license_scan(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLA
         F.array_max("spots.at").alias("last_word"),
         F.array_sort(F.array_distinct("spots.label")).alias("base_set"),
     )
-    found = template_matches(docs, templates, threshold).groupBy(F.col("doc_id").alias("m_doc")).agg(F.collect_set("label").alias("m_labels"), F.max("containment").alias("m_score"))
+    found = template_matches(docs, templates, threshold).where("told").groupBy(F.col("doc_id").alias("m_doc")).agg(F.collect_set("label").alias("m_labels"), F.max("containment").alias("m_score"))
     both = base.join(found, F.col("doc_id").eqNullSafe(F.col("m_doc")), "left")
     return both.select(
         "doc_id",

@@ -257,6 +257,23 @@ def test_license_join_against_all_pairs(spark):
     assert got == want
 
 
+def test_license_lines_that_differ_in_a_name(spark):
+    want = {
+        "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc",
+        "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa",
+        "Licensed under CC BY-ND 4.0.": "cc-by",
+        "Licensed under CC BY 4.0.": "cc-by",
+        "Licensed under the License, Version 2.0": "",
+        "Licensed under the Apache License, Version 2.0": "apache",
+        "This Source Code Form is subject to the terms of the Eclipse Public License": "",
+        "This Source Code Form is subject to terms of the Mozilla Public License": "mpl",
+        "Redistribution in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd",
+    }
+    got = by_id(license.license_scan(spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")))
+    assert [got[k]["labels"] for k in range(len(want))] == list(want.values())
+    assert got[2]["score"] == 1.0 and got[4]["score"] == 0.0
+
+
 def test_bpe(docs, none):
     from tokenizers import Tokenizer
 
