@@ -6,6 +6,10 @@ those that tell the template apart: all of a short one, the license's name of a
 The words are ordered by how often they occur in the whole corpus, rarest first, and three filters
 cut the candidates: the prefixes must meet, the block must be long enough, and the places
 of the meeting word must leave room for the overlap that is needed.
+
+A notice that is wrapped over lines is found in its paragraph, a run of lines without an
+empty one: a short template as consecutive words, as its words in any order may be chance
+where lines meet; a long one in windows of as many words as it has.
 """
 
 from __future__ import annotations
@@ -37,6 +41,7 @@ THRESHOLD = 0.85
 #: Templates of fewer distinct words than this must be held whole, and words that name a license must be held by any block that its template labels.
 WHOLE_BELOW = 12
 NAMES = {"gnu", "apache", "mit", "cc", "nc", "sa", "creative", "commons", "attribution", "mozilla"}
+EMPTY_LINES = "\\n\\s*\\n"
 OTHERS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
@@ -87,6 +92,50 @@ def template_matches(documents: DataFrame, templates: list[tuple[str, str]] = TE
     return candidates.where(first & (shared >= F.col("need"))).select("doc_id", "block", "template", "label", (shared / F.col("t_size")).alias("containment"), (F.size(F.array_except("t_told", "ranks")) == 0).alias("told"))
 
 
+def _best_window(words: Column, own_words: list[str], told: list[str], length: int, need: int) -> Column:
+    """Greatest share of a template's words in `length` words on end that hold enough of them; null where none do."""
+    own, names = F.array(*map(F.lit, own_words)), F.array(*map(F.lit, told)).cast("array<string>")
+
+    def held(i: Column) -> Column:
+        shared = F.array_intersect(F.slice(words, i + 1, F.lit(length)), own)
+        return F.when(F.size(F.array_except(names, shared)) == 0, F.size(shared)).otherwise(0)
+
+    starts = F.filter(F.transform(words, lambda x, i: F.when(F.array_contains(own, x), i)), lambda i: i.isNotNull())
+    most = F.when(F.size(F.array_intersect(words, own)) >= need, F.array_max(F.transform(starts, held)))
+    return F.when(most >= need, most / len(own_words))
+
+
+def wrapped_matches(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, label, containment: notices in paragraphs of several lines, line ends being spaces.
+
+    A window starts at a word of the template. Texts go first that lack a template's telling
+    words, or all of so many of its words that too few would be left; paragraphs next that
+    do not hold enough of its words in all.
+    """
+    lowered = documents.where(F.col("text").contains("\n")).select("doc_id", F.lower("text").alias("low"))
+    found, may = [], F.lit(False)
+    for label, template in templates:
+        ws = sorted(set(template.split()), key=lambda w: (-len(w), w))
+        need, told = math.ceil(threshold * len(ws) - 1e-9), _telling(ws)
+        here = F.lit(True)
+        for w in told:
+            here = here & F.col("low").contains(w)
+        if not told:
+            here = F.lit(False)
+            for w in ws[: len(ws) - need + 1]:
+                here = here | F.col("low").contains(w)
+        may = may | here
+        if len(ws) < WHOLE_BELOW:
+            share = F.when(F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")).contains(f" {template} "), 1.0)
+        else:
+            share = _best_window(F.col("w"), ws, told, len(template.split()), need)
+        found.append(F.when(share.isNotNull(), F.struct(F.lit(label).alias("label"), share.cast("double").alias("containment"))))
+    paragraphs = lowered.where(may).select("doc_id", F.explode(F.split("low", EMPTY_LINES)).alias("paragraph")).where(F.trim(F.col("paragraph")).contains("\n"))
+    # the outer form keeps the split from being repeated for each template
+    words = paragraphs.select("doc_id", F.explode_outer(F.array(F.split(_words(F.col("paragraph")), " "))).alias("w"))
+    return words.select("doc_id", F.explode(F.array_compact(F.array(*found))).alias("m")).select("doc_id", "m.label", "m.containment")
+
+
 def license_scan(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: phrase places, labels and a score.
 
@@ -122,7 +171,8 @@ def license_scan(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLA
         F.array_max("spots.at").alias("last_word"),
         F.array_sort(F.array_distinct("spots.label")).alias("base_set"),
     )
-    found = template_matches(docs, templates, threshold).where("told").groupBy(F.col("doc_id").alias("m_doc")).agg(F.collect_set("label").alias("m_labels"), F.max("containment").alias("m_score"))
+    matches = template_matches(docs, templates, threshold).where("told").select("doc_id", "label", "containment").unionAll(wrapped_matches(docs, templates, threshold))
+    found = matches.groupBy(F.col("doc_id").alias("m_doc")).agg(F.collect_set("label").alias("m_labels"), F.max("containment").alias("m_score"))
     both = base.join(found, F.col("doc_id").eqNullSafe(F.col("m_doc")), "left")
     return both.select(
         "doc_id",

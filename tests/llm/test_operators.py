@@ -274,6 +274,33 @@ def test_license_lines_that_differ_in_a_name(spark):
     assert got[2]["score"] == 1.0 and got[4]["score"] == 0.0
 
 
+def test_license_wrapped_notices(spark):
+    texts = [
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
+        " * Permission is hereby granted, free of charge, to any person obtaining a copy\n * of this software and associated documentation files (the Software)",
+        "This work is licensed under a Creative Commons\nAttribution 4.0 International License.",
+        "Some words.\n\nAll rights reserved. No part of this\r\npublication may be reproduced.\n\nMore words\nhere.",
+        "x y\n" * 40 + "Redistribution and use in source or binary forms with\nor without modification are permitted if the following\nconditions are met" + "\nz" * 40,
+        "Redistribution and use in source and binary forms, with or without\n\nmodification, are permitted provided that the following conditions\n \nare met:",
+        "Licensed under CC BY 4.0.\nSA is the next word",
+        "Redistribution and use in source and binary forms\n" + "x y\n" * 40 + "with or without modification are permitted provided that the following conditions are met",
+        "\n",
+        None,
+    ]
+    want = ["bsd", "mit", "cc-by", "all-rights-reserved", "bsd", "", "cc-by", "", "", ""]
+    got = by_id(license.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert [got[k]["labels"] for k in range(len(want))] == want
+    assert got[0]["score"] == 1.0 and 0.85 <= got[4]["score"] < 1.0
+    wrapped = []
+    for _, t in license.TEMPLATES:
+        w = t.split()
+        for n in (2, 3, 4):
+            wrapped.append("\n".join(" ".join(w[k : k + n]) for k in range(0, len(w), n)))
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(wrapped)], "doc_id long, text string")
+    found = {(r["doc_id"], r["label"]) for r in license.wrapped_matches(rows).where("containment = 1").collect()}
+    assert {(k, license.TEMPLATES[k // 3][0]) for k in range(len(wrapped))} <= found
+
+
 def test_bpe(docs, none):
     from tokenizers import Tokenizer
 
