@@ -444,3 +444,9 @@ def span_dedupe(spark, d):
 @query
 def html_text(spark, d):
     return read(spark, d, "pages").select("page_id", tr.page_digest("html").alias("t")).select("page_id", "t.*")
+
+
+@query
+def qa_gate(spark, d):
+    """The reference's gate as far as the tables have its columns; qa_signals and mattr are smaller forms."""
+    return tr.gate(read(spark, d, "documents"), "doc_id", "text")

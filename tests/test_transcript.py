@@ -1,5 +1,6 @@
 """Operators without SQL, against plain forms."""
 
+import re
 import statistics
 from collections import defaultdict
 
@@ -84,3 +85,40 @@ def test_containment(spark):
             if a < b and sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.75 * min(len(sets[a]), len(sets[b])):
                 want[a, b] = len(sets[a] & sets[b])
     assert got == dict(want)
+
+
+def plain_gate(text):
+    bare = re.sub(tr.NONSPEECH, " ", re.sub(tr.STAMP, " ", text or ""))
+    w = re.findall("[a-z']+", bare.lower())
+    if not w:
+        return 0, None, None, None, "empty_after_cleaning", "reject"
+    loops, i = 0, 0
+    while i < len(w):
+        j = i
+        while j + 1 < len(w) and w[j + 1] == w[i]:
+            j += 1
+        loops, i = loops + max(0, j - i - 1), j + 1
+    parts = [w] if len(w) <= 1000 else [w[i : i + 1000] for i in range(0, len(w) - 999, 250)]
+    loop, ttr, mattr = round(loops / len(w), 5), round(len(set(w)) / len(w), 4), round(statistics.mean(len(set(p)) / len(p) for p in parts), 4)
+    reasons = ",".join(r for r, bad in (("word_count", len(w) < 700), ("loop_share", loop > 0.02), ("mattr", mattr < 0.28)) if bad)
+    return len(w), loop, ttr, mattr, reasons, "reject" if reasons else "pass"
+
+
+def test_gate(spark):
+    names = [a + b + c for a in "abcdefgh" for b in "aeiou" for c in "klmnprst"]
+    long = " ".join(names[k % 320] + " and" * (k % 97 == 0) for k in range(6000))
+    texts = [long, "[00:00:01] [Music] a", None, "[applause]", " ".join(names[:150] * 5), "um um um um " * 100 + " ".join(names * 2), " ".join(names[:200] * 5), " ".join(names * 3 + ["x"] * 19), "a " * 2000, " ".join(names * 3)[: 700 * 4 - 1], " ".join(names * 3)[: 699 * 4 - 1], " ".join(names * 4)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc int, text string")
+    got = {r["doc"]: r for r in tr.gate(rows, "doc", "text").collect()}
+    for k, t in enumerate(texts):
+        g, want = got[k], plain_gate(t)
+        assert (g["words"], g["reasons"], g["verdict"]) == (want[0], want[4], want[5]), k
+        assert all((a is None) == (b is None) and (a is None or abs(a - b) < 1.1e-4) for a, b in zip((g["loop_share"], g["ttr"], g["mattr"]), want[1:4], strict=True)), k
+    assert got[0]["ttr"] < 0.2 and got[0]["verdict"] == "pass" and got[5]["reasons"] == "loop_share" and got[1]["nonspeech"] == 1
+    assert got[9]["verdict"] == "pass" and got[10]["reasons"] == "word_count"
+
+
+def test_gate_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    got = {r["doc_id"]: (r["words"], r["reasons"]) for r in QUERIES["qa_gate"](spark, SF).collect()}
+    assert got == {r["doc_id"]: (plain_gate(r["text"])[0], plain_gate(r["text"])[4]) for r in docs}
