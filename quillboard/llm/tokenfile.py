@@ -27,12 +27,17 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from quillboard.llm._arrow import mix
 from quillboard.llm._scratch import Scratch
+from quillboard.llm.bpe import byte_letters
 
 MAGIC = b"QBTOKEN1"
 HEADER = struct.Struct("<8sIIIIQ")  # magic, bytes of an id, buckets, slots, documents, ids
 DIRECT = 1 << 31  # a seed with this bit names the slot of a bucket's only key
 SEED = np.uint64(0x9E3779B97F4A7C15)
 CACHE_PIECES = 900_000
+CACHE_CHARS = 32 << 20
+#: The words of the byte-level tokenizer.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+UNSETTLED = re.compile(r"[^\n -~\u00A1-\u0233]")
 PIECES = re.compile(r"\n(?=[^ \n])|[ \n]*[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]++(?=[\x00-\x40\x5B-\x60\x7B-\x7F]|\Z)|[ \n]*[^ \n]+|[ \n]+")
 OTHER_WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
@@ -132,31 +137,55 @@ class Encoder:
 
     Its words never cross from a run of other characters into the spaces or line ends
     behind it, nor from letters into ASCII marks and digits, nor from a single line end
-    into what follows, so a text's ids are those of its pieces. Texts with other white
-    space or with a special token in them go to the library whole.
+    into what follows, so a text's ids are those of its pieces. A new piece of letters
+    whose classes no Unicode version has changed is cut into words here and its words go
+    to the library's model at once; other pieces go through the whole of the library, and
+    so do texts with other white space or with a special token in them.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
+        self.words = regex.compile(WORDS)
+        self.letters = {b: c for c, b in byte_letters().items()}
         self.apart = OTHER_WHITE + [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.id_bytes = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.known: dict[str, bytes] = {}
+        self.held = 0
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of new pieces: those of plain letters by the library's model, word by word."""
+        code = "H" if self.id_bytes == 2 else "I"
+        other = [p for p in pieces if UNSETTLED.search(p)]
+        plain = list(set(pieces).difference(other)) if other else pieces
+        made: dict[str, bytes] = {}
+        for piece in plain:
+            out = b""
+            for word in self.words.findall(piece):
+                if word not in made:
+                    made[word] = array(code, [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]).tobytes()
+                out += made[word]
+            self.known[piece] = out
+        for lo in range(0, len(other), 1000):
+            some = other[lo : lo + 1000]
+            self.known.update(zip(some, (array(code, e.ids).tobytes() for e in self.library.encode_batch_fast(some, add_special_tokens=False)), strict=True))
+        self.held += sum(map(len, pieces))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        kind, code = f"<u{self.id_bytes}", "H" if self.id_bytes == 2 else "I"
+        kind = f"<u{self.id_bytes}"
         whole = [any(s in t for s in self.apart) for t in texts]
         cut = [[] if w else PIECES.findall(t) for t, w in zip(texts, whole, strict=True)]
-        if len(self.known) > CACHE_PIECES:
+        if len(self.known) > CACHE_PIECES or self.held > CACHE_CHARS:
             self.known.clear()
-        new = list(set().union(*cut).difference(self.known)) if cut else []
-        for lo in range(0, len(new), 10_000):
-            some = new[lo : lo + 10_000]
-            self.known.update(zip(some, (array(code, e.ids).tobytes() for e in self.library.encode_batch_fast(some, add_special_tokens=False)), strict=True))
+            self.held = 0
+        if cut:
+            self._learn(list(set().union(*cut).difference(self.known)))
         get = self.known.__getitem__
         return [np.array(self.library.encode(t, add_special_tokens=False).ids, kind) if w else np.frombuffer(b"".join(map(get, c)), kind) for t, w, c in zip(texts, whole, cut, strict=True)]
 
