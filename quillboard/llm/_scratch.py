@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder; one of our own only where the session names none (tests)."""
+    """The shared folder that the session names. Only a local session without one gets a folder of its own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         named = current.get() if current.isDefined() else None
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not named:
         named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(named)

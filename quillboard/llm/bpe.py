@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
-import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 CACHE_WORDS = 250_000  # words; runs, which hold less, half of it
+CACHE_BYTES = 64 << 20  # of a cache's texts and values
+LONG = 1 << 14  # characters of a word whose matches are listed at once; longer ones are never cached
+SETTLED = re.compile(r"[!-~\u00A1-\u0233]*")
 END = 256  # a word's last byte b stands as chr(END + b) where the vocabulary marks word ends
 WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
@@ -61,6 +65,7 @@ class Merges:
                 made.add(k)  # the merges do make this token of its text
                 self.automaton.add_word(text, (k, len(text)))
         self.automaton.make_automaton()
+        self.longest = max(map(len, self.ids))
 
     def _text(self, token: int) -> str:
         if not hasattr(self, "_texts"):
@@ -95,51 +100,84 @@ class Merges:
             known = self.pairs[a, b] = self._apart(a, b, float("inf"))
         return known
 
-    def encode(self, word: bytes) -> list[int]:
+    def encode(self, word: bytes) -> array:
         text = word.decode("latin-1")
         if self.suffix:
             text = text[:-1] + chr(END + word[-1])
-        starts: list[list[tuple[int, int]]] = [[] for _ in text]
-        for end, (token, size) in self.automaton.iter(text):
-            starts[end + 1 - size].append((token, size))  # shortest first
-        out: list[tuple[int, int, int]] = []  # place, choice, token
+        starts = _Starts(self.automaton, text, self.longest)
+        place, taken, out = array("q"), array("i"), array("I")
         dead, at, choice = set(), 0, len(starts[0]) - 1
         while at < len(text):
+            here = starts[at]
             while choice >= 0:
-                token, size = starts[at][choice]
-                if at + size not in dead and (not out or self.fits(out[-1][2], token)):
+                token, size = here[choice]
+                if at + size not in dead and (not out or self.fits(out[-1], token)):
                     break
                 choice -= 1
             if choice >= 0:
-                out.append((at, choice, token))
+                place.append(at)
+                taken.append(choice)
+                out.append(token)
                 at += size
                 choice = len(starts[at]) - 1 if at < len(text) else -1
             else:
                 dead.add(at)
-                at, choice, _ = out.pop()
-                choice -= 1
-        return [token for _, _, token in out]
+                out.pop()
+                at, choice = place.pop(), taken.pop() - 1
+        return out
+
+
+class _Starts:
+    """The matches that start at each place of a word, shortest first, made block by block."""
+
+    def __init__(self, automaton, text: str, longest: int):
+        self.automaton, self.text, self.longest, self.blocks = automaton, text, longest, {}
+
+    def __getitem__(self, at: int) -> list[tuple[int, int]]:
+        block = at // LONG
+        if block not in self.blocks:
+            if len(self.blocks) > 2:  # going back further makes them again
+                self.blocks.clear()
+            lo, hi = block * LONG, min(len(self.text), (block + 1) * LONG)
+            found: list[list[tuple[int, int]]] = [[] for _ in range(hi - lo)]
+            for end, (token, size) in self.automaton.iter(self.text, lo, min(len(self.text), hi + self.longest)):
+                if lo <= end + 1 - size < hi:
+                    found[end + 1 - size - lo].append((token, size))
+            self.blocks[block] = found
+        return self.blocks[block][at - block * LONG]
 
 
 class _Runs(dict):
-    """Ids, as little-endian 32-bit bytes, of runs of text between white space."""
+    """Values of runs of text, bounded in entries and in bytes; very long runs are not kept."""
 
-    def __init__(self, make, most=CACHE_WORDS):
+    def __init__(self, make, most=CACHE_WORDS, most_bytes=CACHE_BYTES):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.most_bytes, self.held = make, most, most_bytes, 0
 
     def __missing__(self, run):
-        if len(self) > self.most:
+        value = self.make(run)
+        if len(run) > LONG:
+            return value
+        if len(self) > self.most or self.held > self.most_bytes:
             self.clear()
-        value = self[run] = self.make(run)
+            self.held = 0
+        self.held += 4 * len(run) + (len(value) if isinstance(value, bytes) else 64)
+        self[run] = value
         return value
 
 
 class WordCodec:
-    """The tokenizer of a word-level BPE file: NFC, lower case, words, merges."""
+    """The tokenizer of a word-level BPE file: NFC, lower case, words, merges.
+
+    Letters whose classes no Unicode version has changed are lower-cased and cut into
+    words here; runs with others go through the library's own normalizer and word cutter,
+    which know the Unicode version that its results rest on.
+    """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -149,7 +187,9 @@ class WordCodec:
         self.marks = sorted({s[:2] for s in self.special})
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(pattern)
-        self.word_ids = _Runs(lambda w: np.array(self.merges.encode(w.encode()), "<u4").tobytes())
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.cutter, self.letters = library.normalizer, library.pre_tokenizer, byte_letters()
+        self.word_ids = _Runs(lambda w: np.array(self.merges.encode(w), "<u4").tobytes())
         self.run_ids = _Runs(self._run, CACHE_WORDS // 2)
         names = {k: t for t, k in spec["model"]["vocab"].items()} | {k: t for t, k in self.special.items()}
         pieces = [names.get(k, "").encode() + b" " for k in range(max(names) + 1)]
@@ -157,10 +197,10 @@ class WordCodec:
         self.table = np.frombuffer(b"".join(pieces), np.uint8)
 
     def _run(self, run: str) -> bytes:
-        if not run.isascii():
-            run = unicodedata.normalize("NFC", run)
-        low = "".join(c.lower() for c in run) if "Σ" in run else run.lower()
-        return b"".join(map(self.word_ids.__getitem__, self.words.findall(low)))
+        if SETTLED.fullmatch(run):  # composed already, and no letter's lower case depends on its place
+            return b"".join(self.word_ids[w.encode()] for w in self.words.findall(run.lower()))
+        words = self.cutter.pre_tokenize_str(self.normalizer.normalize_str(run))
+        return b"".join(self.word_ids[bytes(map(self.letters.__getitem__, w))] for w, _ in words)
 
     def _plain(self, text: str) -> bytes:
         runs = [r for r in WHITE.split(text) if r] if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()

@@ -55,14 +55,19 @@ def _words(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), OTHERS, " "))
 
 
+def with_rows(documents: DataFrame) -> DataFrame:
+    """row and text: what tells a row from others, its doc_id and a hash of its text."""
+    return documents.select(F.struct(documents["doc_id"].cast("long").alias("doc_id"), F.xxhash64(documents["text"]).alias("text")).alias("row"), documents["text"].alias("text"))
+
+
 def _blocks(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """doc_id, block, words: each line's distinct words that some template has."""
-    lines = documents.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("block", "line"))
-    return lines.select("doc_id", "block", F.array_intersect(F.split(_words(F.col("line")), " "), F.array(*map(F.lit, vocabulary))).alias("words"))
+    """row, block, words: each line's distinct words that some template has."""
+    lines = documents.select("row", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("block", "line"))
+    return lines.select("row", "block", F.array_intersect(F.split(_words(F.col("line")), " "), F.array(*map(F.lit, vocabulary))).alias("words"))
 
 
 def template_matches(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, block, template, label, containment, told: the exact containment join of lines with templates.
+    """row, block, template, label, containment, told: the exact containment join of lines with templates.
 
     told: the block holds the words that tell the template apart. The only rows that the driver sees are the counts of the templates' own words.
     """
@@ -81,15 +86,15 @@ def template_matches(documents: DataFrame, templates: list[tuple[str, str]] = TE
         prefixes += [(r, k, label, j, len(ranks), need[k], ranks, told) for j, r in enumerate(ranks[: len(ranks) - need[k] + 1])]
     table = spark.createDataFrame(prefixes, "rank int, template int, label string, t_at int, t_size int, need int, t_ranks array<int>, t_told array<int>")
     rank_of = F.create_map(*[F.lit(x) for w, r in order.items() for x in (w, r)])
-    ranked = blocks.where(F.size("words") >= least).select("doc_id", "block", F.array_sort(F.transform("words", lambda w: rank_of[w])).alias("ranks"))
-    starts = ranked.select("doc_id", "block", "ranks", F.posexplode(F.slice("ranks", F.lit(1), F.size("ranks") - (least - 1))).alias("b_at", "rank"))
+    ranked = blocks.where(F.size("words") >= least).select("row", "block", F.array_sort(F.transform("words", lambda w: rank_of[w])).alias("ranks"))
+    starts = ranked.select("row", "block", "ranks", F.posexplode(F.slice("ranks", F.lit(1), F.size("ranks") - (least - 1))).alias("b_at", "rank"))
     size = F.size("ranks")
     room = F.least(size - F.col("b_at"), F.col("t_size") - F.col("t_at"))
     candidates = starts.join(F.broadcast(table), "rank").where((size >= F.col("need")) & (F.col("b_at") <= size - F.col("need")) & (room >= F.col("need")))
     shared = F.size(F.array_intersect("ranks", "t_ranks"))
     # A pair meets at most once for each word of a template's prefix: its first meeting stands for it.
     first = F.col("rank") == F.element_at(F.array_intersect("ranks", "t_ranks"), 1)
-    return candidates.where(first & (shared >= F.col("need"))).select("doc_id", "block", "template", "label", (shared / F.col("t_size")).alias("containment"), (F.size(F.array_except("t_told", "ranks")) == 0).alias("told"))
+    return candidates.where(first & (shared >= F.col("need"))).select("row", "block", "template", "label", (shared / F.col("t_size")).alias("containment"), (F.size(F.array_except("t_told", "ranks")) == 0).alias("told"))
 
 
 def _best_window(words: Column, own_words: list[str], told: list[str], length: int, need: int) -> Column:
@@ -106,13 +111,13 @@ def _best_window(words: Column, own_words: list[str], told: list[str], length: i
 
 
 def wrapped_matches(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, label, containment: notices in paragraphs of several lines, line ends being spaces.
+    """row, label, containment: notices in paragraphs of several lines, line ends being spaces.
 
     A window starts at a word of the template. Texts go first that lack a template's telling
     words, or all of so many of its words that too few would be left; paragraphs next that
     do not hold enough of its words in all.
     """
-    lowered = documents.where(F.col("text").contains("\n")).select("doc_id", F.lower("text").alias("low"))
+    lowered = documents.where(F.col("text").contains("\n")).select("row", F.lower("text").alias("low"))
     found, may = [], F.lit(False)
     for label, template in templates:
         ws = sorted(set(template.split()), key=lambda w: (-len(w), w))
@@ -130,10 +135,10 @@ def wrapped_matches(documents: DataFrame, templates: list[tuple[str, str]] = TEM
         else:
             share = _best_window(F.col("w"), ws, told, len(template.split()), need)
         found.append(F.when(share.isNotNull(), F.struct(F.lit(label).alias("label"), share.cast("double").alias("containment"))))
-    paragraphs = lowered.where(may).select("doc_id", F.explode(F.split("low", EMPTY_LINES)).alias("paragraph")).where(F.trim(F.col("paragraph")).contains("\n"))
+    paragraphs = lowered.where(may).select("row", F.explode(F.split("low", EMPTY_LINES)).alias("paragraph")).where(F.trim(F.col("paragraph")).contains("\n"))
     # the outer form keeps the split from being repeated for each template
-    words = paragraphs.select("doc_id", F.explode_outer(F.array(F.split(_words(F.col("paragraph")), " "))).alias("w"))
-    return words.select("doc_id", F.explode(F.array_compact(F.array(*found))).alias("m")).select("doc_id", "m.label", "m.containment")
+    words = paragraphs.select("row", F.explode_outer(F.array(F.split(_words(F.col("paragraph")), " "))).alias("w"))
+    return words.select("row", F.explode(F.array_compact(F.array(*found))).alias("m")).select("row", "m.label", "m.containment")
 
 
 def license_scan(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -141,11 +146,11 @@ def license_scan(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLA
 
     score is 1 where a phrase stands, else the greatest containment found, else 0. A null
     text is empty: no words, no places (first_word and last_word null), labels ''. Rows
-    that share a doc_id, null included, share the labels of their blocks and each keep
-    their own counts. Further columns are left out.
+    that share a doc_id, null included, are labelled by their own texts: matches find
+    their row by doc_id and the text's hash. Further columns are left out.
     """
-    docs = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"].alias("text"))
-    plain = docs.select("doc_id", _words(F.coalesce("text", F.lit(""))).alias("plain"))
+    docs = with_rows(documents)
+    plain = docs.select("row", _words(F.coalesce("text", F.lit(""))).alias("plain"))
     padded = F.concat(F.lit(" "), "plain", F.lit(" "))
 
     def places(phrase: str, label: str) -> Column:
@@ -158,24 +163,24 @@ def license_scan(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLA
     for phrase in PHRASES:
         any_phrase = any_phrase | padded.contains(f" {phrase} ")
     based = plain.select(
-        "doc_id",
+        "row",
         F.when(F.col("plain") == "", 0).otherwise(F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit(""))) + 1).cast("long").alias("n_words"),
         F.when(any_phrase, F.split("plain", " ")).otherwise(F.array().cast("array<string>")).alias("w"),
     )
-    spotted = based.select("doc_id", "n_words", F.concat(*[places(p, label) for p, label in PHRASES.items()]).alias("spots"))
+    spotted = based.select("row", "n_words", F.concat(*[places(p, label) for p, label in PHRASES.items()]).alias("spots"))
     base = spotted.select(
-        "doc_id",
+        "row",
         "n_words",
         F.size("spots").cast("long").alias("n_base"),
         F.array_min("spots.at").alias("first_word"),
         F.array_max("spots.at").alias("last_word"),
         F.array_sort(F.array_distinct("spots.label")).alias("base_set"),
     )
-    matches = template_matches(docs, templates, threshold).where("told").select("doc_id", "label", "containment").unionAll(wrapped_matches(docs, templates, threshold))
-    found = matches.groupBy(F.col("doc_id").alias("m_doc")).agg(F.collect_set("label").alias("m_labels"), F.max("containment").alias("m_score"))
-    both = base.join(found, F.col("doc_id").eqNullSafe(F.col("m_doc")), "left")
+    matches = template_matches(docs, templates, threshold).where("told").select("row", "label", "containment").unionAll(wrapped_matches(docs, templates, threshold))
+    found = matches.groupBy("row").agg(F.collect_set("label").alias("m_labels"), F.max("containment").alias("m_score"))
+    both = base.join(found, "row", "left")
     return both.select(
-        "doc_id",
+        F.col("row.doc_id").alias("doc_id"),
         "n_words",
         "n_base",
         "first_word",

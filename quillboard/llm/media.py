@@ -7,7 +7,9 @@ That corrects declared types and carves media embedded in other bytes.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -18,11 +20,49 @@ from pyspark.sql import DataFrame
 
 from quillboard.llm._arrow import utf8
 
+
+class Data(bytes):
+    """Bytes that remember where the marks stand that validators look for."""
+
+    def places(self, mark: bytes) -> list[int]:
+        if not hasattr(self, "_places"):
+            self._places: dict[bytes, list[int]] = {}
+        if mark not in self._places:
+            self._places[mark] = [m.start() for m in re.finditer(b"(?=" + re.escape(mark) + b")", self)]
+        return self._places[mark]
+
+    def after(self, mark: bytes, at: int) -> int:
+        """The first place of a mark at or behind ``at``; -1 without one. Each mark is searched for once."""
+        found = self.places(mark)
+        k = bisect.bisect_left(found, at)
+        return found[k] if k < len(found) else -1
+
+    def archives(self) -> dict[int, int]:
+        """The start and end of each archive that an end record closes."""
+        if not hasattr(self, "_archives"):
+            self._archives: dict[int, int] = {}
+            for p in self.places(b"PK\x05\x06"):
+                if p + 22 <= len(self):
+                    size, offset, note = struct.unpack_from("<IIH", self, p + 12)
+                    if p + 22 + note <= len(self):
+                        self._archives.setdefault(p - offset - size, p + 22 + note)
+        return self._archives
+
+    def coded_end(self, at: int) -> int:
+        """The first FF at or behind ``at`` that ends coded image data: none of a restart or stuffing."""
+        if not hasattr(self, "_ends"):
+            self._ends = [m.start() for m in re.finditer(rb"\xff(?=[^\x00\xd0-\xd7])", self)]
+        k = bisect.bisect_left(self._ends, at)
+        return self._ends[k] if k < len(self._ends) else -1
+
+
 UNIT = 192
 
 
 def _png(b: bytes, at: int) -> int | None:
     p = at + 8
+    if b[p : p + 8] != b"\0\0\0\rIHDR":
+        return None
     while p + 12 <= len(b):
         (size,) = struct.unpack_from(">I", b, p)
         if p + 12 + size > len(b) or zlib.crc32(b[p + 4 : p + 8 + size]) != struct.unpack_from(">I", b, p + 8 + size)[0]:
@@ -62,9 +102,7 @@ def _jpeg(b: bytes, at: int) -> int | None:
             return p + 2 - at
         p += 2 + struct.unpack_from(">H", b, p + 2)[0]
         if kind == 0xDA:  # coded data: up to the next marker that is no restart or stuffing
-            while (p := b.find(b"\xff", p)) >= 0 and p + 1 < len(b) and (b[p + 1] == 0 or 0xD0 <= b[p + 1] <= 0xD7):
-                p += 2
-            if p < 0:
+            if (p := b.coded_end(p)) < 0:
                 return None
     return p + 2 - at if b[p : p + 2] == b"\xff\xd9" else None
 
@@ -91,30 +129,29 @@ def _riff(form: bytes) -> Callable[[bytes, int], int | None]:
 
 
 def _pdf(b: bytes, at: int) -> int | None:
-    end = b.find(b"%%EOF", at)
-    return end + 5 - at if end >= 0 and b.find(b"startxref", at, end) >= 0 else None
+    end = b.after(b"%%EOF", at)
+    return end + 5 - at if end >= 0 and at <= b.after(b"startxref", at) < end else None
 
 
 def _gzip(b: bytes, at: int) -> int | None:
-    z = zlib.decompressobj(31)
+    z, start = zlib.decompressobj(31), at
     try:
-        rest = b[at:]
-        while not z.eof and rest:  # in blocks, so a bomb of zeros takes no memory
-            z.decompress(rest, 1 << 20)
-            rest = z.unconsumed_tail
+        whole = memoryview(b)
+        while not z.eof and at < len(b):  # in blocks, so neither a bomb of zeros nor a long rest takes memory
+            rest = whole[at : at + (1 << 14)]
+            at += len(rest)
+            while rest and not z.eof:
+                z.decompress(rest, 1 << 20)
+                rest = z.unconsumed_tail
     except zlib.error:
         return None
-    return len(b) - at - len(z.unused_data) if z.eof else None
+    return at - len(z.unused_data) - start if z.eof else None
 
 
 def _zip(b: bytes, at: int) -> int | None:
-    end = b.find(b"PK\x05\x06", at)
-    while end >= 0 and end + 22 <= len(b):
-        size, offset, note = struct.unpack_from("<IIH", b, end + 12)
-        if at + offset + size == end:
-            return end + 22 + note - at
-        end = b.find(b"PK\x05\x06", end + 4)
-    return None
+    """The end record whose directory begins where it says, counted from the first file, and whose comment is there."""
+    end = b.archives().get(at)
+    return None if end is None else end - at
 
 
 def _flac(b: bytes, at: int) -> int | None:
@@ -175,7 +212,7 @@ def locate(data: bytes) -> list[tuple[int, int, str]]:
 
     A medium inside one that is already confirmed (other than the file itself) belongs to it.
     """
-    found, busy = [], 0
+    found, busy, data = [], 0, data if isinstance(data, Data) else Data(data)
     for end, (size, kinds) in _magic().iter(data.decode("latin-1")):
         at = end + 1 - size
         for kind, _, shift, check in (FORMATS[k] for k in kinds):

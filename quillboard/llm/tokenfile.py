@@ -123,13 +123,32 @@ class Shard:
         lo, hi = (int(x) for x in self.read(self.offsets + 8 * ordinal, "<u8", 2))
         return self.read(self.payload + lo * self.id_bytes, f"<u{self.id_bytes}", hi - lo)
 
+    def lookup(self, wanted: np.ndarray) -> np.ndarray:
+        """The ordinal of the first document of each int64 key, -1 where the shard has none: one pass over the index."""
+        if not self.slots or not len(wanted):
+            return np.full(len(wanted), -1, np.int64)
+        seeds, prints, ordinals = self.read(self.seeds, "<u4", self.buckets), self.read(self.prints, "<u4", self.slots), self.read(self.ordinals, "<u4", self.slots)
+        seed = seeds[(mix(wanted.view(np.uint64)) % np.uint64(self.buckets)).astype(np.int64)]
+        slot = np.where(seed & np.uint32(DIRECT), (seed ^ np.uint32(DIRECT)).astype(np.uint64), _slot(wanted, seed, self.slots)).astype(np.int64)
+        ordinal = np.where(prints[slot] == _fingerprint(wanted), ordinals[slot].astype(np.int64), -1)
+        keys = self.read(self.keys, "<i8", self.documents)
+        return np.where((ordinal >= 0) & (keys[ordinal] == wanted), ordinal, -1)
+
     def scan(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        """(key, ids before it in the shard, ids) of each document in order."""
-        keys, nulls, offsets = self.read(self.keys, "<i8", self.documents), self.read(self.nulls, "u1", self.documents), self.read(self.offsets, "<u8", self.documents + 1)
-        self.file.seek(self.payload)
-        for k in range(self.documents):
-            n = int(offsets[k + 1] - offsets[k])
-            yield None if nulls[k] else int(keys[k]), int(offsets[k]), np.frombuffer(self.file.read(n * self.id_bytes), f"<u{self.id_bytes}")
+        """(key, ids before it in the shard, ids) of each document, fetched through the index.
+
+        Documents without a key stand first; the index names the first document of each
+        other key and those that share it follow. A key that the index sends elsewhere is
+        an error.
+        """
+        keys, nulls, offsets = self.read(self.keys, "<i8", self.documents), self.read(self.nulls, "u1", self.documents), self.read(self.offsets, "<u8", self.documents + 1).astype(np.int64)
+        shown, first, times = np.unique(keys[nulls == 0], return_index=True, return_counts=True)
+        found = self.lookup(shown)
+        if not np.array_equal(found, np.flatnonzero(nulls == 0)[first]):
+            raise ValueError("the index does not lead to the documents of the shard")
+        for ordinal in [*np.flatnonzero(nulls).tolist(), *(np.repeat(found, times) + np.concatenate([np.arange(n) for n in times.tolist()] or [np.empty(0, np.int64)])).astype(np.int64).tolist()]:
+            lo, hi = int(offsets[ordinal]), int(offsets[ordinal + 1])
+            yield None if nulls[ordinal] else int(keys[ordinal]), lo, self.read(self.payload + lo * self.id_bytes, f"<u{self.id_bytes}", hi - lo)
 
 
 class Encoder:
@@ -203,16 +222,21 @@ def _open(path: str, mode: str):
     return store.open_output_stream(at)
 
 
+MANIFEST = "path string, part int, number int, first_doc long, last_doc long, n_docs long, n_ids long"
+
+
 def write_token_files(documents: DataFrame, tokenizer: str, folder: str, end_id: int, scratch: Scratch, shard_bytes: int = 16 << 20) -> DataFrame:
     """Write the ids of all texts as shard files below ``folder``; returns the manifest.
 
-    The manifest (path, part, number, first_doc, n_docs, n_ids) has a row for each file. A
-    task that runs again writes other files; only those of the attempt that ended well are
-    in the manifest. Null texts are empty, null doc_ids come first, documents that share a
-    doc_id stand side by side in the order of their texts. ``shard_bytes`` bounds a file's
-    ids but for one longer document.
+    The manifest (path, part, number, first_doc, last_doc, n_docs, n_ids) has a row for
+    each file. A task that runs again writes other files; only those of the attempt that
+    ended well are in the manifest. Null texts are empty, null doc_ids come first,
+    documents that share a doc_id (or have none) stand side by side in the order of a hash
+    of their texts, so that many of them are spread over tasks. ``shard_bytes`` bounds a
+    file's ids but for one longer document. Further columns are left out.
     """
-    ordered = documents.select(documents["doc_id"].cast("long").alias("doc_id"), F.coalesce(documents["text"], F.lit("")).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = documents.select(documents["doc_id"].cast("long").alias("doc_id"), F.coalesce(documents["text"], F.lit("")).alias("text")).withColumn("spread", F.xxhash64("text"))
+    ordered = ordered.repartitionByRange("doc_id", "spread").sortWithinPartitions("doc_id", "spread").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if tokenizer not in _encoders:
@@ -225,11 +249,11 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str, end_id:
             path = f"{folder}/{part:06d}-{number:06d}-{uuid.uuid4().hex[:8]}.ids"
             with _open(path, "w") as f:
                 f.write(pack(keys, ids, encoder.id_bytes))
-            row = (path, part, number, keys[0], len(keys), sum(len(x) for x in ids))
+            row = (path, part, number, keys[0], keys[-1], len(keys), sum(len(x) for x in ids))
             keys, ids, held, number = [], [], 0, number + 1
-            return pa.RecordBatch.from_pylist([dict(zip(("path", "part", "number", "first_doc", "n_docs", "n_ids"), row, strict=True))], schema=kind)
+            return pa.RecordBatch.from_pylist([dict(zip(kind.names, row, strict=True))], schema=kind)
 
-        kind = pa.schema([("path", pa.string()), ("part", pa.int32()), ("number", pa.int32()), ("first_doc", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
+        kind = pa.schema([("path", pa.string()), ("part", pa.int32()), ("number", pa.int32()), *((n, pa.int64()) for n in ("first_doc", "last_doc", "n_docs", "n_ids"))])
         for b in batches:
             for lo in range(0, len(b), 200):
                 some = b.slice(lo, 200)
@@ -242,17 +266,21 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str, end_id:
         if keys:
             yield flush()
 
-    return scratch.table("manifest", ordered.mapInArrow(run, "path string, part int, number int, first_doc long, n_docs long, n_ids long"))
+    return scratch.table("manifest", ordered.mapInArrow(run, MANIFEST))
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, read back from the files.
+    """doc_id, start, n_tokens, ids_crc32 of every document, read back through the index of each file.
 
-    ``start`` counts the ids of all documents before it; a window over the manifest (a row
-    for each file) gives each file's share.
+    ``start`` counts the ids of all documents before it: those of the parts before (a row
+    for each write task), of the part's files before, and of the file's documents before.
+    Each file is read by a task of its own.
     """
-    before = Window.orderBy(F.col("first_doc").asc_nulls_first(), "part", "number").rowsBetween(Window.unboundedPreceding, -1)
-    files = manifest.select("path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base")).repartition("path")
+    parts = manifest.groupBy("part").agg(F.sum("n_ids").alias("ids"))
+    parts = parts.select("part", (F.sum("ids").over(Window.orderBy("part")) - F.col("ids")).alias("before"))  # a row for each write task
+    within = F.sum("n_ids").over(Window.partitionBy("part").orderBy("number")) - F.col("n_ids")
+    files = manifest.select("path", "part", within.alias("within")).join(parts, "part").select("path", (F.col("before") + F.col("within")).alias("base"))
+    files = files.repartition(max(1, manifest.count()), "path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -262,3 +290,32 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+def lookup_token_files(manifest: DataFrame, keys: DataFrame) -> DataFrame:
+    """doc_id, ids of the wanted keys: each key finds its files by range and its ids by the perfect hash.
+
+    Files and keys meet in ranges of doc_ids of one width, so neither side is broadcast; a
+    file that spans several ranges stands in each. A key that no file holds gives no row, a
+    null key neither; a key held by several files (documents that share it) gives a row for
+    each.
+    """
+    wanted = keys.select(keys["doc_id"].cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    files = manifest.where("last_doc is not null").select("path", F.col("first_doc").alias("first"), F.col("last_doc").alias("last"))
+    low, high, n = files.agg(F.min("last"), F.max("last"), F.count("*")).first()
+    low, width = low or 0, max(1, ((high or 0) - (low or 0)) // max(1, n) + 1)
+    place = lambda c: F.floor((F.greatest(c, F.lit(low)) - low) / width)
+    spans = files.select("path", "first", "last", F.explode(F.sequence(place(F.coalesce("first", F.lit(low))), place(F.col("last")))).alias("range"))
+    met = wanted.withColumn("range", place(F.col("doc_id"))).join(spans, "range").where("doc_id <= last and (first is null or doc_id >= first)")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            paths, doc = np.array(b.column("path").to_pylist(), object), b.column("doc_id").to_numpy()
+            for path in dict.fromkeys(paths.tolist()):
+                some = doc[paths == path]
+                with _open(path, "r") as f:
+                    shard = Shard(f)
+                    got = [(k, ids.astype(np.int64)) for k, ids in ((k, shard.get(k)) for k in some.tolist()) if ids is not None]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.int64()), pa.array([x for _, x in got], pa.list_(pa.int64()))], names=["doc_id", "ids"])
+
+    return met.select("path", "doc_id").repartition("path").sortWithinPartitions("path").mapInArrow(run, "doc_id long, ids array<long>")

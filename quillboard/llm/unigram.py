@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quillboard.llm.bpe import WHITE, _Runs
+from quillboard.llm.bpe import LONG, WHITE, _Runs
 
 UNKNOWN_PENALTY = 10.0
 SPACE_MARK = "▁"
@@ -36,26 +36,38 @@ class Counter:
             if piece:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
+        self.longest = max(len(p) for p, _ in pieces)
         self.unknown = min(s for _, s in pieces) - UNKNOWN_PENALTY
         self.counted = _Runs(self.count, 500_000)
 
     def count(self, run: str) -> tuple[int, float]:
-        """Pieces and score of the best segmentation of one word, its space mark included."""
+        """Pieces and score of the best segmentation of one word, its space mark included.
+
+        The word goes by in blocks; of the places before a block only as many are held as
+        the longest piece has characters.
+        """
         word = SPACE_MARK + run
-        score, pieces, upto = [0.0] + [float("-inf")] * len(word), [0] * (len(word) + 1), 1
-        single = bytearray(len(word))
-        ends: list[list[tuple[int, float]]] = [[] for _ in word]
-        for end, match in self.automaton.iter(word):
-            ends[end].append(match)  # longest first
-            single[end] |= match[0] == 1
-        for upto in range(1, len(word) + 1):
-            best, n = float("-inf"), 0
-            for size, s in ends[upto - 1]:
-                if (x := score[upto - size] + s) > best:
-                    best, n = x, pieces[upto - size] + 1
-            if not single[upto - 1] and (x := score[upto - 1] + self.unknown) > best:
-                best, n = x, pieces[upto - 1] + len(word[upto - 1].encode())
-            score[upto], pieces[upto] = best, n
+        score, pieces, base = [0.0], [0], 0  # of the places from base on
+        for lo in range(0, len(word), LONG):
+            hi = min(len(word), lo + LONG)
+            single = bytearray(hi - lo)
+            ends: list[list[tuple[int, float]]] = [[] for _ in range(hi - lo)]
+            for end, match in self.automaton.iter(word, max(0, lo - self.longest), hi):
+                if end >= lo:
+                    ends[end - lo].append(match)  # longest first
+                    single[end - lo] |= match[0] == 1
+            for at in range(lo, hi):
+                best, n = float("-inf"), 0
+                for size, s in ends[at - lo]:
+                    if (x := score[at + 1 - size - base] + s) > best:
+                        best, n = x, pieces[at + 1 - size - base] + 1
+                if not single[at - lo] and (x := score[-1] + self.unknown) > best:
+                    best, n = x, pieces[-1] + len(word[at].encode())
+                score.append(best)
+                pieces.append(n)
+            if hi < len(word):
+                base = max(base, hi - self.longest)
+                score, pieces = score[-(hi - base + 1) :], pieces[-(hi - base + 1) :]
         return pieces[-1], score[-1]
 
 
