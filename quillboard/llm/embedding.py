@@ -3,7 +3,8 @@
 Two codebooks, one for each half of the vectors, form a product grid of cells. Each
 vector stays in its own cell and visits the nearest other cells in the order of a
 multi-sequence traversal, until the cells left hold less than 1 - target recall of its
-neighbours; what meets in a cell is verified by the exact cosine.
+neighbours; what meets in a cell is verified by the exact cosine. How far that is, is measured:
+some queries are held against all rows. Vectors of different dimension have grids of their own.
 """
 
 from __future__ import annotations
@@ -13,12 +14,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from quillboard.llm._graph import connected_components
 from quillboard.llm._scratch import Scratch
 
 SAMPLE = 8192
+CENTRES = 1024
+QUERIES = 256
+BINS = 2048  # of a square distance from 0 to 4
 CELL = 512
 BLOCK = 2048
 
@@ -52,26 +56,20 @@ def _walls(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Grid:
-    """Codebooks of the two halves and the reach of a visit, fitted on a bounded sample."""
+    """Codebooks of the two halves, fitted on a bounded sample, and the reach of a visit."""
 
-    def __init__(self, sample: np.ndarray, labels: np.ndarray, rows: int, cosine: float, recall: float):
+    def __init__(self, sample: np.ndarray, rows: int):
         x = _unit(sample.astype(np.float64))
         self.half = x.shape[1] // 2
-        k = int(np.clip(np.ceil(np.sqrt(rows / CELL)), 1, 256))
-        self.books = [_codebook(p, min(k, len(p))) for p in (x[:, : self.half], x[:, self.half :]) if p.shape[1]]
-        while len(self.books) < 2:
-            self.books.append(np.zeros((1, 0)))
-        homes, walls = self.place(x)
-        seen = []
-        for label in np.unique(labels):
-            at = np.flatnonzero(labels == label)
-            for lo in range(0, len(at), 1024):
-                i, j = np.nonzero(x[at[lo : lo + 1024]] @ x[at].T >= cosine)
-                i, j = at[i + lo], at[j]
-                seen.append(walls[0][i, homes[0][j]] + walls[1][i, homes[1][j]])
-        seen = np.concatenate(seen) if seen else np.zeros(1)
-        floor = 3 * np.sqrt(2 - 2 * cosine) / np.sqrt(x.shape[1])
-        self.reach = max(float(np.quantile(seen, recall)) * 1.5, floor**2)
+        k = int(np.clip(np.ceil(np.sqrt(rows / CELL)), 1, CENTRES))
+        self.books = [_codebook(p, max(1, min(k, len(p) // 8))) if p.shape[1] else np.zeros((1, 0)) for p in (x[:, : self.half], x[:, self.half :])]
+        self.reach = 0.0
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Square distance from each x to the walls of the cell of each y."""
+        _, (w1, w2) = self.place(x)
+        (h1, h2), _ = self.place(y)
+        return w1[:, h1] + w2[:, h2]
 
     def place(self, x: np.ndarray) -> tuple[tuple, tuple]:
         (h1, w1), (h2, w2) = _walls(x[:, : self.half], self.books[0]), _walls(x[:, self.half :], self.books[1])
@@ -93,48 +91,97 @@ class Grid:
         return out
 
 
+def _fit_grids(classes: DataFrame, cosine: float, recall: float) -> dict[int, Grid]:
+    """A grid for each dimension: codebooks of a sample, the reach of sampled queries against all rows.
+
+    The driver gets at most SAMPLE vectors and one histogram for each dimension.
+    """
+    sizes = dict(classes.groupBy("width").count().collect())
+    first = Window.partitionBy("width").orderBy(F.xxhash64("key"), "rep")
+    picked = classes.select("width", "label", "key", "rep", "v", F.row_number().over(first).alias("at")).where(F.col("at") <= SAMPLE)
+    rows = sorted(picked.select("width", "at", F.col("label").cast("string").alias("label"), "rep", "v").collect(), key=lambda r: (r["width"], r["at"]))
+    grids, queries = {}, {}
+    for width in sizes:
+        mine = [r for r in rows if r["width"] == width]
+        grids[width] = Grid(np.array([r["v"] for r in mine], np.float64), sizes[width])
+        some = mine[:QUERIES]
+        queries[width] = (_unit(np.array([r["v"] for r in some], np.float64)), np.array([r["label"] for r in some]), np.array([r["rep"] for r in some]))
+
+    def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[int, np.ndarray] = {}
+        for b in batches:
+            for width, some in b.groupby("width"):
+                q, labels, reps = queries[width]
+                for lo in range(0, len(some), 2048):
+                    part = some.iloc[lo : lo + 2048]
+                    x = _unit(np.array(part["v"].tolist(), np.float64))
+                    near = (q @ x.T >= cosine) & (labels[:, None] == part["label"].to_numpy()[None]) & (reps[:, None] != part["rep"].to_numpy()[None])
+                    i, j = np.nonzero(near)
+                    if len(i):
+                        use = np.unique(j)
+                        far = grids[width].apart(q, x[use])[i, np.searchsorted(use, j)]
+                        tally = np.bincount(np.minimum((far / 4 * BINS).astype(int), BINS - 1), minlength=BINS)
+                        seen[width] = seen.get(width, 0) + tally
+        for width, tally in seen.items():
+            at = np.flatnonzero(tally)
+            yield pd.DataFrame({"width": width, "bin": at, "n": tally[at]})
+
+    tallies = classes.select("width", F.col("label").cast("string").alias("label"), "rep", "v").mapInPandas(met, "width int, bin int, n long").groupBy("width", "bin").agg(F.sum("n").alias("n")).collect()
+    for width, grid in grids.items():
+        mine = sorted((r["bin"], r["n"]) for r in tallies if r["width"] == width)
+        upto, total, needed = 0, sum(n for _, n in mine), 0.0
+        for at, n in mine:
+            upto += n
+            needed = 4 * (at + 1) / BINS
+            if upto >= recall * total:
+                break
+        floor = 9 * (2 - 2 * cosine) / width
+        grid.reach = max(needed, floor)
+    return grids
+
+
 def near_vectors(embeddings: DataFrame, scratch: Scratch, cosine: float = 0.98, recall: float = 0.999) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row.
 
-    Rows link when their labels are equal and not null and their cosine in double precision
-    is at least ``cosine``. Vectors that are null, zero, or hold null or non-finite parts,
-    and those whose dimension is not the commonest of the sample, link with nothing, nor do
-    rows with a null vec_id (their component_id is null). Each repeated row is another
-    vector. The grid is fitted on at most SAMPLE rows; all rows are indexed. Equal vectors
-    are collapsed first, and cells of more than BLOCK rows are compared block by block.
+    Rows link when their labels are equal and not null, their dimensions are equal and their
+    cosine in double precision is at least ``cosine``. Vectors that are null, zero, or hold
+    null or non-finite parts link with nothing, nor do rows with a null vec_id (their
+    component_id is null). Each repeated row is another vector. The grids are fitted on at
+    most SAMPLE rows of a dimension; all rows are indexed. Equal vectors are collapsed
+    first, and cells of more than BLOCK rows are compared block by block. Beyond
+    CENTRES * CENTRES * CELL vectors of a dimension, cells grow with the table.
     """
-    raw = embeddings.select(embeddings["vec_id"].cast("long").alias("vec_id"), embeddings["label"].alias("label"), embeddings["embedding"].cast("array<float>").alias("v"))
+    kind = dict(embeddings.dtypes)["embedding"]
+    kind = kind if kind == "array<float>" else "array<double>"
+    raw = embeddings.select(embeddings["vec_id"].cast("long").alias("vec_id"), embeddings["label"].alias("label"), embeddings["embedding"].cast(kind).alias("v"))
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     good = F.coalesce(usable & finite, F.lit(False))
     keyed = raw.select("vec_id", "label", F.when(good, F.md5(F.col("v").cast("string"))).alias("key"), "v")
-    classes = scratch.table("classes", keyed.where("key is not null").groupBy("label", "key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"), F.first("v").alias("v")))
-    rows = classes.count()
-    picked = classes.orderBy(F.xxhash64("key"), "rep").limit(SAMPLE).select("label", "v").collect()
+    classes = keyed.where("key is not null").groupBy("label", "key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"), F.first("v").alias("v"))
+    classes = scratch.table("classes", classes.withColumn("width", F.size("v")))
     alone = keyed.where("key is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    if not picked:
+    grids = _fit_grids(classes, cosine, recall)
+    if not grids:
         return alone
-    width = pd.Series([len(r["v"]) for r in picked]).mode()[0]
-    picked = [r for r in picked if len(r["v"]) == width]
-    _, codes = np.unique([str(r["label"]) for r in picked], return_inverse=True)
-    grid = Grid(np.array([r["v"] for r in picked], np.float32), codes, rows, cosine, recall)
-    known = classes.where(F.size("v") == int(width))
     label_kind = dict(classes.dtypes)["label"]
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            if not len(b):
-                continue
-            x = _unit(np.array(b["v"].tolist(), np.float64))
-            (h1, h2), (w1, w2) = grid.place(x)
-            cells = [grid.visits(p, q) for p, q in zip(w1, w2, strict=True)]
-            home = h1 * len(grid.books[1]) + h2
-            cells = [[h, *(c for c in cs if c != h)] for h, cs in zip(home.tolist(), cells, strict=True)]
-            out = b.assign(home=home, visits=cells)
-            out["cell"] = cells
-            yield out.explode("cell")[["label", "cell", "home", "visits", "rep", "size", "v"]].astype({"cell": "int32"})
-
-    routed = scratch.table("routed", known.select("label", "rep", "size", "v").mapInPandas(route, f"label {label_kind}, cell int, home int, visits array<int>, rep long, size long, v array<float>"))
+            for width, some in b.groupby("width"):
+                grid = grids[width]
+                x = _unit(np.array(some["v"].tolist(), np.float64))
+                (h1, h2), (w1, w2) = grid.place(x)
+                cells = [grid.visits(p, q) for p, q in zip(w1, w2, strict=True)]
+                home = h1 * len(grid.books[1]) + h2
+                cells = [[h, *(c for c in cs if c != h)] for h, cs in zip(home.tolist(), cells, strict=True)]
+                out = some.assign(home=home, visits=cells)
+                out["cell"] = cells
+                yield out.explode("cell")[["label", "width", "cell", "home", "visits", "rep", "size", "v"]].astype({"cell": "int32"})
+
+    routed = classes.select("label", "width", "rep", "size", "v").mapInPandas(route, f"label {label_kind}, width int, cell int, home int, visits array<int>, rep long, size long, v {kind}")
+    # a cell's key tells dimensions apart
+    routed = scratch.table("routed", routed.withColumn("label", F.struct("label", "width")).drop("width"))
     split = routed.where("cell = home").groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
     dealt = routed.join(split, ["label", "cell"]).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
     # A vector at home meets its cell's other parts; a visitor meets each part once.

@@ -13,6 +13,11 @@ single shingles; those that are still unsettled, members of large groups of near
 compared with the group's pivot, its most central set, and, where that leaves some of them in
 different components, block by block with the rest of the group.
 
+Exact copies are one set: a task deals a text's codes once, however often it meets the text.
+Codes meet by range of their hashes; in tables of more than ``SPLIT`` sets, each range is
+dealt in as many parts by set first, where a code with more than ``HOT`` sets is told hot and
+its sets go no further, so that what meets in the end is bounded for every code.
+
 Set comparisons use 64-bit hashes of the shingles.
 """
 
@@ -33,6 +38,9 @@ NUMERATOR, DENOMINATOR = 75, 100
 HOT = 32  # a code that more sets share pairs nothing by itself
 BLOCK = 512  # sets of a pivot's group that are compared at once
 BUCKET_CODES = 500_000
+SPLIT = 500_000  # sets for which one code's references fit in a task
+SEEN = 500_000  # texts that a task remembers so as not to deal them again
+TOLD = (1 << 40) - 1  # the reference of a code that is known to be hot
 TOKENS, FIRST = 0, 6  # the band of small sets, whose shingles are parts of their own; the first band of 2**6 parts
 MULTIPLIERS = mix(np.arange(101, 101 + WIDTH, dtype=np.uint64))
 REF = np.uint64((1 << 40) - 1)
@@ -84,7 +92,7 @@ def _loss(n: int, band: int, own: int) -> int:
 
 
 def _ref(key: int, band: int) -> int:
-    return int((mix(np.array([key], np.int64).view(np.uint64) + np.array([band], np.uint64) * np.uint64(0xD6E8FEB86659FD93)) & REF)[0])
+    return int((mix(np.array([key], np.int64).view(np.uint64) + np.array([band], np.uint64) * np.uint64(0xD6E8FEB86659FD93)) % REF)[0])
 
 
 def set_table(documents: DataFrame) -> DataFrame:
@@ -122,24 +130,58 @@ DEALT = "bucket long, code binary, ref binary, top binary"
 MET = "kind int, a long, b long, n long"  # 0: a pair and its common codes; 1: a pivot and a set; 2: a set and its hot codes
 
 
-def _meet(table: pa.Table, pivots: bool) -> pa.Table:
+def _codes_and_refs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (code, reference) of a bucket, in order; exact copies are one set."""
     joined = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
     code = joined("code", np.uint32)
-    order = np.argsort(code, kind="stable")
-    code = code[order]
-    same = code[1:] == code[:-1]
-    twice = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-    code, order = code[twice], order[twice]
-    ref = joined("ref", np.uint32)[order].astype(np.int64) | joined("top", np.uint8)[order].astype(np.int64) << 32
+    ref = joined("ref", np.uint32).astype(np.int64) | joined("top", np.uint8).astype(np.int64) << 32
+    return code, ref
+
+
+def _distinct(code: np.ndarray, ref: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((ref, code))
     code, ref = code[order], ref[order]
     fresh = np.concatenate(([True], (code[1:] != code[:-1]) | (ref[1:] != ref[:-1]))) if len(code) else np.empty(0, bool)
-    code, ref = code[fresh], ref[fresh]  # exact copies are one set
+    return code[fresh], ref[fresh]
+
+
+def _shared(code: np.ndarray, ref: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Only the codes that stand more than once."""
+    order = np.argsort(code, kind="stable")
+    same = code[order][1:] == code[order][:-1]
+    twice = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))] if len(order) else order
+    return code[twice], ref[twice]
+
+
+def _starts(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else np.empty(0, np.int64)
-    sizes = np.diff(np.append(starts, len(code)))
+    return starts, np.diff(np.append(starts, len(code)))
+
+
+def _thin(table: pa.Table) -> pa.Table:
+    """A part of a bucket without the sets of its hot codes: those are tallied and each hot code is told once."""
+    bucket = table.column("bucket")[0].as_py()
+    code, ref = _distinct(*_codes_and_refs(table))
+    starts, sizes = _starts(code)
+    hot = sizes > HOT
+    drop = np.repeat(hot, sizes)
+    x, n = np.unique(ref[drop], return_counts=True)
+    code, ref = np.append(code[~drop], code[starts[hot]]), np.append(ref[~drop], np.full(int(hot.sum()), TOLD))
+    rows = len(x) + 1
+    return pa.table({
+        "kind": pa.array([2] * len(x) + [3], pa.int32()), "a": pa.array([*x.tolist(), None], pa.int64()), "b": pa.array([*x.tolist(), None], pa.int64()), "n": pa.array([*n.tolist(), None], pa.int64()),
+        "bucket": pa.array([bucket] * rows, pa.int64()), "code": pa.array([None] * len(x) + [code.tobytes()], pa.binary()),
+        "ref": pa.array([None] * len(x) + [ref.astype(np.uint32).tobytes()], pa.binary()), "top": pa.array([None] * len(x) + [(ref >> 32).astype(np.uint8).tobytes()], pa.binary()),
+    })
+
+
+def _meet(table: pa.Table, pivots: bool) -> pa.Table:
+    code, ref = _distinct(*_shared(*_codes_and_refs(table)))
+    starts, sizes = _starts(code)
+    told = np.maximum.reduceat(ref, starts) == TOLD if len(starts) else np.empty(0, bool)
     a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for size in range(2, HOT + 1):
-        at = starts[sizes == size]
+        at = starts[(sizes == size) & ~told]
         if len(at):
             group = ref[at[:, None] + np.arange(size)]
             i, j = np.triu_indices(size, 1)
@@ -147,12 +189,12 @@ def _meet(table: pa.Table, pivots: bool) -> pa.Table:
             b.append(group[:, j].ravel())
     x, y, n = _tallied(np.concatenate(a), np.concatenate(b))
     rows = [(np.zeros(len(x)), x, y, n)]
-    hot = sizes > HOT
+    hot = (sizes > HOT) | told
     if pivots and hot.any():
         pivot, other = np.repeat(ref[starts[hot]], sizes[hot]), ref[np.repeat(hot, sizes)]  # the references of a code are in order
         x, y, n = _tallied(pivot[pivot < other], other[pivot < other])
         rows.append((np.ones(len(x)), x, y, n))
-    x, n = np.unique(ref[np.repeat(hot, sizes)], return_counts=True)
+    x, n = np.unique(ref[np.repeat(hot, sizes) & (ref != TOLD)], return_counts=True)
     rows.append((np.full(len(x), 2), x, x, n))
     kind, x, y, n = (np.concatenate(c).astype(np.int64) for c in zip(*rows, strict=True))
     return pa.table({"kind": pa.array(kind.astype(np.int32)), "a": x, "b": y, "n": n})
@@ -170,32 +212,47 @@ def _bits(codes: int) -> int:
     return max(0, min(31, int(np.ceil(np.log2(max(1, codes / BUCKET_CODES))))))
 
 
-def _first_meeting(documents: DataFrame, codes: int, scratch: Scratch) -> DataFrame:
-    bits = _bits(codes)
+def _first_meeting(documents: DataFrame, codes: int, sets: int, scratch: Scratch) -> DataFrame:
+    bits, parts = _bits(codes), -(-sets // SPLIT)
+    bits = max(0, bits - int(np.log2(parts)))  # as many groups as without parts
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, refs, held = [], [], 0
+        held, n, seen = [[] for _ in range(parts)], 0, set()
         for b in batches:
             for s in shingle_sets(b.column("text")):
                 if len(s):
-                    key = _fingerprint(s)[0]
+                    print_ = _fingerprint(s)
+                    if print_ in seen:
+                        continue
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(print_)
                     for band in _bands(len(s)):
-                        codes.append(_sketch(s, band))
-                        refs.append(np.full(len(codes[-1]), _ref(key, band), np.uint64))
-                        held += len(codes[-1])
-                if held > 500_000:
-                    yield _dealt(codes, refs, bits)
-                    codes, refs, held = [], [], 0
-        if codes:
-            yield _dealt(codes, refs, bits)
-
-    dealt = documents.select(documents["text"].alias("text")).mapInArrow(deal, DEALT)
-    return scratch.table("met", dealt.groupBy("bucket").applyInArrow(lambda t: _meet(t, False), MET))
+                        code, ref = _sketch(s, band), _ref(print_[0], band)
+                        held[ref % parts].append((code, np.full(len(code), ref, np.uint64)))
+                        n += len(code)
+                if n > 500_000:
+                    yield from dealt_parts(held)
+                    held, n = [[] for _ in range(parts)], 0
+        yield from dealt_parts(held)
+
+    def dealt_parts(held: list[list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+        for part, some in enumerate(held):
+            if some:
+                rows = _dealt(*(list(x) for x in zip(*some, strict=True)), bits)
+                yield rows.append_column("part", pa.array([part] * len(rows), pa.int32())) if parts > 1 else rows
+
+    texts = documents.select(documents["text"].alias("text"))
+    if parts == 1:
+        return scratch.table("met", texts.mapInArrow(deal, DEALT).groupBy("bucket").applyInArrow(lambda t: _meet(t, False), MET))
+    thinned = scratch.table("thinned", texts.mapInArrow(deal, f"{DEALT}, part int").groupBy("bucket", "part").applyInArrow(_thin, f"{MET}, {DEALT}"))
+    met = thinned.where("kind = 3").select("bucket", "code", "ref", "top").groupBy("bucket").applyInArrow(lambda t: _meet(t, False), MET)
+    return scratch.table("met", met.unionAll(thinned.where("kind = 2").select("kind", "a", "b", "n")))
 
 
 def _central_ref(unshared: float, key: int) -> int:
     """A reference whose order puts sets with fewer unshared codes first: they make the better pivots."""
-    return min(255, int(unshared * 256)) << 32 | _ref(key, TOKENS) & 0xFFFFFFFF
+    return min(254, int(unshared * 256)) << 32 | _ref(key, TOKENS) & 0xFFFFFFFF
 
 
 def _second_meeting(sets: DataFrame, codes: int, scratch: Scratch) -> DataFrame:
@@ -218,12 +275,13 @@ def _sets(documents: DataFrame) -> DataFrame:
             prints = [_fingerprint(c) for c in codes]
             yield pa.RecordBatch.from_arrays([b.column("rep"), pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64()), pa.array([c.tobytes() for c in codes], pa.binary())], names=["rep", "hi", "lo", "codes"])
 
-    return documents.mapInArrow(run, "rep long, hi long, lo long, codes binary")
+    found = documents.mapInArrow(run, "rep long, hi long, lo long, codes binary")
+    return found.select(F.struct("rep", "hi", "lo").alias("cls"), "codes")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b (representatives), shared and all shingles of each pair."""
-    one = lambda x: sets.select(F.col("rep").alias(x), F.col("codes").alias(f"codes_{x}"))
+    """a, b (classes), shared and all shingles of each pair."""
+    one = lambda x: sets.select(F.col("cls").alias(x), F.col("codes").alias(f"codes_{x}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -237,7 +295,11 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 total.append(len(both) - n)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(shared, pa.int64()), pa.array(total, pa.int64())], names=["a", "b", "shared", "total"])
 
-    return pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "codes_a", "codes_b").mapInArrow(run, "a long, b long, shared long, total long")
+    return pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "codes_a", "codes_b").mapInArrow(run, f"a {CLASS}, b {CLASS}, shared long, total long")
+
+
+#: A class of equal sets: its smallest doc_id, which other classes may share, and the set's fingerprint.
+CLASS = "struct<rep: bigint, hi: bigint, lo: bigint>"
 
 
 def _block_links(table: pa.Table) -> pa.Table:
@@ -294,17 +356,18 @@ def shingle_join(documents: DataFrame, scratch: Scratch) -> DataFrame:
     docs = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"].alias("text"))
     table = scratch.table("sets-of", set_table(docs))
     named = table.where("doc_id is not null and n > 0")
-    classes = scratch.table("classes", named.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")))
-    total = classes.agg(F.sum(F.aggregate("bands", F.lit(0).cast("long"), lambda s, x: s + x["parts"]))).first()[0] or 0
-    refs = classes.select("rep", "n", F.explode("bands").alias("x")).select("rep", "n", "x.*")
+    classes = named.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    classes = scratch.table("classes", classes.select(F.struct("rep", "hi", "lo").alias("cls"), "n", "bands"))
+    total, count = classes.agg(F.sum(F.aggregate("bands", F.lit(0).cast("long"), lambda s, x: s + x["parts"])), F.count("*")).first()
+    refs = classes.select("cls", "n", F.explode("bands").alias("x")).select("cls", "n", "x.*")
 
-    met = _first_meeting(docs.where("doc_id is not null"), total, scratch)
+    met = _first_meeting(docs.where("doc_id is not null"), total or 0, max(1, count), scratch)
     fits = (F.least("n_a", "n_b") * DENOMINATOR >= F.greatest("n_a", "n_b") * NUMERATOR) & (F.col("a") != F.col("b"))
     losses = F.expr(f"(n_a + n_b) * {DENOMINATOR - NUMERATOR} div {DENOMINATOR + NUMERATOR}")
 
     def close_pairs(found: DataFrame, of: DataFrame) -> DataFrame:
         """Pairs whose common codes, shared hot ones at best, leave no more differences than a link allows."""
-        side = lambda x: of.select(F.col("ref").alias(f"ref_{x}"), F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("parts").alias(f"parts_{x}"), F.col("hot").alias(f"hot_{x}"))
+        side = lambda x: of.select(F.col("ref").alias(f"ref_{x}"), F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("parts").alias(f"parts_{x}"), F.col("hot").alias(f"hot_{x}"))
         pairs = found.where("kind = 0").groupBy(F.col("a").alias("ref_a"), F.col("b").alias("ref_b")).agg(F.sum("n").alias("common"))
         pairs = pairs.join(side("a"), "ref_a").join(side("b"), "ref_b")
         pairs = pairs.where(fits & (F.col("common") + F.least("hot_a", "hot_b") >= F.greatest("parts_a", "parts_b") - losses))
@@ -316,12 +379,11 @@ def shingle_join(documents: DataFrame, scratch: Scratch) -> DataFrame:
 
     refs = scratch.table("refs", with_hot(refs, met))
     pairs = scratch.table("pairs", close_pairs(met, refs))
-    unsettled = scratch.table("unsettled", refs.where("parts - loss - hot < 1").groupBy("rep").agg(F.min((F.col("parts") - F.col("hot")) / F.col("parts")).alias("unshared")))
+    unsettled = scratch.table("unsettled", refs.where("parts - loss - hot < 1").groupBy("cls").agg(F.min((F.col("parts") - F.col("hot")) / F.col("parts")).alias("unshared")))
 
-    involved = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(unsettled.select("rep")).distinct()
-    needed = classes.join(involved, "rep", "left_semi").select("rep", "hi", "lo")
-    texts = docs.join(needed.select("rep").distinct(), F.col("doc_id") == F.col("rep"))
-    sets = scratch.table("sets", _sets(texts.select("rep", "text")).join(needed, ["rep", "hi", "lo"], "left_semi").dropDuplicates(["rep"]))
+    involved = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(unsettled.select("cls")).distinct()
+    texts = docs.join(involved.select(F.col("cls.rep").alias("rep")).distinct(), F.col("doc_id") == F.col("rep"))
+    sets = scratch.table("sets", _sets(texts.select("rep", "text")).join(involved, "cls", "left_semi").dropDuplicates(["cls"]))
 
     linked = f"shared * {DENOMINATOR} >= total * {NUMERATOR}"
 
@@ -329,36 +391,44 @@ def shingle_join(documents: DataFrame, scratch: Scratch) -> DataFrame:
         return scratch.table(f"parts-{name}", connected_components(edges, scratch, f"steps-{name}"))
 
     def edges_of(checked: DataFrame, name: str) -> DataFrame:
-        return scratch.table(f"edges-{name}", checked.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v")))
+        return scratch.table(f"edges-{name}", checked.where(linked).select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v")))
 
     edges = edges_of(_verified(pairs, sets), "first")
     if unsettled.isEmpty():
         parts = joined(edges, "first")
     else:
         ref = F.udf(_central_ref, "long")
-        loose = scratch.table("loose", classes.join(unsettled, "rep").select("rep", "n", ref("unshared", "hi").alias("ref")))
-        again = sets.join(loose, "rep").select("ref", "codes")
+        loose = scratch.table("loose", classes.join(unsettled, "cls").select("cls", "n", ref("unshared", "cls.hi").alias("ref")))
+        again = sets.join(loose, "cls").select("ref", "codes")
         met2 = _second_meeting(again, loose.agg(F.sum("n")).first()[0], scratch)
-        refs2 = scratch.table("refs2", with_hot(loose.select("ref", "rep", "n", F.col("n").alias("parts")), met2))
+        refs2 = scratch.table("refs2", with_hot(loose.select("ref", "cls", "n", F.col("n").alias("parts")), met2))
         losing = F.expr(f"(n + n * {DENOMINATOR} div {NUMERATOR}) * {DENOMINATOR - NUMERATOR} div {DENOMINATOR + NUMERATOR}")
         still = refs2.where(F.col("n") - losing - F.col("hot") < 1).select(F.col("ref").alias("b"))
         around = met2.where("kind = 1").join(still, "b", "left_semi").select(F.col("a").alias("ref_a"), F.col("b").alias("ref_b")).distinct()
-        spokes = around.join(refs2.select(F.col("ref").alias("ref_a"), F.col("rep").alias("a")), "ref_a").join(refs2.select(F.col("ref").alias("ref_b"), F.col("rep").alias("b")), "ref_b").where("a != b")
+        spokes = around.join(refs2.select(F.col("ref").alias("ref_a"), F.col("cls").alias("a")), "ref_a").join(refs2.select(F.col("ref").alias("ref_b"), F.col("cls").alias("b")), "ref_b").where("a != b")
         stars = scratch.table("stars", _verified(spokes.select("a", "b").distinct(), sets))
         edges = edges.union(edges_of(_verified(close_pairs(met2, refs2), sets), "second")).union(edges_of(stars, "stars"))
         parts = joined(edges, "stars")
         # What is still apart around a pivot is compared block by block.
-        far = stars.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), (1 - F.col("shared") / F.col("total")).alias("d"), F.expr(linked).alias("near"))
+        far = stars.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), F.col("b.rep").alias("rep"), (1 - F.col("shared") / F.col("total")).alias("d"), F.expr(linked).alias("near"))
         far = far.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         groups = far.groupBy("pivot").agg(F.count("*").alias("size"), F.count_if(~F.col("near")).alias("loose")).where("loose > 0")
-        dealt = far.join(groups.select("pivot", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "pivot").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        dealt = far.join(groups.select("pivot", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "pivot").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
         meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("x"), F.greatest("block", j).alias("y")))
-        dealt = dealt.select("pivot", "rep", "d", "near", "component", "block", F.explode(meets).alias("m")).select("pivot", "m.x", "m.y", "rep", "d", "near", "component", "block")
-        late = scratch.table("late", dealt.join(sets.select("rep", "codes"), "rep").groupBy("pivot", "x", "y").applyInArrow(_block_links, "u long, v long"))
+        dealt = dealt.select("pivot", "cls", "rep", "d", "near", "component", "block", F.explode(meets).alias("m")).select("pivot", "m.x", "m.y", "cls", "rep", "d", "near", "component", "block")
+        late = scratch.table("late", dealt.join(sets, "cls").drop("cls").groupBy("pivot", "x", "y").applyInArrow(_block_links, "u long, v long"))
         if not late.isEmpty():
             parts = joined(edges.union(late), "late")
 
-    homes = classes.select("hi", "lo", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("hi", "lo", F.coalesce("component", "rep").alias("component_id"))
+    homes = classes.select("cls.hi", "cls.lo", "cls.rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("hi", "lo", F.coalesce("component", "rep").alias("home"))
+    placed = named.join(homes, ["hi", "lo"]).select("doc_id", F.col("n").alias("n_shingles"), F.col("home").alias("component_id"))
+    if not named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        placed = _one_home(placed, scratch)
     alone = table.where("doc_id is null or n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    placed = named.join(homes, ["hi", "lo"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return placed.union(alone)
+
+
+def _one_home(placed: DataFrame, scratch: Scratch) -> DataFrame:
+    """Components joined once more by the doc_ids that stand in several of them."""
+    homes = connected_components(placed.select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")), scratch, "shared-ids").select(F.col("node").alias("doc_id"), "component")
+    return placed.join(homes, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "component_id").alias("component_id"))

@@ -15,31 +15,17 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 BUCKETS = 4096
 
 
-def target_parts(counts: dict[str, int], max_share: float, period: int = 1000) -> tuple[dict[str, int], list[str]]:
-    """Integer parts of a period for each source, and the sources that ``max_share`` holds down.
+def natural_parts(counts: dict[str, int], period: int = 1000) -> dict[str, int]:
+    """Whole parts of a period in proportion to the sources' sizes, one at least for each.
 
-    Natural shares, but no source above ``max_share``; the rest is dealt out in proportion.
-    Each source gets at least one part, so the period grows where there are many sources.
-    The sizes are of the list of sources, not of the data.
+    The period grows where there are many sources; what rounding leaves goes to the
+    sources that are furthest below their share.
     """
-    held: list[str] = []
-    while True:
-        rest = {s: n for s, n in counts.items() if s not in held}
-        left, total = 1 - max_share * len(held), sum(rest.values())
-        over = [s for s, n in rest.items() if left <= 0 or n * left > max_share * total]
-        if len(over) == len(rest):  # the bound cannot hold for all: no source is held down further
-            break
-        if not over:
-            break
-        held += over
-    if not held or left <= 0 or len(over) == len(rest):
-        held, left, rest = [], 1.0, dict(counts)
-    total, period = sum(rest.values()), max(period, 4 * len(counts))
-    share = {s: max_share if s in held else left * n / total for s, n in counts.items()}
-    parts = {s: max(1, int(share[s] * period)) for s in counts}
-    for s in sorted(counts, key=lambda s: (parts[s] - share[s] * period, s))[: max(0, period - sum(parts.values()))]:
+    total, period = sum(counts.values()), max(period, 4 * len(counts))
+    parts = {s: max(1, n * period // total) for s, n in counts.items()}
+    for s in sorted(counts, key=lambda s: (parts[s] - counts[s] * period / total, s))[: max(0, period - sum(parts.values()))]:
         parts[s] += 1
-    return parts, held
+    return parts
 
 
 def edf_period(spark: SparkSession, parts: dict[str, int]) -> DataFrame:
@@ -65,30 +51,19 @@ def edf_period(spark: SparkSession, parts: dict[str, int]) -> DataFrame:
     return slots.select(name.alias("source"), "slot", (F.row_number().over(Window.partitionBy("i").orderBy("slot")) - 1).alias("nth"))
 
 
-def mix_sources(documents: DataFrame, parts: dict[str, int] | None = None, max_share: float = 0.25, block_docs: int = 8, keep: list[str] | None = None) -> DataFrame:
-    """Place every document in the mix of sources.
-
-    Returns the columns of ``keep`` (doc_id and source unless given) with block, place,
-    release, deadline, slot and in_mix. ``slot`` is the block's place in the interleaving,
-    ``place`` the document's place in its block; blocks hold ``block_docs`` documents in
-    the order of the md5 of their doc_id. A source that is spent leaves its slots empty.
-    ``in_mix`` is false for what is left of the held-down sources once every other source
-    is spent: there is nothing left to mix it with. All rows are returned.
-
-    A null source is the source ''. A null doc_id counts as '' in the order; repeated
-    doc_ids get places of their own, in any order among them. An empty table gives an
-    empty result.
-    """
+def placed(documents: DataFrame, keep: list[str], parts: dict[str, int] | None = None, block_docs: int = 8) -> DataFrame:
+    """row (the columns to keep of a document), source, block, place, release, deadline and slot: see mix_sources."""
     spark = documents.sparkSession
-    keep = keep or ["doc_id", "source"]
-    key = F.md5(F.coalesce(documents["doc_id"].cast("string"), F.lit("")))
-    docs = documents.select(F.struct(*[documents[c] for c in keep]).alias("row"), F.coalesce(documents["source"], F.lit("")).alias("source"), key.alias("key"))
+    whole = F.struct(*[documents[f"`{c}`"] for c in documents.columns])
+    # Documents without a doc_id, and those that share one, are told apart by all their columns.
+    key = F.md5(F.concat_ws(" ", documents["doc_id"].cast("string"), F.xxhash64(whole).cast("string")))
+    row = F.struct(*[documents[f"`{c}`"] for c in keep])
+    docs = documents.select(row.alias("row"), F.coalesce(documents["source"], F.lit("")).alias("source"), key.alias("key"))
     docs = docs.withColumn("bucket", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))
     tally = docs.groupBy("source", "bucket").agg(F.count("*").alias("n"))
     counts = dict(tally.groupBy("source").agg(F.sum("n")).collect())  # a row for each source
-    held: list[str] = []
     if parts is None:
-        parts, held = target_parts(counts, max_share) if counts else ({}, [])
+        parts = natural_parts(counts)
     parts = {s: parts.get(s, 1) for s in counts} or {"": 1}
     period = sum(parts.values())
     part = F.create_map(*[x for s, p in parts.items() for x in (F.lit(s), F.lit(p).cast("long"))])
@@ -98,21 +73,36 @@ def mix_sources(documents: DataFrame, parts: dict[str, int] | None = None, max_s
     ranked = docs.join(offsets, ["source", "bucket"]).select("row", "source", (F.col("before") + F.row_number().over(within) - 1).alias("rank"))
     blocks = ranked.select("row", "source", F.expr(f"rank div {block_docs}").alias("block"), (F.col("rank") % block_docs).alias("place"), part[F.col("source")].alias("part"))
     blocks = blocks.withColumn("nth", (F.col("block") % F.col("part")).cast("int")).withColumn("turn", F.expr("block div part"))
-    period_slots = edf_period(spark, parts)
-    placed = blocks.join(F.broadcast(period_slots), ["source", "nth"])  # a row for each slot of the period
-    end = None
-    if held:
-        free = {s: n for s, n in counts.items() if s not in held}
-        last = [((n - 1) // block_docs, s) for s, n in free.items()]
-        laid = {(r["source"], r["nth"]): r["slot"] for r in period_slots.collect()}
-        end = max((b // parts[s] * period + laid[s, b % parts[s]] for b, s in last), default=None)
-    slot = F.col("turn") * period + F.col("slot")
-    return placed.select(
-        "row.*",
+    found = blocks.join(F.broadcast(edf_period(spark, parts)), ["source", "nth"])  # a row for each slot of the period
+    return found.select(
+        "row",
+        "source",
         "block",
         "place",
         F.expr(f"block * {period} div part").alias("release"),
         F.expr(f"((block + 1) * {period} + part - 1) div part").alias("deadline"),
-        slot.alias("slot"),
-        (slot <= end if end is not None else F.lit(True)).alias("in_mix"),
+        (F.col("turn") * period + F.col("slot")).alias("slot"),
     )
+
+
+def mix_sources(documents: DataFrame, parts: dict[str, int] | None = None, block_docs: int = 8) -> DataFrame:
+    """doc_id, source, block, place, release, deadline, slot: the place of every document in the mix.
+
+    ``parts`` gives the target weights as whole parts of a period; without it they are the
+    sources' natural shares. ``slot`` is the block's place in the interleaving, ``place``
+    the document's place in its block; blocks hold ``block_docs`` documents in the order of
+    a digest of their rows. A source that is spent leaves its slots empty. All rows are
+    returned: weights decide the order and nothing is dropped.
+
+    A null source is the source ''. Rows that share a doc_id, or have none, get places of
+    their own; equal rows get theirs in any order. An empty table gives an empty result,
+    further columns are left out. The driver sees a row for each source and lays out one
+    period, a step for each slot with a look at each source: meant for up to some hundreds
+    of sources (a source of many hosts is one source).
+    """
+    return placed(documents, ["doc_id", "source"], parts, block_docs).select("row.doc_id", "row.source", "block", "place", "release", "deadline", "slot")
+
+
+def mixed_documents(documents: DataFrame, parts: dict[str, int] | None = None, block_docs: int = 8) -> DataFrame:
+    """All documents with their own columns, written in the order of the mix."""
+    return placed(documents, documents.columns, parts, block_docs).repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("row.*")

@@ -45,7 +45,7 @@ def op5_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return quality.quality_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), Scratch(spark, "op6"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,14 +3,16 @@
 A string of ``LENGTH`` bytes that occurs twice has the same least k-gram at the same place
 in both, so only the suffixes at those places (anchors, about one byte in thirty) have to be
 sorted. They are dealt to buckets by their k-gram. Anchors with the same whole context are
-repeats of the first of them at once. Where contexts differ, a bucket's suffixes go through
+repeats of the first of them at once: within a task's batch their bytes are compared, across
+batches the k-gram's hash and the context's, 96 bits or more, stand for them. Where contexts differ, a bucket's suffixes go through
 a mergesort that compares two of them by binary search over prefix polynomial hashes for
 their common extension; the extensions of neighbours and the hashes of what stands before
 the anchors tell which strings are equal, and the bytes themselves confirm it.
 
 k-grams with more than ``HOT`` contexts (the edges of a passage that very many documents
-share) are not sorted in one place: their strings are grouped by hash, which combines on
-the way.
+share) are not sorted in one place: their strings themselves are grouped, which combines on
+the way. A batch that holds more than ``LOCAL`` contexts of a k-gram sends them there at once
+and tells the k-gram's bucket, so that no bucket gets all of them.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quillboard.llm._arrow import BYTE, chunks, mix, powers, prefix_hash, utf8
@@ -29,6 +32,8 @@ LENGTH = 100
 GRAM = 40
 SIDE = LENGTH - GRAM  # the most context that a string has on either side of its anchor
 HOT = 20_000
+LOCAL = 512
+NONE = 0xFFFFFFFF  # the tag of a row that only tells that a k-gram is hot
 BUCKET = 500_000
 SORTED = 15_000
 PLANES = ("gram", "context", "doc", "high", "tag", "pos")
@@ -36,11 +41,11 @@ KINDS = (np.uint32, np.uint64, np.uint32, np.uint32, np.uint32, np.uint32)
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Row, place, k-gram hash and context hash of the anchors of some rows."""
+    """Row, place, k-gram hash, context hash and the context's bounds in the bytes of the anchors of some rows."""
     base, data = offsets[0], data[offsets[0] : offsets[-1]]
     ends, none = offsets - base, np.empty(0, np.int64)
     if len(data) < LENGTH:
-        return none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none.astype(np.uint64), none.astype(np.uint64), none, none
     p, inverse = prefix_hash(data), powers(len(data) + 1)[1]
     gram = mix((p[GRAM:] - p[:-GRAM]) * inverse[: len(data) - GRAM + 1])
     least = gram & np.uint64(0xFFFFFFFF00000000) | np.arange(len(gram), dtype=np.uint64)
@@ -56,7 +61,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     row = np.searchsorted(ends, at, "right") - 1
     left, right = np.minimum(SIDE, at - ends[row]), np.minimum(SIDE, ends[row + 1] - at - GRAM)
     context = mix((p[at + GRAM + right] - p[at - left]) * inverse[at - left] + (left * (SIDE + 1) + right).astype(np.uint64))
-    return row, at - ends[row], mix(gram[at]), context  # mixed again: the least hashes are all small
+    return row, at - ends[row], mix(gram[at]), context, at - left, at + GRAM + right  # mixed again: the least hashes are all small
 
 
 def _rows(bucket: np.ndarray, planes: list[np.ndarray]) -> pa.RecordBatch:
@@ -66,25 +71,43 @@ def _rows(bucket: np.ndarray, planes: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]]), *blobs], names=["bucket", *PLANES])
 
 
-def _deal(held: list[tuple[np.ndarray, ...]], bits: int) -> Iterator[pa.RecordBatch]:
-    """The first anchor of each context by buckets; the others, already known as repeats, apart."""
-    gram, context, doc, tag, pos = (np.concatenate(c) for c in zip(*held, strict=True))
+def _deal(held: list[tuple[np.ndarray, ...]], texts: list[np.ndarray], bits: int, batch: int) -> Iterator[pa.RecordBatch]:
+    """The first anchor of each context by buckets; repeats and hot k-grams' contexts in a bucket of this batch."""
+    gram, context, doc, tag, pos, lo, hi = (np.concatenate(c) for c in zip(*held, strict=True))
     order = np.argsort(context, kind="stable")
     same = context[order][1:] == context[order][:-1]
     twice = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
     twice = twice[np.lexsort((pos[twice], tag[twice], doc[twice], context[twice]))]
-    again = twice[np.concatenate(([False], context[twice][1:] == context[twice][:-1]))] if len(twice) else twice
+    new = np.concatenate(([True], context[twice][1:] != context[twice][:-1])) if len(twice) else np.empty(0, bool)
+    again, of = twice[~new], twice[np.maximum.accumulate(np.where(new, np.arange(len(twice)), 0))[~new]] if len(twice) else twice
+    again = again[_same_bytes(np.concatenate(texts), lo, hi, again, of)]  # others have met by a collision of hashes
     first = np.ones(len(gram), bool)
     first[again] = False
     keep = np.flatnonzero(first)
     keep = keep[np.argsort(gram[keep], kind="stable")]
+    _, at, times = np.unique(gram[keep], return_inverse=True, return_counts=True)
+    hot = times[at] > LOCAL
+    told, hot, keep = keep[hot & np.concatenate(([True], at[1:] != at[:-1]))] if len(keep) else keep, keep[hot], keep[~hot]
     bucket = (gram >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(gram), np.int64)
     planes = [gram >> np.uint64(32 - bits) & np.uint64(0xFFFFFFFF), context, doc & 0xFFFFFFFF, doc >> 32 & 0xFFFFFFFF, tag, pos]
     yield _rows(bucket[keep], [x[keep] for x in planes])
-    if len(again):
-        apart = -1 - (pos[again] // 64 + doc[again]) % 64
-        again, apart = again[np.argsort(apart, kind="stable")], np.sort(apart)
-        yield _rows(apart, [x[again] for x in planes])
+    if len(told):
+        yield _rows(bucket[told], [*(x[told] for x in planes[:4]), np.full(len(told), NONE), planes[5][told]])
+    for kind, some in ((0, again), (1, hot)):
+        if len(some):
+            yield _rows(np.full(len(some), -1 - 2 * batch - kind), [x[some] for x in planes])
+
+
+def _same_bytes(data: np.ndarray, lo: np.ndarray, hi: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the contexts i and j are the same bytes, a block of pairs at a time."""
+    out = hi[i] - lo[i] == hi[j] - lo[j]
+    for k in range(0, len(i), 20_000):
+        s = np.flatnonzero(out[k : k + 20_000]) + k
+        at = np.arange(SIDE + LENGTH)
+        inside = at < (hi[i[s]] - lo[i[s]])[:, None]
+        a, b = (data[np.minimum(lo[x[s]][:, None] + at, len(data) - 1)] for x in (i, j))
+        out[s] = ((a == b) | ~inside).all(axis=1)
+    return out
 
 
 def _meet(table: pa.Table) -> pa.Table:
@@ -93,19 +116,23 @@ def _meet(table: pa.Table) -> pa.Table:
     gram, context, doc, high, tag, pos = (np.frombuffer(b"".join(table.column(n).to_pylist()), k) for n, k in zip(PLANES, KINDS, strict=True))
     doc = doc.astype(np.int64) | high.astype(np.int64) << 32
     if bucket < 0:
-        kind = np.zeros(len(doc), np.int32)
+        kind = np.full(len(doc), 0 if bucket % 2 else 2, np.int32)
     else:
+        told = np.unique(gram[tag == NONE])
+        gram, context, doc, pos, tag = (x[tag != NONE] for x in (gram, context, doc, pos, tag))
         order = np.argsort(gram, kind="stable")
         same = gram[order][1:] == gram[order][:-1]
-        order = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
+        alone = ~(np.concatenate(([False], same)) | np.concatenate((same, [False]))) if len(order) else np.empty(0, bool)
+        order = order[~alone | np.isin(gram[order], told)]
         order = order[np.lexsort((pos[order], tag[order], doc[order], context[order], gram[order]))]
         gram, context, doc, tag, pos = (x[order] for x in (gram, context, doc, tag, pos))
         new = np.concatenate(([True], gram[1:] != gram[:-1])) if len(gram) else np.empty(0, bool)
         first = new | np.concatenate(([True], context[1:] != context[:-1])) if len(gram) else new
         _, group = np.unique(np.cumsum(new), return_inverse=True)
         contexts = np.bincount(group, first)[group] if len(gram) else np.empty(0)
-        kind = np.where(first, np.where(contexts > HOT, 2, 1), 0).astype(np.int32)
-        used = ~first | (contexts > 1)
+        hot = (contexts > HOT) | np.isin(gram, told)
+        kind = np.where(first, np.where(hot, 2, 1), 0).astype(np.int32)
+        used = ~first | (contexts > 1) | hot
         kind, gram, doc, tag, pos = (x[used] for x in (kind, gram, doc, tag, pos))
     return pa.table({"kind": kind, "gram": gram.astype(np.int64) | max(bucket, 0) << 32, "doc_id": doc, "tag": tag.astype(np.int32), "pos": pos.astype(np.int64)})
 
@@ -241,12 +268,12 @@ def _sorted(table: pa.Table) -> pa.Table:
 
 
 def _hot_strings(hot: DataFrame) -> DataFrame:
-    """doc_id, tag, pos, mask of strings around hot k-grams, grouped by their digest."""
+    """doc_id, tag, pos, mask of strings around hot k-grams, grouped by their bytes."""
     one = F.explode(F.sequence(F.greatest(F.lit(0), F.lit(LENGTH) - (F.length("bytes") - F.col("left"))), F.col("left"))).alias("o")
     strings = hot.select("doc_id", "tag", "pos", "left", "bytes", one)
-    strings = strings.select(F.struct("doc_id", "tag", (F.col("pos") - F.col("o")).alias("start")).alias("at"), "pos", "o", F.md5(F.expr(f"substring(bytes, left - o + 1, {LENGTH})")).alias("digest"))
-    least = strings.groupBy("digest").agg(F.min("at").alias("least"), F.count("*").alias("n")).where("n > 1")
-    later = strings.join(least, "digest").where("at > least")
+    strings = strings.select(F.struct("doc_id", "tag", (F.col("pos") - F.col("o")).alias("start")).alias("at"), "pos", "o", F.expr(f"substring(bytes, left - o + 1, {LENGTH})").alias("string"))
+    least = strings.groupBy("string").agg(F.min("at").alias("least"), F.count("*").alias("n")).where("n > 1")
+    later = strings.join(least, "string").where("at > least")
     return later.select("at.doc_id", "at.tag", "pos", F.expr("shiftleft(1L, o)").alias("mask"))
 
 
@@ -265,8 +292,8 @@ def _covered(n: int, marks: list[tuple[int, int]]) -> np.ndarray:
 
 
 def repeats(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The documents with a tag, and (doc_id, tag, marks) of those with repeated strings."""
-    docs = documents.withColumn("doc_id", documents["doc_id"].cast("long"))
+    """row, doc_id, text and tag of the documents, and (doc_id, tag, marks) of those with repeated strings."""
+    docs = documents.select(F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("row"), documents["doc_id"].cast("long").alias("doc_id"), documents["text"].alias("text"))
     unique = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
     if unique:
         docs = docs.withColumn("tag", F.lit(0))
@@ -278,20 +305,21 @@ def repeats(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
     bits = max(0, min(31, int(np.ceil(np.log2(max(1, size / 30 / BUCKET))))))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        held, texts, n, size, batch = [], [], 0, 0, TaskContext.get().partitionId() << 20
         for b in batches:
             data, offsets = utf8(b.column("text"))
             doc, tag = b.column("doc_id").to_numpy(), b.column("tag").to_numpy()
             for lo, hi in chunks(offsets, 1 << 18):
-                row, pos, gram, context = anchors(data, offsets[lo : hi + 1])
+                row, pos, gram, context, start, end = anchors(data, offsets[lo : hi + 1])
                 if len(row):
-                    held.append((gram, context, doc[lo + row], tag[lo + row].astype(np.int64), pos))
-                    n += len(row)
+                    held.append((gram, context, doc[lo + row], tag[lo + row].astype(np.int64), pos, size + start, size + end))
+                    texts.append(data[offsets[lo] : offsets[hi]])
+                    n, size = n + len(row), size + len(texts[-1])
                 if n > 300_000:
-                    yield from _deal(held, bits)
-                    held, n = [], 0
+                    yield from _deal(held, texts, bits, batch)
+                    held, texts, n, size, batch = [], [], 0, 0, batch + 1
         if held:
-            yield from _deal(held, bits)
+            yield from _deal(held, texts, bits, batch)
 
     dealt = known.mapInArrow(find, "bucket long, " + ", ".join(f"{p} binary" for p in PLANES))
     met = scratch.table("met", dealt.groupBy("bucket").applyInArrow(_meet, "kind int, gram long, doc_id long, tag int, pos long"))
@@ -318,7 +346,6 @@ def remove_repeats(documents: DataFrame, scratch: Scratch, keep: bool = False) -
     follow each other in the order of the texts.
     """
     docs, gathered = repeats(documents, scratch)
-    names = documents.columns
     joined = docs.join(gathered, ["doc_id", "tag"], "left")
 
     def cut(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -328,17 +355,17 @@ def remove_repeats(documents: DataFrame, scratch: Scratch, keep: bool = False) -
             yield text, _covered(hi - lo, [(m["pos"], m["mask"]) for m in marks]) if marks else np.zeros(hi - lo, bool)
 
     if keep:
-        kinds = dict(documents.dtypes)
+        kinds = documents.schema
 
         def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 texts = [None if old is None else text[~gone].tobytes().decode("utf-8", "ignore") for (text, gone), old in zip(cut(b), b.column("text").to_pylist(), strict=True)]
-                columns = {n: b.column(n) for n in names} | {"text": pa.array(texts, pa.string())}
+                columns = dict(zip(kinds.names, b.column("row").flatten(), strict=True)) | {"text": pa.array(texts, pa.string())}
                 if "n_chars" in columns:
                     columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], columns["n_chars"].type)
                 yield pa.RecordBatch.from_pydict(columns)
 
-        return joined.select(*names, "marks").mapInArrow(left, ", ".join(f"`{n}` {'bigint' if n == 'doc_id' else kinds[n]}" for n in names))
+        return joined.select("row", "text", "marks").mapInArrow(left, kinds)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
