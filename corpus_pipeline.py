@@ -3,9 +3,14 @@
 1. quality: documents that the co-trained classifier rejects go.
 2. near duplicates: of each group that shingle links hold together, the smallest doc_id stays.
 3. repeats: byte strings of 100 or more that also start earlier are cut out.
-4. mix: sources are interleaved to their target weights; what is left of a source above its
-   greatest share once all others are spent goes. Rows are written in the order of the mix.
+4. mix: sources are interleaved to their target weights and rows are written in that order;
+   ``WEIGHTS`` may name whole parts of a period for each source, else their natural shares
+   hold. No row is dropped.
 5. tokens: ids of each text.
+
+All stages take null texts as empty, keep rows that share a doc_id or have none, keep columns
+of any name, and give an empty table for an empty one; which of equal texts stays follows the
+smallest doc_id.
 """
 
 from __future__ import annotations
@@ -16,29 +21,33 @@ from quillboard.llm import bpe, jaccard, mixing, quality, suffixdedup
 from quillboard.llm._scratch import Scratch
 from quillboard.llm.queries import tokenizer
 
-MAX_SHARE = 0.25
+WEIGHTS: dict[str, int] | None = None
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=True)
+    """Accepted documents; all of them where the labels do not hold both classes."""
+    return quality.quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), Scratch(spark, "quality"), keep=True)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without a doc_id or without words stay: they link with nothing."""
     groups = jaccard.shingle_join(docs, Scratch(spark, "near-duplicates"))
-    return docs.join(groups.where("component_id != doc_id").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    gone = groups.where("component_id != doc_id").select("doc_id").distinct()
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left of each text; rows whose whole text repeats stay with an empty one."""
     return suffixdedup.remove_repeats(docs, Scratch(spark, "repeats"), keep=True)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    placed = mixing.mix_sources(docs, max_share=MAX_SHARE, keep=docs.columns).where("in_mix")
-    return placed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(*docs.columns)
+    """All rows in the order of the mix; a null source is the source ''."""
+    return mixing.mixed_documents(docs, WEIGHTS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, digests and ids of each row."""
     return bpe.bpe_digest(docs, tokenizer("word_bpe_49k.json"), with_ids=True)
 
 
