@@ -13,8 +13,7 @@ single shingles; those that are still unsettled, members of large groups of near
 compared with the group's pivot, its most central set, and, where that leaves some of them in
 different components, block by block with the rest of the group.
 
-Exact copies are one set: a task deals a text's codes once, however often it meets the text.
-Codes meet by range of their hashes; in tables of more than ``SPLIT`` sets, each range is
+Exact copies are one set: only the document with the smallest doc_id deals its codes. Codes meet by range of their hashes; in tables of more than ``SPLIT`` sets, each range is
 dealt in as many parts by set first, where a code with more than ``HOT`` sets is told hot and
 its sets go no further, so that what meets in the end is bounded for every code.
 
@@ -39,7 +38,6 @@ HOT = 32  # a code that more sets share pairs nothing by itself
 BLOCK = 512  # sets of a pivot's group that are compared at once
 BUCKET_CODES = 500_000
 SPLIT = 500_000  # sets for which one code's references fit in a task
-SEEN = 500_000  # texts that a task remembers so as not to deal them again
 TOLD = (1 << 40) - 1  # the reference of a code that is known to be hot
 TOKENS, FIRST = 0, 6  # the band of small sets, whose shingles are parts of their own; the first band of 2**6 parts
 MULTIPLIERS = mix(np.arange(101, 101 + WIDTH, dtype=np.uint64))
@@ -217,18 +215,13 @@ def _first_meeting(documents: DataFrame, codes: int, sets: int, scratch: Scratch
     bits = max(0, bits - int(np.log2(parts)))  # as many groups as without parts
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, seen = [[] for _ in range(parts)], 0, set()
+        held, n = [[] for _ in range(parts)], 0
         for b in batches:
             for s in shingle_sets(b.column("text")):
                 if len(s):
-                    print_ = _fingerprint(s)
-                    if print_ in seen:
-                        continue
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen.add(print_)
+                    key = _fingerprint(s)[0]
                     for band in _bands(len(s)):
-                        code, ref = _sketch(s, band), _ref(print_[0], band)
+                        code, ref = _sketch(s, band), _ref(key, band)
                         held[ref % parts].append((code, np.full(len(code), ref, np.uint64)))
                         n += len(code)
                 if n > 500_000:
@@ -361,7 +354,8 @@ def shingle_join(documents: DataFrame, scratch: Scratch) -> DataFrame:
     total, count = classes.agg(F.sum(F.aggregate("bands", F.lit(0).cast("long"), lambda s, x: s + x["parts"])), F.count("*")).first()
     refs = classes.select("cls", "n", F.explode("bands").alias("x")).select("cls", "n", "x.*")
 
-    met = _first_meeting(docs.where("doc_id is not null"), total or 0, max(1, count), scratch)
+    firsts = docs.join(classes.select(F.col("cls.rep").alias("rep")).distinct(), F.col("doc_id") == F.col("rep"))
+    met = _first_meeting(firsts, total or 0, max(1, count), scratch)
     fits = (F.least("n_a", "n_b") * DENOMINATOR >= F.greatest("n_a", "n_b") * NUMERATOR) & (F.col("a") != F.col("b"))
     losses = F.expr(f"(n_a + n_b) * {DENOMINATOR - NUMERATOR} div {DENOMINATOR + NUMERATOR}")
 
