@@ -48,3 +48,59 @@ def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("kind"),
         F.col("value").alias("value"),
     )
+
+
+#: How the claims of the test tables name their time; {n} and {m} are numbers of the row.
+PHRASES = [
+    "in {n} years", "{n} to {m} months", "every year for {n} years", "{n} or more years", "within a few weeks", "next year", "over the next year",
+    "by the first half of next year", "by the end of this year", "when the merger closes", "before 2031", None, "in the coming weeks", "soon",
+    "a couple more months", "{n} days", "someday", "in my lifetime", "at least {n} years", "in the coming months, soon",
+]
+CLAIMS = ["if rates fall, sales will grow", "sales will grow", "it ships before the rival does", "it is paid annually", "prices stay higher", "the plant opens before the end of the year"]
+FORMS = [None, "simple", "simple", None, "conditional", "ordering", None, "recurring"]
+CATEGORIES = ["company_business", "technology_product", "policy_regulation", "economy", "science"]
+
+
+def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per claim: id, person, said, the first day it may have been said, and how it names its time.
+
+    target is a stated year, month or day, malformed, or null; years a horizon that was inferred.
+    """
+    o = read(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    pick = lambda of, at: F.element_at(F.array(*[F.lit(x) for x in of]), (at % len(of) + 1).cast("int"))
+    said, n = F.to_date("o_orderdate"), c % 15 + 1
+    phrase = F.replace(F.replace(pick(PHRASES, k), F.lit("{n}"), n.cast("string")), F.lit("{m}"), (n + c % 7).cast("string"))
+    form = F.substring("o_orderpriority", 1, 1)
+    day = F.add_months(said, (c % 30).cast("int"))
+    target = F.when(form == "1", F.date_format(day, "yyyy")).when(form == "2", F.date_format(day, "yyyy-MM")).when(form == "3", F.date_format(day, "yyyy-MM-dd")).otherwise("by then")
+    return o.select(
+        k.alias("id"),
+        c.alias("person"),
+        said.alias("said"),
+        F.when(k % 4 == 0, F.date_sub(said, (c % 40).cast("int"))).alias("earliest"),
+        phrase.alias("phrase"),
+        F.when(k % 3 == 0, target).alias("target"),
+        F.when(k % 11 == 0, n * 0.5).cast("double").alias("years"),
+        F.when(k % 9 == 0, F.lit("we expect that shortly")).otherwise("we expect that").alias("quote"),
+        pick(CLAIMS, k + c).alias("claim"),
+        F.when(k % 13 == 0, F.lit("holds over decades")).otherwise(F.lit("holds")).alias("criteria"),
+        pick(FORMS, c).alias("form"),
+        pick(CATEGORIES, c).alias("category"),
+        F.when(F.col("o_orderstatus") == "F", "own").when(F.col("o_orderstatus") == "O", "other").alias("control"),
+        F.when(c % 4 == 0, "high").when(c % 4 == 1, "medium").when(c % 4 == 2, "low").alias("specificity"),
+    )
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per turn of a conversation: key, place from 0, speaker and its words with the mark of its minute in front."""
+    c = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.trim(F.regexp_replace("text", r"\s+", " ")).alias("words"))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "words")
+    c = c.withColumn("k", F.row_number().over(order) - 1)
+    return c.select("conv_id", "k", "role", "words", F.format_string("[%02d:%02d:00]", F.floor(F.col("k") / 60).cast("int"), (F.col("k") % 60).cast("int")).alias("mark"))
+
+
+def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per conversation: its turns as one text with marks."""
+    per = turns(spark, sf_dir).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("k", F.concat_ws(" ", "mark", "words").alias("t")))).alias("t"))
+    return per.select("conv_id", F.array_join("t.t", "\n").alias("text"))
