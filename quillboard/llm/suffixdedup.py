@@ -34,7 +34,7 @@ SIDE = LENGTH - GRAM  # the most context that a string has on either side of its
 HOT = 20_000
 LOCAL = 512
 NONE = 0xFFFFFFFF  # the tag of a row that only tells that a k-gram is hot
-BUCKET = 500_000
+BUCKET = 100_000
 SORTED = 15_000
 PLANES = ("gram", "context", "doc", "high", "tag", "pos")
 KINDS = (np.uint32, np.uint64, np.uint32, np.uint32, np.uint32, np.uint32)
