@@ -35,3 +35,14 @@ def date_parts(found: Column) -> tuple[Column, Column, Column]:
     month = F.coalesce(whole(F.regexp_extract(found, r"^\d{4}-(\d{2})", 1)), F.when(name != "", F.array_position(F.array(*map(F.lit, MONTHS)), name).cast("int")))
     day = F.coalesce(whole(F.regexp_extract(found, r"^\d{4}-\d{2}-(\d{2})", 1)), whole(F.regexp_extract(found, r" (\d{1,2}),", 1)))
     return F.regexp_extract(found, r"(\d{4})(?:-|$)", 1).cast("int"), month, day
+
+
+def criterion_deadline(text: Column) -> Column:
+    """(year, month, day) that a criterion closes on: the date right behind a "by", else the latest that it names; null without one."""
+    by = F.nullif(F.regexp_extract(text, rf"(?i)\bby\s+(?:the\s+end\s+of\s+)?.{{0,3}}?({DATE})", 1), F.lit(""))
+
+    def parts(found: Column) -> Column:
+        year, month, day = date_parts(found)
+        return F.struct(year.alias("year"), month.alias("month"), day.alias("day"))
+
+    return F.when(by.isNotNull(), parts(by)).otherwise(F.array_max(F.transform(dates_in(text), parts)))
