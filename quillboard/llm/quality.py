@@ -188,8 +188,10 @@ def _sure_from(p: np.ndarray, y: np.ndarray) -> dict[int, float]:
 
 
 def _surest(table: DataFrame, labels: DataFrame, models: list[Logistic], floors: list[dict[int, float]], used: set[int], each: int) -> pd.DataFrame:
-    """Of all documents without a label, those that each view is surest of, ``each`` for each view and class at most."""
-    free = table.join(labels.select("doc_id"), "doc_id", "left_anti")
+    """Of all documents, those that each view is surest of, ``each`` for each view and class at most; those with a label go.
+
+    Tasks send their own surest rows only, so the features themselves are never shuffled.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: dict[tuple[int, int], list] = {}
@@ -205,16 +207,17 @@ def _surest(table: DataFrame, labels: DataFrame, models: list[Logistic], floors:
                 for i in at[np.argsort(-sure[at], kind="stable")][: 2 * each].tolist():
                     if int(keys[i]) not in used:
                         heap = best.setdefault((view, int(p[i] >= 0.5)), [])
-                        item = (float(sure[i]), int(keys[i]), b["grams"].iloc[i], ratios[i], meta[i])
+                        item = (float(sure[i]), int(keys[i]), b["doc_id"].iloc[i], b["grams"].iloc[i], ratios[i], meta[i])
                         if len(heap) < each or item[:2] > heap[0][:2]:
                             heapq.heappush(heap, item)
                             if len(heap) > each:
                                 heapq.heappop(heap)
         rows = [(view, y, *item) for (view, y), heap in best.items() for item in heap]
         if rows:
-            yield pd.DataFrame(rows, columns=["view", "y", "sure", "key", "grams", "ratios", "meta"])
+            yield pd.DataFrame(rows, columns=["view", "y", "sure", "key", "doc_id", "grams", "ratios", "meta"]).astype({"doc_id": "Int64"})
 
-    found = free.mapInPandas(run, "view int, y int, sure double, key long, grams binary, ratios array<float>, meta array<float>")
+    found = table.mapInPandas(run, "view int, y int, sure double, key long, doc_id long, grams binary, ratios array<float>, meta array<float>")
+    found = found.join(labels.select("doc_id"), "doc_id", "left_anti").drop("doc_id")
     order = Window.partitionBy("view", "y").orderBy(F.desc("sure"), "key")
     return found.withColumn("at", F.row_number().over(order)).where(F.col("at") <= each).toPandas()
 
