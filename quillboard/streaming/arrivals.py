@@ -2,19 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one only where none is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        import tempfile
-
-        named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{named.rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+from quillboard.sources.shared import shared_folder
 
 
 def daily_cells(spark: SparkSession, path: str, delay: str = "1 day") -> DataFrame:
@@ -23,7 +13,7 @@ def daily_cells(spark: SparkSession, path: str, delay: str = "1 day") -> DataFra
     Each batch adds its partial cells to a table by batch number; a batch that runs again
     overwrites its own, so every event counts once. Reading sums a cell's parts.
     """
-    folder = shared_folder(spark)
+    folder = shared_folder(spark, "stream")
     schema = spark.read.parquet(path).schema
     name = path.rstrip("/").rpartition("/")
     stream = spark.readStream.schema(schema).option("pathGlobFilter", name[2] if name[2].endswith(".parquet") else "*.parquet").parquet(name[0] if name[2].endswith(".parquet") else path)
