@@ -7,8 +7,9 @@ from pyspark.sql import Column, functions as F
 #: English months in order.
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
 _NAME = "(?:" + "|".join(MONTHS) + ")"
-#: The fullest reading of a place first: ISO day or month, month day and year, month and year, year.
-DATE = rf"\b\d{{4}}-\d{{2}}(?:-\d{{2}})?\b|\b{_NAME} \d{{1,2}}, \d{{4}}\b|\b{_NAME} \d{{4}}\b|\b(?:19|20)\d{{2}}\b"
+_MONTH, _DAY = r"(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])"
+#: The fullest reading of a place first: ISO day or month, day and month in either order with a year, month and year, year.
+DATE = rf"\b\d{{4}}-{_MONTH}(?:-{_DAY})?\b(?!-)|\b{_NAME} \d{{1,2}}(?:st|nd|rd|th)?,? \d{{4}}\b|\b\d{{1,2}}(?:st|nd|rd|th)? {_NAME},? \d{{4}}\b|\b{_NAME} \d{{4}}\b|(?<![\d-])(?:19|20)\d{{2}}(?![\d-])"
 
 
 def _day(value: Column, form: str) -> Column:
@@ -25,15 +26,15 @@ def stated_deadline(value: Column) -> tuple[Column, Column]:
 
 def dates_in(text: Column) -> Column:
     """The dates that a text names, in order and without overlap, as they stand."""
-    return F.regexp_extract_all(text, F.lit(f"({DATE})"), 1)
+    return F.regexp_extract_all(text, F.lit(f"(?i)({DATE})"), 1)
 
 
 def date_parts(found: Column) -> tuple[Column, Column, Column]:
     """Year, month and day of one of dates_in; what is not named is null."""
     whole = lambda c: F.when(c != "", c.cast("int"))
-    name = F.regexp_extract(found, f"^({_NAME})", 1)
+    name = F.initcap(F.regexp_extract(found, f"(?i)({_NAME})", 1))
     month = F.coalesce(whole(F.regexp_extract(found, r"^\d{4}-(\d{2})", 1)), F.when(name != "", F.array_position(F.array(*map(F.lit, MONTHS)), name).cast("int")))
-    day = F.coalesce(whole(F.regexp_extract(found, r"^\d{4}-\d{2}-(\d{2})", 1)), whole(F.regexp_extract(found, r" (\d{1,2}),", 1)))
+    day = F.coalesce(whole(F.regexp_extract(found, r"^\d{4}-\d{2}-(\d{2})", 1)), whole(F.regexp_extract(found, r"^(\d{1,2})(?:st|nd|rd|th)? \D", 1)), whole(F.regexp_extract(found, r"^\D+ (\d{1,2})(?:st|nd|rd|th)?,? \d{4}$", 1)))
     return F.regexp_extract(found, r"(\d{4})(?:-|$)", 1).cast("int"), month, day
 
 

@@ -33,9 +33,14 @@ def words(text: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " ")
 
 
+#: Spellings of two letters, or of two sounds, and letters that sound like another.
+TWO_LETTERS, LIKE, SOUNDS = {"ph": "f", "x": "ks"}, "cqz", "kks"
+
+
 def consonant_skeleton(word: Column) -> Column:
-    """The consonant sounds of a word: spellings of one sound made equal, vowels but the first letter dropped, doubles squeezed."""
-    w = F.regexp_replace(F.lower(word), "[^a-z]", "")
-    for spelt, sound in (("ph", "f"), ("ck", "k"), ("x", "ks"), ("q", "k"), ("c", "k"), ("z", "s")):
-        w = F.replace(w, F.lit(spelt), F.lit(sound))
-    return F.regexp_replace(F.regexp_replace(w, "(?<=.)[aeiouy]", ""), r"(.)\1+", "$1")
+    """The consonants of a word by their sound, with the first letter whatever it is; letters in a row count once."""
+    letters = F.regexp_replace(F.lower(word), "[^a-z]+", "")
+    for spelt, sound in TWO_LETTERS.items():
+        letters = F.replace(letters, F.lit(spelt), F.lit(sound))
+    heard = F.filter(F.split(F.translate(letters, LIKE, SOUNDS), ""), lambda c, i: (i == 0) | ~c.isin(*"aeiouy"))
+    return F.array_join(F.filter(F.zip_with(heard, F.concat(F.array(F.lit("")), heard), lambda c, before: F.when(c != before, c)), lambda c: c.isNotNull()), "")

@@ -8,7 +8,7 @@ from quillboard.operators.rater import r6
 
 LEAST_LEAD = 60
 CLAMP_LOW, CLAMP_HIGH = 0.01, 0.99
-BINS = [(0.0, 0.2), (0.2, 0.4), (0.4, 0.6), (0.6, 0.8), (0.8, 1.01)]
+BINS = 5  # of equal width; the last one holds 1 as well
 
 
 def flags(rows: DataFrame) -> DataFrame:
@@ -39,8 +39,9 @@ def person_scores(rows: DataFrame, floor: int = 3) -> DataFrame:
 
 def reliability(rows: DataFrame) -> DataFrame:
     """A row for each bin of p, empty ones too."""
-    bins = rows.sparkSession.createDataFrame([(k, float(a), float(b)) for k, (a, b) in enumerate(BINS)], "bin int, lo double, hi double")
-    binned = rows.withColumn("bin", sum((F.when(F.col("p") >= a, 1).otherwise(0) for a, _ in BINS), F.lit(-1)).cast("int"))
+    edge = lambda k: k / BINS
+    bins = rows.sparkSession.range(BINS).select(F.col("id").cast("int").alias("bin"), (F.col("id") / BINS).alias("lo"), ((F.col("id") + 1) / BINS).alias("hi"))
+    binned = rows.withColumn("bin", sum((F.when(F.col("p") >= edge(k), 1).otherwise(0) for k in range(1, BINS)), F.lit(0)).cast("int"))
     per = binned.groupBy("bin").agg(F.count("*").alias("n"), r6(F.avg("p")).alias("mean_p"), r6(F.avg(F.col("occurred").cast("double"))).alias("hit_rate"), r6(F.avg("points")).alias("mean_points"))
     return bins.join(per, "bin", "left").select("bin", "lo", "hi", F.coalesce("n", F.lit(0)).alias("n"), "mean_p", "hit_rate", r6(F.col("hit_rate") - F.col("mean_p")).alias("gap"), "mean_points")
 

@@ -22,10 +22,9 @@ def share_filter(grades: DataFrame, cutoff: float = 10) -> DataFrame:
 
 def panel_cells(grades: DataFrame) -> DataFrame:
     """(rec, cells, panel, complete): relational division; a repeat fills no cell."""
-    panel = grades.select("judge", "mode").distinct().agg(F.count("*").alias("panel"))  # one row
+    panel = grades.select("judge", "mode").distinct().agg(F.count("*").alias("panel"))
     cells = grades.groupBy("rec").agg(F.count_distinct(F.when(F.col("run") == 0, F.struct("judge", "mode"))).alias("cells"))
-    size = panel.first()[0]
-    return cells.withColumn("panel", F.lit(size).cast("long")).withColumn("complete", F.col("cells") == size)
+    return cells.crossJoin(F.broadcast(panel)).withColumn("complete", F.col("cells") == F.col("panel"))  # one row
 
 
 def exclusion_bucket(grades: DataFrame, cutoff: float = 10) -> DataFrame:
@@ -82,8 +81,8 @@ def board(recordings: DataFrame, floor: int = RANK_FLOOR) -> DataFrame:
 def venue_vote(grades: DataFrame) -> DataFrame:
     """(rec, venue, votes, agreed): most votes, ties to the first name; agreed unless tied."""
     votes = grades.where("run = 0").groupBy("rec", "venue").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("rec").agg(F.max_by("venue", F.struct("votes", F.expr("-cast(substr(venue, 2) as int)"))).alias("venue"), F.max("votes").alias("votes"), F.array_agg("votes").alias("all"))
-    return best.select("rec", "venue", "votes", (F.size(F.filter("all", lambda v: v == F.col("votes"))) == 1).alias("agreed"))
+    best = votes.groupBy("rec").agg(F.min(F.struct((-F.col("votes")).alias("less"), "venue")).alias("b"), F.max("votes").alias("votes"), F.array_agg("votes").alias("all"))
+    return best.select("rec", "b.venue", "votes", (F.size(F.filter("all", lambda v: v == F.col("votes"))) == 1).alias("agreed"))
 
 
 def judge_pairs(recordings: DataFrame, value: str = "d1") -> DataFrame:

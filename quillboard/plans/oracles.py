@@ -49,8 +49,8 @@ ORACLES = {
  select *, case when judges < 2 then 'low' when n >= 5 then 'high' when n >= 3 then 'medium' else 'low' end confidence from l""",
     "halo_pairs": f"with {G}, a as (select rec, judge, max(case when mode = 'O' then d1 end) o, max(case when mode = 'F' then d1 end) b from g where run = 0 group by all) select judge, count(*) n, round(avg(o - b), 6) halo, round(stddev_samp(o - b), 6) sd from a where o is not null and b is not null group by judge",
     "judge_pair_agreement": f"with {G}, m as (select rec, judge, avg(d1) v from g where run = 0 group by all) select a.judge judge_a, b.judge judge_b, count(*) n, round(corr(a.v, b.v), 6) r, round(avg(abs(a.v - b.v)), 6) gap from m a join m b on a.rec = b.rec and a.judge < b.judge group by all",
-    "icc_ccc_loa": f"""with {G}, a as (select rec, avg(d1) filter (judge = 'A') x, avg(d1) filter (judge = 'R') y from g where run = 0 group by rec)
- select count(*) n, round(2 * covar_pop(x, y) / (var_pop(x) + var_pop(y) + pow(avg(x) - avg(y), 2)), 6) ccc, round(avg(x - y), 6) bias, round(avg(x - y) - 1.96 * stddev_samp(x - y), 6) loa_low, round(avg(x - y) + 1.96 * stddev_samp(x - y), 6) loa_high from a where x is not null and y is not null""",
+    "icc_ccc_loa": f"""with {G}, m as (select rec, judge, avg(d1) v from g where run = 0 group by all), p as (select a.judge judge_a, b.judge judge_b, a.v x, b.v y from m a join m b on a.rec = b.rec and a.judge < b.judge)
+ select judge_a, judge_b, count(*) n, round(2 * covar_pop(x, y) / (var_pop(x) + var_pop(y) + pow(avg(x) - avg(y), 2)), 6) ccc, round(avg(x - y), 6) bias, round(avg(x - y) - 1.96 * stddev_samp(x - y), 6) loa_low, round(avg(x - y) + 1.96 * stddev_samp(x - y), 6) loa_high from p group by all""",
     "sample_icc": f"""with {G}, b as (select * from g where run = 0), c as (select person, count(*) k, avg(d1) m, sum(d1) s from b group by person), t as (select count(*) n, avg(d1) gm, stddev_samp(d1) sd from b),
  w as (select sum((b.d1 - c.m) * (b.d1 - c.m)) ssw from b join c on b.person = c.person), z as (select count(*) gr, sum(k * (m - gm) * (m - gm)) ssb, sum(k * k) kk, any_value(n) n, any_value(sd) sd from c, t)
  select gr::bigint as "groups", n::bigint n, round(sd, 6) sd, round(greatest(0.0, (ssb / (gr - 1) - ssw / (n - gr)) / (ssb / (gr - 1) + ((n - kk / n) / (gr - 1) - 1) * ssw / (n - gr))), 6) icc from z, w""",
@@ -61,17 +61,17 @@ ORACLES = {
  select count(*) n, round(sum(x * y) / sum(x * x), 6) slope from c""",
     "drift_gate": f"""with {G}, c as (select rec, judge, mode, arg_max(d1, run) - arg_min(d1, run) x from g group by all having max(run) > 0), m as (select judge, count(*) n, avg(x) m, stddev_samp(x) / sqrt(count(*)) se from c group by judge)
  select judge, n, round(m, 6) drift, round(m - 1.645 * se, 6) lo, round(m + 1.645 * se, 6) hi, case when m - 1.645 * se > -2 and m + 1.645 * se < 2 then 'PASS' when m - 1.645 * se >= 2 or m + 1.645 * se <= -2 then 'FAIL' else 'INCONCLUSIVE' end verdict from m""",
-    "judge_lean": f"""with {G}, b as (select * from g where run = 0 and mode = 'F'), c as (select rec from b group by rec having count(*) = 3)
+    "judge_lean": f"""with {G}, b as (select * from g where run = 0 and mode = 'F'), c as (select rec from b group by rec having count(*) = (select count(distinct judge) from b))
  select a.judge, count(distinct a.rec) n, round(avg(a.d1 - b.d1), 6) lean from b a join b on a.rec = b.rec and a.judge <> b.judge where a.rec in (select rec from c) group by a.judge""",
-    "coverage_gate": f"with {G}, p as (select person, rec, count(*) filter (mode = 'F') blind, count(distinct judge) judges from g group by all) select person, count(*) recordings, count(*) filter (blind > 0) blinded, count(*) filter (judges = 3) \"full\" from p group by person",
+    "coverage_gate": f"with {G}, p as (select person, rec, count(*) filter (mode = 'F') blind, count(distinct judge) judges from g group by all) select person, count(*) recordings, count(*) filter (blind > 0) blinded, count(*) filter (judges = (select count(distinct judge) from g)) \"full\" from p group by person",
     "incidence_skew": f"with {G} select judge, mode, count(*) n, count(*) filter (share < 5) rejected, round(count(*) filter (share < 5) / count(*), 6) rate from g group by grouping sets ((judge, mode), (judge), ())",
     "eligibility": f"with {FLAGS} select reason, count(*) n, round(avg(lead), 6) mean_lead, count(*) filter (eligible) eligible from fl group by reason",
     "deadline_span": f"with {F} select id, said, horizon, case when horizon % 2 = 0 then (said + to_months(horizon))::date else said + cast(case when horizon * 1.5 % 1 = 0.5 then 2 * round(horizon * 1.5 / 2) else round(horizon * 1.5) end as int) end deadline from f",
     "log_score": f"with {S} select id, person, round(p, 6) p, round(q, 6) q, occurred, round(points, 6) points from s",
     "person_scores": f"""with {S}, a as (select person, count(*) n_scored, round(avg(points), 6) mean_points, round(sum(points), 6) sum_points, round(avg(occurred::int), 6) hit_rate, round(avg(p), 6) mean_p from s group by person)
  select *, case when n_scored >= 3 then row_number() over (partition by n_scored >= 3 order by mean_points desc, person) end rank from a""",
-    "reliability": f"""with {S}, b(bin, lo, hi) as (values (0, 0.0, 0.2), (1, 0.2, 0.4), (2, 0.4, 0.6), (3, 0.6, 0.8), (4, 0.8, 1.01)),
- a as (select bin, lo, hi, count(p) n, round(avg(p), 6) mean_p, round(avg(occurred::int), 6) hit_rate, round(avg(points), 6) mean_points from b left join s on p >= lo and p < hi group by all)
+    "reliability": f"""with {S}, b(bin, lo, hi) as (values (0, 0.0, 0.2), (1, 0.2, 0.4), (2, 0.4, 0.6), (3, 0.6, 0.8), (4, 0.8, 1.0)),
+ a as (select bin, lo, hi, count(p) n, round(avg(p), 6) mean_p, round(avg(occurred::int), 6) hit_rate, round(avg(points), 6) mean_points from b left join s on p >= lo and (p < hi or bin = 4) group by all)
  select bin::int bin, lo::double lo, hi::double hi, n, mean_p, hit_rate, round(hit_rate - mean_p, 6) gap, mean_points from a""",
     "separation": f"with {S} select count(*) n, round(avg(p) filter (occurred), 6) p_if_hit, round(avg(p * p) / avg(p), 6) expected, round(avg(p) filter (occurred) - avg(p * p) / avg(p), 6) excess from s",
     "unresolvable_split": f"with {FLAGS} select eligible, kind, count(*) n from fl where kind in ('error', 'signup') group by cube (eligible, kind)",
@@ -82,10 +82,10 @@ ORACLES = {
     "record_summary": "select c_mktsegment, count(*) n, count(*) filter (o_orderstatus = 'F') done, count(*) filter (o_orderstatus = 'O') open, round(sum(o_totalprice), 2) total from orders join customer on o_custkey = c_custkey group by rollup (c_mktsegment)",
     "breadth_first": "select doc_id, source, row_number() over (partition by source order by doc_id) depth from documents",
     "stratified_sample": "select source, lang, doc_id, k::int k from (select source, lang, doc_id, row_number() over (partition by source, lang order by sha256('salt:' || doc_id::varchar), doc_id) k from documents) where k <= 5",
-    "qa_signals": f"with {TOK}, a as (select doc_id, len(w) words, round(list_unique(w) / nullif(len(w), 0), 6) ttr, len(list_filter(w, lambda x: length(x) >= 12)) long_words from t) select *, case when words < 100 then 'reject' when ttr < 0.2 then 'review' else 'pass' end verdict from a",
-    "mattr": f"with {TOK} select doc_id, round(case when len(w) <= 200 then list_unique(w) / nullif(len(w), 0) else list_avg([list_unique(w[i + 1 : i + 200]) / 200 for i in range(0, len(w) - 199, 100)]) end, 6) mattr from t",
-    "name_density": f"with {TOK}, r as (select doc_id, len(w) n, w[floor(len(w) * 0.12)::int + 1 :] rest from t) select doc_id, case when n < 200 then 0.0 else round(1000.0 * len(list_filter(rest, lambda x: x = 'the')) / len(rest), 6) end density from r",
-    "quote_ground": f"with q as (select item_id, {NORM.format('text')} quote from benchmark), n as (select doc_id, ' ' || {NORM.format('text')} || ' ' norm from documents) select item_id, count(distinct doc_id) documents, min(doc_id) first_doc from q join n on contains(norm, ' ' || quote || ' ') where len(string_split(quote, ' ')) >= 6 group by item_id",
+    "qa_signals": f"with {TOK}, a as (select doc_id, len(w) words, round(list_unique(w) / nullif(len(w), 0), 6) ttr, len(list_filter(w, lambda x: length(x) >= 12)) long_words, round(len(list_filter(w, lambda x, i: i > 2 and w[i - 1] = x and w[i - 2] = x)) / nullif(len(w), 0), 6) loop_share from t) select *, case when words < 700 or loop_share > 0.02 then 'reject' else 'pass' end verdict from a",
+    "mattr": f"with {TOK} select doc_id, round(case when len(w) <= 1000 then list_unique(w) / nullif(len(w), 0) else list_avg([list_unique(w[i + 1 : i + 1000]) / 1000 for i in range(0, len(w) - 999, 250)]) end, 6) mattr from t",
+    "name_density": f"with {TOK}, s as (select d.doc_id, source, w, list_filter(w, lambda x: length(x) >= 4)[1] one from t join documents d on d.doc_id = t.doc_id), n as (select source, arg_min(one, doc_id) filter (one is not null) nm, arg_min(coalesce(one, ''), doc_id) name from s group by source), r as (select doc_id, name, len(w) n, w[floor(len(w) * 0.12)::int + 1 :] rest from s join n on n.source = s.source) select doc_id, case when n < 200 then 0.0 else round(1000.0 * len(list_filter(rest, lambda x: x = name)) / len(rest), 6) end density from r",
+    "quote_ground": f"with q as (select item_id, string_split({NORM.format('text')}, ' ') q from benchmark where {NORM.format('text')} <> ''), n as (select doc_id, string_split({NORM.format('text')}, ' ') w from documents), e as (select doc_id, w, unnest(range(1, len(w) + 1)) at_ from n), h as (select e.doc_id, item_id from e join q on e.w[at_] = q[1] and e.w[at_ : at_ + len(q) - 1] = q) select item_id, count(distinct doc_id) documents, min(doc_id) first_doc, count(*) places from h group by item_id",
     "digest": f"select doc_id, substr(sha256(doc_id::varchar || chr(10) || {NORM.format('text')}), 1, 16) digest from documents",
     "speaker_ranges": "with c as (select conv_id, turn, role, len(string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ')) n from conversations) select conv_id, turn, role, coalesce(sum(n) over (partition by conv_id order by turn, role, n rows between unbounded preceding and 1 preceding), 0)::bigint as start, n from c",
     "invariants": """with j as (select d.*, quality, toxic from documents d left join labels l on d.doc_id = l.doc_id),
@@ -93,9 +93,6 @@ ORACLES = {
  select invariant, count(*) n from u group by invariant""",
     "arrival_watermark": "select ts::date as day, event_type kind, count(*) n, round(sum(value), 4) total from events group by all",
     "window_freeze": f"with {F} select person, kind, arg_min(deadline, (epoch_us(ts), id)) deadline, count(*) n, count(distinct deadline) windows from f group by all",
-    "board_bootstrap": f"""with {F}, v as (select person, list(value order by id) v from f group by person), d as (select person, v, unnest(range(100)) i from v),
- m as (select person, len(v) n, i, list_sum([v[1 + (('0x' || substr(md5(person::varchar || ':' || i::varchar || ':' || j::varchar), 1, 8))::bigint % len(v))] for j in range(len(v))]) / len(v) m from d),
- s as (select person, any_value(n) n, list(m order by m) m from m group by person) select person, n, round(m[6], 6) lo, round(m[96], 6) hi from s""",
     "search_rate_gate": f"""with {F}, a as (select kind judge, count(*) filter (person % 2 = 0) n_left, count(*) filter (person % 2 = 1) n_right, avg(x) filter (person % 2 = 0) l, avg(x) filter (person % 2 = 1) r, var_samp(x) filter (person % 2 = 0) vl, var_samp(x) filter (person % 2 = 1) vr
  from (select *, case when value > 100 then 100.0 else 0.0 end::double x from f) group by kind), b as (select *, l - r gap, sqrt(vl / n_left + vr / n_right) se from a)
  select judge, n_left, n_right, round(l, 6) rate_left, round(r, 6) rate_right, round(gap, 6) gap, round(se, 6) se, case when gap - 1.645 * se > -5 and gap + 1.645 * se < 5 then 'PASS' when gap - 1.645 * se >= 5 or gap + 1.645 * se <= -5 then 'FAIL' else 'INCONCLUSIVE' end verdict from b""",
@@ -103,8 +100,8 @@ ORACLES = {
  select o_orderkey, case k when '1' then strftime(d, '%Y') when '2' then strftime(d, '%Y-%m') when '3' then strftime(d, '%Y-%m-%d') when '4' then strftime(d, '%d.%m.%Y') end stated,
  case k when '1' then make_date(year(d), 12, 31) when '2' then last_day(d) when '3' then d end deadline, case k when '4' then 'malformed' when '5' then 'missing' else 'ok' end note from s""",
     "dates_in_text": """with o as (select o_orderkey, o_orderdate::date d from orders)
- select o_orderkey, k::int k, case k when 0 then strftime(d, '%B %-d, %Y') when 1 then strftime(d, '%B %Y') when 2 then strftime(d, '%Y-%m-%d') when 3 then strftime(d, '%Y-%m') else strftime(d, '%Y') end as found,
- year(d)::int as year, case when k < 4 then month(d)::int end as month, case when k in (0, 2) then day(d)::int end as day from o, range(5) r(k)""",
+ select o_orderkey, k::int k, case k when 0 then strftime(d, '%B %-d, %Y') when 1 then strftime(d, '%B %Y') when 2 then strftime(d, '%Y-%m-%d') when 3 then strftime(d, '%Y-%m') when 4 then strftime(d, '%Y') else strftime(d, '%-d %B %Y') end as found,
+ year(d)::int as year, case when k <> 4 then month(d)::int end as month, case when k in (0, 2, 5) then day(d)::int end as day from o, range(6) r(k)""",
     "outcome_join": f"""with {FLAGS}, j as (select fl.*, o.o_orderkey, o.o_orderstatus, o.o_orderdate, o.o_orderpriority, c.c_acctbal / 10000 prior,
  fl.id in (select doc_id from labels where toxic = 1) withdrawn, fl.id in (select p_partkey from part where p_size > 40) restated
  from fl left join orders o on o.o_orderkey = fl.id left join customer c on c.c_custkey = fl.id and c.c_acctbal > 0),
@@ -128,5 +125,16 @@ ORACLES = {
  select sound, count(*) words, min(word) as first, max(word) as last from q group by sound""",
 }
 
+ORACLES["qa_gate"] = r"""with b as (select doc_id, text, regexp_replace(regexp_replace(coalesce(text, ''), '\[\d{2}:\d{2}:\d{2}\]', ' ', 'g'), '(?i)\[(music|applause|laughter|cheering|silence)\]', ' ', 'g') bare from documents),
+ t as (select doc_id, len(regexp_extract_all(coalesce(text, ''), '(?i)\[(music|applause|laughter|cheering|silence)\]')) nonspeech, regexp_extract_all(lower(bare), '[a-z'']+') w from b),
+ e as (select doc_id, len(w) n, unnest(w) x, generate_subscripts(w, 1) i from t), r as (select *, i - row_number() over (partition by doc_id, x order by i) g from e), m as (select doc_id, max(k) best from (select doc_id, count(*) k from r group by doc_id, x, g) group by doc_id),
+ s as (select t.doc_id, len(w) words, round(len(list_filter(w, lambda x, i: i > 2 and w[i - 1] = x and w[i - 2] = x)) / nullif(len(w), 0), 5) loop_share, case when len(w) >= 10 and best > 5 then best - 4 else 0 end loop_score, round(list_unique(w) / nullif(len(w), 0), 4) ttr,
+ round(case when len(w) <= 1000 then list_unique(w) / nullif(len(w), 0) else list_avg([list_unique(w[i + 1 : i + 1000]) / 1000 for i in range(0, len(w) - 999, 250)]) end, 4) mattr, nonspeech from t left join m on m.doc_id = t.doc_id),
+ v as (select *, case when words = 0 then 'empty_after_cleaning' else array_to_string(list_filter([case when words < 700 then 'word_count' end, case when loop_share > 0.02 then 'loop_share' end, case when mattr < 0.28 then 'mattr' end], lambda x: x is not null), ',') end reasons from s) select *, case when reasons = '' then 'pass' else 'reject' end verdict from v"""
+ORACLES["span_dedupe"] = f"""with recursive q as (select item_id, string_split({NORM.format('text')}, ' ') q from benchmark where {NORM.format('text')} <> ''), n as (select doc_id, string_split({NORM.format('text')}, ' ') w from documents), e as (select doc_id, w, unnest(range(1, len(w) + 1)) at_ from n),
+ h as (select e.doc_id, item_id, at_ s, at_ + len(q) e from e join q on e.w[at_] = q[1] and e.w[at_ : at_ + len(q) - 1] = q), o as (select *, row_number() over (partition by doc_id order by s - e, s, item_id) k, count(*) over (partition by doc_id) spans from h),
+ st as (select doc_id, 1 k, spans, [{{'id': item_id, 's': s, 'e': e}}] kept from o where k = 1 union all select o.doc_id, o.k, o.spans, case when len(list_filter(st.kept, lambda y: greatest(0, least(o.e, y.e) - greatest(o.s, y.s)) >= 0.8 * greatest(o.e - o.s, y.e - y.s, 1))) > 0 then st.kept else list_append(st.kept, {{'id': o.item_id, 's': o.s, 'e': o.e}}) end
+ from st join o on o.doc_id = st.doc_id and o.k = st.k + 1), f as (select doc_id, spans, unnest(kept) x from st where k = spans) select doc_id, spans, x.id item_id, x.s::int as start, x.e::int as "end" from f"""
+
 #: Queries that SQL does not express: tests hold them against plain forms.
-WITHOUT_SQL = {"venue_effects", "span_dedupe", "html_text", "qa_gate"}
+WITHOUT_SQL = {"venue_effects", "html_text"}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from quillboard.functions import dates as dt, text as tx
-from quillboard.operators import forecast as fc, rater as rt, transcript as tr
+from quillboard.operators import forecast as fc, intervals as iv, rater as rt, transcript as tr
 from quillboard.operators.rater import r6
 from quillboard.sources.tables import forecasts, ratings, read
 from quillboard.streaming.arrivals import daily_cells
@@ -96,11 +96,13 @@ def judge_pair_agreement(spark, d):
 
 @query
 def icc_ccc_loa(spark, d):
-    """Lin's concordance and limits of agreement of judges A and R over recordings."""
-    per = ratings(spark, d).where("run = 0 and judge in ('A', 'R')").groupBy("rec").agg(F.avg(F.when(F.col("judge") == "A", F.col("d1"))).alias("x"), F.avg(F.when(F.col("judge") == "R", F.col("d1"))).alias("y")).where("x is not null and y is not null")
+    """Lin's concordance and limits of agreement of each pair of judges over recordings that both rated."""
+    per = ratings(spark, d).where("run = 0").groupBy("rec", "judge").agg(F.avg("d1").alias("v"))
+    a, b = per.select("rec", F.col("judge").alias("judge_a"), F.col("v").alias("x")), per.select("rec", F.col("judge").alias("judge_b"), F.col("v").alias("y"))
     gap = F.col("x") - F.col("y")
-    s = per.agg(F.count("*").alias("n"), F.covar_pop("x", "y").alias("c"), F.var_pop("x").alias("vx"), F.var_pop("y").alias("vy"), F.avg("x").alias("mx"), F.avg("y").alias("my"), F.avg(gap).alias("bias"), F.stddev_samp(gap).alias("sd"))
-    return s.select("n", r6(2 * F.col("c") / (F.col("vx") + F.col("vy") + F.pow(F.col("mx") - F.col("my"), F.lit(2)))).alias("ccc"), r6(F.col("bias")).alias("bias"), r6(F.col("bias") - 1.96 * F.col("sd")).alias("loa_low"), r6(F.col("bias") + 1.96 * F.col("sd")).alias("loa_high"))
+    s = a.join(b, "rec").where("judge_a < judge_b").groupBy("judge_a", "judge_b")
+    s = s.agg(F.count("*").alias("n"), F.covar_pop("x", "y").alias("c"), F.var_pop("x").alias("vx"), F.var_pop("y").alias("vy"), F.avg("x").alias("mx"), F.avg("y").alias("my"), F.avg(gap).alias("bias"), F.stddev_samp(gap).alias("sd"))
+    return s.select("judge_a", "judge_b", "n", r6(2 * F.col("c") / (F.col("vx") + F.col("vy") + F.pow(F.col("mx") - F.col("my"), F.lit(2)))).alias("ccc"), r6(F.col("bias")).alias("bias"), r6(F.col("bias") - 1.96 * F.col("sd")).alias("loa_low"), r6(F.col("bias") + 1.96 * F.col("sd")).alias("loa_high"))
 
 
 @query
@@ -147,18 +149,20 @@ def drift_gate(spark, d):
 
 @query
 def judge_lean(spark, d):
-    """Judge less the mean of the other judges of the same recording, over recordings all three judged."""
+    """Judge less the mean of the other judges of the same recording, over recordings that the whole panel judged."""
     per = ratings(spark, d).where("run = 0 and mode = 'F'").select("rec", "judge", "d1")
     w = Window.partitionBy("rec")
-    full = per.select("rec", "judge", "d1", F.sum("d1").over(w).alias("s"), F.count("*").over(w).alias("k")).where("k = 3")
-    return full.groupBy("judge").agg(F.count("*").alias("n"), r6(F.avg(F.col("d1") - (F.col("s") - F.col("d1")) / 2)).alias("lean"))
+    panel = per.agg(F.count_distinct("judge").alias("panel"))  # one row
+    full = per.select("rec", "judge", "d1", F.sum("d1").over(w).alias("s"), F.count("*").over(w).alias("k")).crossJoin(F.broadcast(panel)).where("k = panel")
+    return full.groupBy("judge").agg(F.count("*").alias("n"), r6(F.avg(F.col("d1") - (F.col("s") - F.col("d1")) / (F.col("k") - 1))).alias("lean"))
 
 
 @query
 def coverage_gate(spark, d):
     """Persons with the recordings that have any rating, a blinded one, and all judges' ones."""
-    per = ratings(spark, d).groupBy("person", "rec").agg(F.count_if(F.col("mode") == "F").alias("blind"), F.count_distinct("judge").alias("judges"))
-    return per.groupBy("person").agg(F.count("*").alias("recordings"), F.count_if(F.col("blind") > 0).alias("blinded"), F.count_if(F.col("judges") == 3).alias("full"))
+    g = ratings(spark, d)
+    per = g.groupBy("person", "rec").agg(F.count_if(F.col("mode") == "F").alias("blind"), F.count_distinct("judge").alias("judges")).crossJoin(F.broadcast(g.agg(F.count_distinct("judge").alias("panel"))))  # one row
+    return per.groupBy("person").agg(F.count("*").alias("recordings"), F.count_if(F.col("blind") > 0).alias("blinded"), F.count_if(F.col("judges") == F.col("panel")).alias("full"))
 
 
 @query
@@ -255,39 +259,49 @@ def stratified_sample(spark, d):
 
 @query
 def qa_signals(spark, d):
+    """Signals of each text; its ratio of types is reported only, as it falls with length."""
     docs = read(spark, d, "documents").select("doc_id", tx.tokens(F.col("text")).alias("w"))
     n = F.size("w").cast("long")
-    s = docs.select("doc_id", n.alias("words"), r6(tx.type_token_ratio(F.col("w"))).alias("ttr"), F.size(F.filter("w", lambda x: F.length(x) >= 12)).cast("long").alias("long_words"))
-    return s.withColumn("verdict", F.when(F.col("words") < 100, "reject").when(F.col("ttr") < 0.2, "review").otherwise("pass"))
+    s = docs.select("doc_id", n.alias("words"), r6(tx.type_token_ratio(F.col("w"))).alias("ttr"), F.size(F.filter("w", lambda x: F.length(x) >= 12)).cast("long").alias("long_words"), r6(tr.loop_share(F.col("w"))).alias("loop_share"))
+    return s.withColumn("verdict", F.when((F.col("words") < tr.LEAST_WORDS) | (F.col("loop_share") > tr.MOST_LOOP), "reject").otherwise("pass"))
 
 
 @query
 def mattr(spark, d):
     docs = read(spark, d, "documents").select("doc_id", tx.tokens(F.col("text")).alias("w"))
-    return docs.select("doc_id", r6(tx.moving_ttr(F.col("w"), 200, 100)).alias("mattr"))
+    return docs.select("doc_id", r6(tx.moving_ttr(F.col("w"), 1000, 250)).alias("mattr"))
 
 
 @query
 def name_density(spark, d):
-    """'the' per thousand words after the first 12 % of a text; 0 under 200 words."""
-    docs = read(spark, d, "documents").select("doc_id", tx.tokens(F.col("text")).alias("w"))
+    """The name of a text's person per thousand words after the first 12 %; 0 under 200 words.
+
+    A source's name is here the first word of four letters or more of its first document.
+    """
+    docs = read(spark, d, "documents").select("doc_id", "source", tx.tokens(F.col("text")).alias("w"))
+    names = docs.groupBy("source").agg(F.min_by(F.get(F.filter("w", lambda x: F.length(x) >= 4), F.lit(0)), "doc_id").alias("name"))
     rest = F.slice("w", F.floor(F.size("w") * 0.12).cast("int") + 1, F.size("w"))
-    return docs.select("doc_id", F.when(F.size("w") < 200, 0.0).otherwise(r6(1000.0 * F.size(F.filter(rest, lambda x: x == "the")) / F.size(rest))).alias("density"))
+    hits = F.size(F.filter(rest, lambda x: x == F.col("name")))
+    return docs.join(names, "source").select("doc_id", F.when(F.size("w") < 200, 0.0).otherwise(r6(1000.0 * F.coalesce(hits, F.lit(0)) / F.size(rest))).alias("density"))
+
+
+def _passages(spark, d, text):
+    """Documents' word places where a passage of ``text`` begins: its first six words (all of a shorter one) meet as one hash and are confirmed word by word."""
+    quotes = read(spark, d, "benchmark").select("item_id", F.split(tx.normalised(F.col("text")), " ").alias("q")).where(F.get("q", F.lit(0)) != "")
+    quotes = quotes.select("item_id", "q", F.least(F.lit(6), F.size("q")).alias("k"), F.xxhash64(F.slice("q", 1, 6)).alias("key"))
+    sizes = sorted(r["k"] for r in quotes.select("k").distinct().collect())  # six at most
+    docs = read(spark, d, "documents").select("doc_id", F.split(tx.normalised(F.col("text")), " ").alias("w"))
+    runs = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - k + 1)), lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice("w", i, F.lit(k))).alias("key")))
+    keys = docs.select("doc_id", F.explode_outer(F.concat(*[runs(k) for k in sizes]) if sizes else F.array().cast("array<struct<at: int, key: bigint>>")).alias("r")).select("doc_id", "r.*")
+    hits = keys.join(quotes, "key").select("doc_id", "at", "item_id", "q").distinct()
+    return hits.join(docs, "doc_id").where(F.slice("w", F.col("at"), F.size("q")) == F.col("q")).select("doc_id", "item_id", F.col("at").alias("start"), (F.col("at") + F.size("q")).alias("end"))
 
 
 @query
 def quote_ground(spark, d):
-    """Documents that hold each benchmark passage, found by the passage's first six words and then confirmed.
-
-    The passages are shuffled to the documents' word runs by an equi join; nothing is broadcast by hand.
-    """
-    quotes = read(spark, d, "benchmark").select("item_id", tx.normalised(F.col("text")).alias("quote"))
-    quotes = quotes.withColumn("key", F.array_join(F.slice(F.split("quote", " "), 1, 6), " ")).where(F.size(F.split("quote", " ")) >= 6)
-    docs = read(spark, d, "documents").select("doc_id", tx.normalised(F.col("text")).alias("norm")).withColumn("w", F.split("norm", " "))
-    keys = docs.where(F.size("w") >= 6).select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 5), lambda i: F.array_join(F.slice("w", i, F.lit(6)), " ")))).alias("key"))
-    hits = keys.join(quotes, "key").select("doc_id", "item_id", "quote").distinct()
-    found = hits.join(docs.select("doc_id", "norm"), "doc_id").where(F.concat(F.lit(" "), "norm", F.lit(" ")).contains(F.concat(F.lit(" "), "quote", F.lit(" "))))
-    return found.groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"), F.min("doc_id").alias("first_doc"))
+    """Documents that hold each benchmark passage, of whatever length, and how often it stands there."""
+    found = _passages(spark, d, "text")
+    return found.groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"), F.min("doc_id").alias("first_doc"), F.count("*").alias("places"))
 
 
 @query
@@ -326,14 +340,10 @@ def window_freeze(spark, d):
 
 @query
 def board_bootstrap(spark, d, draws: int = 100):
-    """Interval of each person's mean by resampling with digest draws; endpoints are order statistics.
-
-    A person's values stay an array; each draw picks from it by index, so nothing is joined.
-    """
-    per = forecasts(spark, d).groupBy("person").agg(F.array_sort(F.collect_list(F.struct("id", "value"))).alias("v"))
-    pick = lambda i: F.aggregate(F.sequence(F.lit(0), F.size("v") - 1), F.lit(0.0), lambda s, j: s + F.get("v", (F.conv(F.substring(F.md5(F.concat_ws(":", F.col("person").cast("string"), i.cast("string"), j.cast("string"))), 1, 8), 16, 10).cast("long") % F.size("v")).cast("int"))["value"]) / F.size("v")
-    means = per.select("person", F.size("v").cast("long").alias("n"), F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), pick)).alias("m"))
-    return means.select("person", "n", r6(F.get("m", F.lit(int(0.05 * draws)))).alias("lo"), r6(F.get("m", F.lit(min(int(0.95 * draws), draws - 1)))).alias("hi"))
+    """Interval of each person's mean value by resampling with digest draws; endpoints are order statistics."""
+    rows = forecasts(spark, d).select("person", "id", F.col("value").alias("num"), F.lit(1.0).alias("den"))
+    ci = iv.ratio_interval(rows, "person", "id", draws, 0.1)
+    return ci.select("person", F.col("units").alias("n"), r6(F.col("lo")).alias("lo"), r6(F.col("hi")).alias("hi"))
 
 
 @query
@@ -369,7 +379,7 @@ def deadline_stated(spark, d):
 def dates_in_text(spark, d):
     """Dates named in a note on each order: one row for each, in order."""
     form = lambda f: F.date_format("o_orderdate", f)
-    note = F.concat(F.lit("Placed on "), form("MMMM d, yyyy"), F.lit(" in "), form("MMMM yyyy"), F.lit(", billed "), form("yyyy-MM-dd"), F.lit(" for "), form("yyyy-MM"), F.lit(" of "), form("yyyy"), F.lit(", account 4994"), F.col("o_custkey").cast("string"))
+    note = F.concat(F.lit("Placed on "), form("MMMM d, yyyy"), F.lit(" in "), form("MMMM yyyy"), F.lit(", billed "), form("yyyy-MM-dd"), F.lit(" for "), form("yyyy-MM"), F.lit(" of "), form("yyyy"), F.lit(", due "), form("d MMMM yyyy"), F.lit(", account 4994"), F.col("o_custkey").cast("string"))
     found = read(spark, d, "orders").select("o_orderkey", F.posexplode(dt.dates_in(note)).alias("k", "found"))
     year, month, day = dt.date_parts(F.col("found"))
     return found.select("o_orderkey", "k", "found", year.alias("year"), month.alias("month"), day.alias("day"))
@@ -432,12 +442,8 @@ def sound_groups(spark, d):
 
 @query
 def span_dedupe(spark, d):
-    """Spans of documents where a benchmark passage's first six words stand, as long as the passage; near-identical ones once."""
-    quotes = read(spark, d, "benchmark").select("item_id", F.split(tx.normalised(F.col("text")), " ").alias("q")).where(F.size("q") >= 6)
-    quotes = quotes.select("item_id", F.size("q").alias("len"), F.array_join(F.slice("q", 1, 6), " ").alias("key"))
-    docs = read(spark, d, "documents").select("doc_id", F.split(tx.normalised(F.col("text")), " ").alias("w")).where(F.size("w") >= 6)
-    keys = docs.select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - 5), lambda i: F.array_join(F.slice("w", i, F.lit(6)), " "))).alias("start", "key"))
-    spans = keys.join(quotes, "key").select("doc_id", F.col("item_id").alias("id"), "start", (F.col("start") + F.col("len")).alias("end"))
+    """Spans of documents where benchmark passages stand; near-identical ones once."""
+    spans = _passages(spark, d, "text").withColumnRenamed("item_id", "id")
     return tr.distinct_spans(spans, "doc_id").select("doc_id", "spans", F.explode("kept").alias("s")).select("doc_id", "spans", F.col("s.id").alias("item_id"), F.col("s.s").alias("start"), F.col("s.e").alias("end"))
 
 
@@ -448,5 +454,5 @@ def html_text(spark, d):
 
 @query
 def qa_gate(spark, d):
-    """The reference's gate as far as the tables have its columns; qa_signals and mattr are smaller forms."""
+    """The gate as far as the tables have its columns."""
     return tr.gate(read(spark, d, "documents"), "doc_id", "text")

@@ -5,8 +5,7 @@ import math
 import duckdb
 import pytest
 
-from quillboard.plans.oracles import ORACLES, WITHOUT_SQL
-from quillboard.plans.queries import QUERIES
+from quillboard.plans.catalog import ORACLES, QUERIES, WITHOUT_SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
