@@ -218,8 +218,10 @@ def _surest(table: DataFrame, labels: DataFrame, models: list[Logistic], floors:
 
     found = table.mapInPandas(run, "view int, y int, sure double, key long, doc_id long, grams binary, ratios array<float>, meta array<float>")
     found = found.join(labels.select("doc_id"), "doc_id", "left_anti").drop("doc_id")
-    order = Window.partitionBy("view", "y").orderBy(F.desc("sure"), "key")
-    return found.withColumn("at", F.row_number().over(order)).where(F.col("at") <= each).toPandas()
+    order = (F.desc("sure"), F.col("key"))
+    some = Window.partitionBy("view", "y", F.pmod("key", F.lit(256))).orderBy(*order)  # the surest of parts first
+    found = found.withColumn("at", F.row_number().over(some)).where(F.col("at") <= each)
+    return found.withColumn("at", F.row_number().over(Window.partitionBy("view", "y").orderBy(*order))).where(F.col("at") <= each).toPandas()
 
 
 def fit_quality(table: DataFrame, labels: DataFrame, labelled: int = LABELLED, each: int = EACH, rounds: int = ROUNDS) -> CoTrained | float:
