@@ -55,11 +55,12 @@ def placed(documents: DataFrame, keep: list[str], parts: dict[str, int] | None =
     """row (the columns to keep of a document), source, block, place, release, deadline and slot: see mix_sources."""
     spark = documents.sparkSession
     whole = F.struct(*[documents[f"`{c}`"] for c in documents.columns])
-    # Documents without a doc_id, and those that share one, are told apart by all their columns.
-    key = F.md5(F.concat_ws(" ", documents["doc_id"].cast("string"), F.xxhash64(whole).cast("string")))
+    # Documents without a doc_id, and those that share one, are told apart by their texts.
+    told = F.md5(F.coalesce(documents["text"], F.lit(""))) if "text" in documents.columns else F.md5(F.xxhash64(whole).cast("string"))
+    key = F.md5(F.coalesce(documents["doc_id"].cast("string"), told))
     row = F.struct(*[documents[f"`{c}`"] for c in keep])
-    docs = documents.select(row.alias("row"), F.coalesce(documents["source"], F.lit("")).alias("source"), key.alias("key"))
-    docs = docs.withColumn("bucket", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))
+    docs = documents.select(row.alias("row"), F.coalesce(documents["source"], F.lit("")).alias("source"), F.struct(key.alias("a"), told.alias("b"), F.xxhash64(whole).alias("c")).alias("key"))
+    docs = docs.withColumn("bucket", F.conv(F.concat(F.substring("key.a", 1, 2), F.substring("key.b", 1, 1)), 16, 10).cast("int"))
     tally = docs.groupBy("source", "bucket").agg(F.count("*").alias("n"))
     counts = dict(tally.groupBy("source").agg(F.sum("n")).collect())  # a row for each source
     if parts is None:
@@ -91,7 +92,7 @@ def mix_sources(documents: DataFrame, parts: dict[str, int] | None = None, block
     ``parts`` gives the target weights as whole parts of a period; without it they are the
     sources' natural shares. ``slot`` is the block's place in the interleaving, ``place``
     the document's place in its block; blocks hold ``block_docs`` documents in the order of
-    a digest of their rows. A source that is spent leaves its slots empty. All rows are
+    digests of their doc_ids and texts. A source that is spent leaves its slots empty. All rows are
     returned: weights decide the order and nothing is dropped.
 
     A null source is the source ''. Rows that share a doc_id, or have none, get places of

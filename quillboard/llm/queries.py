@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillboard.llm import bpe, embedding, jaccard, license, media, mixing, quality, suffixdedup, tokenfile, unigram
+from quillboard.llm import bpe, embedding, jaccard, license, media, mixing, oracles, quality, suffixdedup, tokenfile, unigram
 from quillboard.llm._scratch import Scratch
 
 END_ID = 2
@@ -67,4 +67,4 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_media, op2_jaccard, op3_suffixdedup, op4_embedding, op5_tokenfile, op6_quality, op7_mixing, op8_unigram, op9_license, op10_bpe)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
