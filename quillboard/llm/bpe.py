@@ -13,6 +13,7 @@ import hashlib
 import json
 import os
 import re
+import sys
 from array import array
 from collections.abc import Iterator
 
@@ -100,30 +101,41 @@ class Merges:
             known = self.pairs[a, b] = self._apart(a, b, float("inf"))
         return known
 
-    def encode(self, word: bytes) -> array:
+    def encode(self, word: bytes) -> list[int] | array:
         text = word.decode("latin-1")
         if self.suffix:
             text = text[:-1] + chr(END + word[-1])
-        starts = _Starts(self.automaton, text, self.longest)
-        place, taken, out = array("q"), array("i"), array("I")
-        dead, at, choice = set(), 0, len(starts[0]) - 1
-        while at < len(text):
-            here = starts[at]
+        if len(text) > LONG:
+            return self._encode(text, _Starts(self.automaton, text, self.longest), array("q"), array("i"), array("I"))
+        starts: list[list[tuple[int, int]]] = [[] for _ in text]
+        for end, (token, size) in self.automaton.iter(text):
+            starts[end + 1 - size].append((token, size))  # shortest first
+        return self._encode(text, starts, [], [], [])
+
+    def _encode(self, text: str, starts, place, taken, out):
+        """The tokens in ``out``; places and choices of the tokens so far are in ``place`` and ``taken``."""
+        dead, at, size_of, pairs = set(), 0, len(text), self.pairs
+        here = starts[0]
+        choice, last = len(here) - 1, -1
+        while at < size_of:
             while choice >= 0:
                 token, size = here[choice]
-                if at + size not in dead and (not out or self.fits(out[-1], token)):
+                if at + size not in dead and (last < 0 or (pairs[last, token] if (last, token) in pairs else self.fits(last, token))):
                     break
                 choice -= 1
             if choice >= 0:
                 place.append(at)
                 taken.append(choice)
                 out.append(token)
-                at += size
-                choice = len(starts[at]) - 1 if at < len(text) else -1
+                at, last = at + size, token
+                if at < size_of:
+                    here = starts[at]
+                    choice = len(here) - 1
             else:
                 dead.add(at)
                 out.pop()
                 at, choice = place.pop(), taken.pop() - 1
+                last, here = out[-1] if out else -1, starts[at]
         return out
 
 
@@ -156,12 +168,13 @@ class _Runs(dict):
 
     def __missing__(self, run):
         value = self.make(run)
-        if len(run) > LONG:
+        size = len(run)
+        if size > LONG:
             return value
-        if len(self) > self.most or self.held > self.most_bytes:
+        if self.held > self.most_bytes or len(self) > self.most:
             self.clear()
             self.held = 0
-        self.held += 4 * len(run) + (len(value) if isinstance(value, bytes) else 64)
+        self.held += 4 * size + 64 + (len(value) if value.__class__ is bytes else 0)
         self[run] = value
         return value
 
@@ -189,7 +202,8 @@ class WordCodec:
         self.words = regex.compile(pattern)
         library = Tokenizer.from_file(path)
         self.normalizer, self.cutter, self.letters = library.normalizer, library.pre_tokenizer, byte_letters()
-        self.word_ids = _Runs(lambda w: np.array(self.merges.encode(w), "<u4").tobytes())
+        little = sys.byteorder == "little" and array("I").itemsize == 4
+        self.word_ids = _Runs(lambda w: array("I", self.merges.encode(w.encode())).tobytes() if little else np.array(self.merges.encode(w.encode()), "<u4").tobytes())
         self.run_ids = _Runs(self._run, CACHE_WORDS // 2)
         names = {k: t for t, k in spec["model"]["vocab"].items()} | {k: t for t, k in self.special.items()}
         pieces = [names.get(k, "").encode() + b" " for k in range(max(names) + 1)]
@@ -198,9 +212,9 @@ class WordCodec:
 
     def _run(self, run: str) -> bytes:
         if SETTLED.fullmatch(run):  # composed already, and no letter's lower case depends on its place
-            return b"".join(self.word_ids[w.encode()] for w in self.words.findall(run.lower()))
+            return b"".join(map(self.word_ids.__getitem__, self.words.findall(run.lower())))
         words = self.cutter.pre_tokenize_str(self.normalizer.normalize_str(run))
-        return b"".join(self.word_ids[bytes(map(self.letters.__getitem__, w))] for w, _ in words)
+        return b"".join(self.word_ids[bytes(map(self.letters.__getitem__, w)).decode()] for w, _ in words)
 
     def _plain(self, text: str) -> bytes:
         runs = [r for r in WHITE.split(text) if r] if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
