@@ -218,3 +218,12 @@ def test_top_up_and_halves(spark):
     n = {w: (sum(1 for r in g if r["ext"]), sum(1 for r in g if not r["ext"])) for w, g in ((w, list(g)) for w, g in itertools.groupby(sorted(se.half_sample(half, "w", "k", "ext", 10).collect(), key=lambda r: r["w"]), key=lambda r: r["w"]))}
     assert n == {"a": (5, 5), "b": (2, 8), "c": (9, 1), "d": (1, 3)}
 
+
+
+def test_misheard_names(spark):
+    from quillboard.operators import pages as pg
+
+    texts = spark.createDataFrame([(1, "Curran spoke. Then Kurion and the hang of it. Kurian's words, Kurian. CURRENT Curran"), (2, "curran is not capital"), (3, "Kuran " * 30)], "id int, text string")
+    anchors = spark.createDataFrame([(k, "Kurian") for k in (1, 2, 3)] + [(1, "Bob")], "id int, anchor string")
+    known = spark.createDataFrame([("current",)], "word string")
+    assert {(r["id"], r["word"], r["anchor"]) for r in pg.misheard(texts, "id", anchors, known).collect()} == {(1, "curran", "Kurian"), (1, "kurion", "Kurian")}
