@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillboard.llm import jaccard, suffixdedup
+from quillboard.llm import jaccard, license, suffixdedup
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Smallest node reachable over links l(a, b), for nodes n(id).
@@ -33,4 +33,16 @@ REPEATS = f"""with h as (select doc_id, hex(encode(coalesce(text, ''))) x, (leng
  g as (select h.doc_id, h.x, h.n, b.s, b.e, lag(b.e, 1, 0) over (partition by h.doc_id order by b.s) last_, row_number() over (partition by h.doc_id order by b.s desc) z, b.run from h left join b on b.doc_id = h.doc_id)
  select doc_id, any_value(n) n_bytes, coalesce(sum(e - s), 0)::bigint n_removed, count(s) n_spans, sha256(unhex(case when count(s) = 0 then any_value(x) else string_agg(substr(x, (2 * last_ + 1)::int, (2 * (s - last_))::int), '' order by s) || any_value(substr(x, (2 * e + 1)::int)) filter (z = 1) end)) kept_sha256 from g group by doc_id"""
 
-ORACLES = {"op2_jaccard": JACCARD, "op3_suffixdedup": REPEATS, "op4_embedding": VECTORS, "op7_mixing": MIXING}
+WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+LICENSES = rf"""with tp(label, txt) as (values {", ".join(f"('{label}', '{text}')" for label, text in license.TEMPLATES)}), t0 as (select *, list_distinct(string_split(txt, ' ')) ws, len(string_split(txt, ' ')) n from tp),
+ t as (select *, ceil({license.THRESHOLD} * len(ws) - 1e-9)::int need, case when len(ws) < {license.WHOLE_BELOW} then ws else list_filter(ws, lambda x: list_contains([{", ".join(f"'{n}'" for n in sorted(license.NAMES))}], x)) end told from t0),
+ d as (select doc_id, coalesce(text, '') text, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') w from documents), ph(q, label) as (values {", ".join(f"(string_split('{p}', ' '), '{label}')" for p, label in license.PHRASES.items())}),
+ b0 as (select doc_id, label, unnest(list_filter(range(1, len(w) - len(q) + 2), lambda i: w[i : i + len(q) - 1] = q)) i from d, ph where list_contains(w, q[1])), b as (select doc_id, count(*) n_base, min(i) - 1 first_word, max(i) - 1 last_word, list_sort(list(distinct label)) ls from b0 group by doc_id),
+ ln as (select doc_id, list_distinct(regexp_extract_all(line, '{WORD}')) ws from (select doc_id, unnest(string_split(lower(text), chr(10))) line from d)), m1 as (select doc_id, label, len(list_intersect(ln.ws, t.ws)) / len(t.ws) c from ln, t where len(ln.ws) >= 4 and len(list_intersect(ln.ws, t.ws)) >= need and len(list_filter(told, lambda x: not list_contains(ln.ws, x))) = 0),
+ pg as (select doc_id, regexp_extract_all(p, '{WORD}') w from (select doc_id, unnest(string_split_regex(lower(text), '\n\s*\n')) p from d where contains(text, chr(10))) where contains(trim(p, ' '), chr(10))),
+ m2 as (select doc_id, label, 1.0::double c from pg, t where len(ws) < {license.WHOLE_BELOW} and contains(' ' || array_to_string(w, ' ') || ' ', ' ' || txt || ' ')),
+ m3 as (select doc_id, label, need, len(ws) k, list_max(list_transform(list_filter(range(1, len(w) + 1), lambda i: list_contains(ws, w[i])), lambda i: case when len(list_filter(told, lambda x: not list_contains(w[i : i + n - 1], x))) = 0 then len(list_intersect(list_distinct(w[i : i + n - 1]), ws)) else 0 end)) s from pg, t where len(ws) >= {license.WHOLE_BELOW} and len(list_intersect(list_distinct(w), ws)) >= need),
+ m as (select * from m1 union all select * from m2 union all select doc_id, label, s / k from m3 where s >= need), f as (select doc_id, list(distinct label) ls, max(c) c from m group by doc_id)
+ select d.doc_id, len(w)::bigint n_words, coalesce(n_base, 0)::bigint n_base, first_word, last_word, coalesce(array_to_string(b.ls, ','), '') base_labels, array_to_string(list_sort(list_distinct(list_concat(coalesce(b.ls, []), coalesce(f.ls, [])))), ',') labels, case when n_base > 0 then 1.0 else coalesce(f.c, 0.0) end::double score from d left join b on b.doc_id = d.doc_id left join f on f.doc_id = d.doc_id"""
+
+ORACLES = {"op2_jaccard": JACCARD, "op3_suffixdedup": REPEATS, "op4_embedding": VECTORS, "op7_mixing": MIXING, "op9_license": LICENSES}
