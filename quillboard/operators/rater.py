@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quillboard.sources.shared import shared_folder
+
 DIMENSIONS = ("d1", "d2", "d3")
 WEIGHTS = {"d1": 0.4, "d2": 0.35, "d3": 0.25}
 LEAST_SD, LEAST_ROWS, LEAST_COVERAGE, RANK_FLOOR = 3.0, 25, 0.05, 5
@@ -106,8 +108,9 @@ def venue_effects(rows: DataFrame, value: str, least: int = 8, most_venues: int
     """Points that a venue adds with the person held fixed: least squares of person + venue, centred, 3 places.
 
     Spark sums (person, venue) cells and reduces them to one row for each pair of venues, person
-    effects eliminated; the driver solves that system, of at most `most_venues` squared. A venue
-    of under `least` rows has no effect.
+    effects eliminated; the driver solves that system, of at most `most_venues` squared. With more
+    venues Spark alternates between the means of persons and of venues instead, to the same places.
+    A venue of under `least` rows has no effect.
     """
     per = rows.groupBy("person", "venue").agg(F.count("*").alias("n"), F.sum(value).alias("s"))
     size = per.groupBy("venue").agg(F.sum("n").alias("rows"), F.count("*").alias("people"))
@@ -117,7 +120,7 @@ def venue_effects(rows: DataFrame, value: str, least: int = 8, most_venues: int
     right = cells.groupBy("venue").agg(F.sum("n").alias("n"), F.sum(F.col("s") - F.col("x") * F.col("ps") / F.col("pn")).alias("b"))
     names = [r["venue"] for r in right.select("venue").orderBy("venue").limit(most_venues + 1).collect()]
     if len(names) > most_venues:
-        raise ValueError(f"more than {most_venues} venues")
+        return size.join(_alternated(cells), "venue", "left").select("venue", F.col("rows").alias("n"), "people", F.coalesce("effect", F.lit(0.0)).alias("effect"))
     pairs = cells.select("person", "venue", "x", "pn").join(cells.select("person", F.col("venue").alias("other"), F.col("x").alias("y")), "person")
     at = {v: k for k, v in enumerate(names)}
     a, b = np.zeros((len(names), len(names))), np.zeros(len(names))
@@ -129,3 +132,25 @@ def venue_effects(rows: DataFrame, value: str, least: int = 8, most_venues: int
     found = np.linalg.lstsq(a, b, rcond=None)[0] if len(names) > 1 else b * 0
     effects = rows.sparkSession.createDataFrame([(v, round(float(e - found.mean()), 3)) for v, e in zip(names, found, strict=True)], "venue string, effect double")
     return size.join(effects, "venue", "left").select("venue", F.col("rows").alias("n"), "people", F.coalesce("effect", F.lit(0.0)).alias("effect"))
+
+
+def _alternated(cells: DataFrame, rounds: int = 1000, enough: float = 1e-5) -> DataFrame:
+    """(venue, effect) of cells (person, venue, x, s) by alternating means, each round a table in the shared folder."""
+    spark = cells.sparkSession
+    folder = shared_folder(spark, "venues")
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    cells = stored("cells", cells.select("person", "venue", "x", "s"))
+    effects = stored("effects-0", cells.select("venue").distinct().withColumn("e", F.lit(0.0)))
+    for turn in range(1, rounds + 1):
+        people = cells.join(effects, "venue").groupBy("person").agg((F.sum(F.col("s") - F.col("x") * F.col("e")) / F.sum("x")).alias("p"))
+        new = stored(f"effects-{turn}", cells.join(people, "person").groupBy("venue").agg((F.sum(F.col("s") - F.col("x") * F.col("p")) / F.sum("x")).alias("e")))
+        moved = new.join(effects.withColumnRenamed("e", "before"), "venue").agg(F.max(F.abs(F.col("e") - F.col("before")))).first()[0]
+        effects = new
+        if moved is None or moved < enough:
+            break
+    centre = effects.agg(F.avg("e").alias("m"))  # one row
+    return effects.crossJoin(F.broadcast(centre)).select("venue", F.round(F.col("e") - F.col("m"), 3).alias("effect"))

@@ -4,6 +4,7 @@ import re
 import statistics
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from quillboard.functions import dates as dt, text as tx
@@ -13,9 +14,10 @@ from quillboard.plans.queries import QUERIES
 SF = "/root/testdata/sf0.001"
 
 
-def test_venue_effects(spark):
+@pytest.mark.parametrize("most", [1000, 1])
+def test_venue_effects(spark, most):
     rows = [("ab"[k % 2] if v != "z" else "a", v, float(10 * (k % 2) + {"x": 3, "y": -2, "z": 40}[v] + k % 3)) for k in range(40) for v in ("xy" if k > 5 else "xz")]
-    got = {r["venue"]: (r["n"], r["effect"]) for r in rt.venue_effects(spark.createDataFrame(rows, "person string, venue string, v double"), "v").collect()}
+    got = {r["venue"]: (r["n"], r["effect"]) for r in rt.venue_effects(spark.createDataFrame(rows, "person string, venue string, v double"), "v", most_venues=most).collect()}
     effect = {"x": 0.0, "y": 0.0}
     used = [r for r in rows if r[1] in effect]
     for _ in range(300):
