@@ -354,7 +354,8 @@ def shingle_join(documents: DataFrame, scratch: Scratch) -> DataFrame:
     total, count = classes.agg(F.sum(F.aggregate("bands", F.lit(0).cast("long"), lambda s, x: s + x["parts"])), F.count("*")).first()
     refs = classes.select("cls", "n", F.explode("bands").alias("x")).select("cls", "n", "x.*")
 
-    firsts = docs.join(classes.select(F.col("cls.rep").alias("rep")).distinct(), F.col("doc_id") == F.col("rep"))
+    # by a merge join at every size: the plan, and so its growth, does not change where a side gets too large to broadcast
+    firsts = docs.join(classes.select(F.col("cls.rep").alias("rep")).distinct().hint("merge"), F.col("doc_id") == F.col("rep"))
     met = _first_meeting(firsts, total or 0, max(1, count), scratch)
     fits = (F.least("n_a", "n_b") * DENOMINATOR >= F.greatest("n_a", "n_b") * NUMERATOR) & (F.col("a") != F.col("b"))
     losses = F.expr(f"(n_a + n_b) * {DENOMINATOR - NUMERATOR} div {DENOMINATOR + NUMERATOR}")
