@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillboard.llm import jaccard, license, suffixdedup
+from quillboard.llm import divergence, jaccard, license, periodic, suffixdedup
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Smallest node reachable over links l(a, b), for nodes n(id).
@@ -45,4 +45,35 @@ LICENSES = rf"""with tp(label, txt) as (values {", ".join(f"('{label}', '{text}'
  m as (select * from m1 union all select * from m2 union all select doc_id, label, s / k from m3 where s >= need), f as (select doc_id, list(distinct label) ls, max(c) c from m group by doc_id)
  select d.doc_id, len(w)::bigint n_words, coalesce(n_base, 0)::bigint n_base, first_word, last_word, coalesce(array_to_string(b.ls, ','), '') base_labels, array_to_string(list_sort(list_distinct(list_concat(coalesce(b.ls, []), coalesce(f.ls, [])))), ',') labels, case when n_base > 0 then 1.0 else coalesce(f.c, 0.0) end::double score from d left join b on b.doc_id = d.doc_id left join f on f.doc_id = d.doc_id"""
 
-ORACLES = {"op2_jaccard": JACCARD, "op3_suffixdedup": REPEATS, "op4_embedding": VECTORS, "op7_mixing": MIXING, "op9_license": LICENSES}
+#: crc32 of a list of bytes b, by a table that its polynomial gives (column ct).
+CRC_TABLE = """select list(c order by n) ct from (select n, list_reduce(list_prepend(n, range(0, 8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) c from (select unnest(range(0, 256)) n))"""
+
+
+def crc(b: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {b}), lambda c, x: xor(c >> 8, ct[(xor(c, x) & 255) + 1])), 4294967295)::bigint"
+
+
+RUNS = rf"""with tb as ({CRC_TABLE}), d0 as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w0, {crc("list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)")} h from documents, tb),
+ d1 as (select doc_id, w0, len(w0) n, h % 10 = 0 and len(w0) > 0 looped, case when len(w0) > 0 then (h // 10) % len(w0) end a, (h // 10) % 8 r from d0),
+ d as (select doc_id, n, case when looped then list_transform(range(0, n), lambda i: w0[case when i < a then i else a + (i - a) % (1 + (n - a) // (3 + r)) end + 1]) else w0 end w from d1),
+ x as (select doc_id, n, i, md5(array_to_string(w[i + 1 : i + 8], ' ')) k from (select doc_id, n, w, unnest(range(0, n - 7)) i from d)),
+ pr as (select a.doc_id, a.i, b.i - a.i q, row_number() over (partition by a.doc_id, b.i - a.i order by a.i) z from x a join x b on a.doc_id = b.doc_id and a.k = b.k and b.i > a.i and 3 * (b.i - a.i) <= a.n),
+ st as (select doc_id, q, min(i) s, max(i) - min(i) + 8 + q len from pr group by doc_id, q, i - z), r as (select doc_id, s, len, min(q) q from st where len >= greatest({periodic.LEAST}, {periodic.TIMES} * q) group by all),
+ b as (select * from r qualify row_number() over (partition by doc_id order by len / q desc, s, q) = 1), t as (select doc_id, count(*) k, string_agg(s || ',' || len || ',' || q || chr(10), '' order by s, q) txt from r group by doc_id),
+ gone as (select distinct doc_id, unnest(range(s + q, s + len)) i from r), ws as (select doc_id, unnest(w) word, unnest(range(0, n)) i from d), kept as (select doc_id, string_agg(word, ' ' order by i) txt from ws anti join gone using (doc_id, i) group by doc_id)
+ select d.doc_id, coalesce(k, 0)::bigint n_runs, b.s "start", b.len "length", b.q period, 1000 * b.len // b.q exponent_milli, sha256(coalesce(t.txt, '')) runs_sha256, sha256(coalesce(kept.txt, '')) collapsed_sha256
+ from d left join b using (doc_id) left join t using (doc_id) left join kept using (doc_id)"""
+
+DIVERGENCE = rf"""with d as (select row_number() over () id, coalesce(text, '') text, coalesce(lang, '') lang, coalesce(source, '') source from documents),
+ o as (select id, lang, source, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) t from d), kept as (select lang, t, count(*) cl from o group by lang, t having count(distinct id) >= 10),
+ c as (select lang, source, t, count(*) n from o semi join kept using (lang, t) group by all), g as (select distinct lang, source from d), v as (select lang, count(*) v, sum(cl) nl from kept group by lang), ng as (select lang, source, sum(n) ng from c group by all),
+ s as (select g.lang, g.source, kept.t, coalesce(n, 0) n, 1 + (1000000000::hugeint * (coalesce(n, 0) + 2)) // (coalesce(ng, 0) + 2 * v) p, 1 + (1000000000::hugeint * (cl + 2)) // (nl + 2 * v) q from g join kept on kept.lang = g.lang join v on v.lang = g.lang left join c on c.lang = g.lang and c.source = g.source and c.t = kept.t left join ng on ng.lang = g.lang and ng.source = g.source),
+ pr as (select a.lang, a.source, b.source item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) x from s a join s b on a.lang = b.lang and a.t = b.t and a.source <> b.source group by all),
+ f as (select a.lang, a.source, 'pair' part, b.source item, coalesce(x, 0)::bigint "value" from g a join g b on a.lang = b.lang and a.source <> b.source left join pr on pr.lang = a.lang and pr.source = a.source and pr.item = b.source union all select lang, source, 'term', t, ((p - q) * (p - q) // (p + q))::bigint from s where n > 0 and p > q)
+ select *, (row_number() over (partition by lang, source, part order by "value" desc, item))::int rank from f qualify part = 'pair' or rank <= 10"""
+
+SHARDS = rf"""with tb as ({CRC_TABLE}), x as (select doc_id, hex(encode(coalesce(text, ''))) x from documents), y as (select doc_id, (len(x) // 2 + 16)::bigint size, {crc("list_transform(regexp_extract_all(x, '..'), lambda y: ('0x' || y)::bigint)")} text_crc32 from x, tb),
+ z as (select *, sum(size) over (order by doc_id) - size b, sum(size) over () total from y), s as (select *, ((2 * b + size) * 40 // (2 * total))::int shard from z)
+ select doc_id, size, text_crc32, 'bytes' law, shard, row_number() over (partition by shard order by doc_id) - 1 slot, null::int grown_shard, b::bigint "before" from s"""
+
+ORACLES = {"op2_jaccard": JACCARD, "op3_suffixdedup": REPEATS, "op4_embedding": VECTORS, "op7_mixing": MIXING, "op9_license": LICENSES, "op11_periodic": RUNS, "op12_divergence": DIVERGENCE, "op13_sharding": SHARDS}

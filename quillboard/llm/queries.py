@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillboard.llm import bpe, embedding, jaccard, license, media, mixing, oracles, quality, suffixdedup, tokenfile, unigram
+from quillboard.llm import bpe, divergence, embedding, jaccard, license, media, mixing, oracles, periodic, quality, sharding, suffixdedup, tokenfile, unigram
 from quillboard.llm._scratch import Scratch
 
 END_ID = 2
@@ -64,7 +64,19 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(_read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digest(periodic.looped(_read(spark, sf_dir, "documents")))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_read(spark, sf_dir, "documents"), Scratch(spark, "op12"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(_read(spark, sf_dir, "documents"), Scratch(spark, "op13"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_media, op2_jaccard, op3_suffixdedup, op4_embedding, op5_tokenfile, op6_quality, op7_mixing, op8_unigram, op9_license, op10_bpe)
+    f.__name__: f for f in (op1_media, op2_jaccard, op3_suffixdedup, op4_embedding, op5_tokenfile, op6_quality, op7_mixing, op8_unigram, op9_license, op10_bpe, op11_periodic, op12_divergence, op13_sharding)
 }
 ORACLES: dict[str, str] = oracles.ORACLES
