@@ -19,6 +19,21 @@ def type_token_ratio(words: Column) -> Column:
     return F.size(F.array_distinct(words)) / F.nullif(F.size(words), F.lit(0))
 
 
+def rounded_share(part: Column, whole: Column, places: int) -> Column:
+    """part / whole of whole numbers, rounded half up by whole-number arithmetic, so that every engine rounds alike."""
+    unit = 10**places
+    p, w = part.cast("long"), F.nullif(whole.cast("long"), F.lit(0).cast("long"))
+    return F.floor((2 * unit * p + w) / (2 * w)) / unit
+
+
+def moving_kinds(words: Column, window: int, step: int) -> Column:
+    """(kinds, words) summed over the windows that fit; of the whole where none does."""
+    n = F.size(words)
+    kinds = F.transform(F.sequence(F.lit(0), n - window, F.lit(step)), lambda i: F.size(F.array_distinct(F.slice(words, i + 1, F.lit(window)))))
+    summed = F.struct(F.aggregate(kinds, F.lit(0), lambda a, x: a + x).alias("kinds"), (F.size(kinds) * window).alias("words"))
+    return F.when(n <= window, F.struct(F.size(F.array_distinct(words)).alias("kinds"), n.alias("words"))).otherwise(summed)
+
+
 def moving_ttr(words: Column, window: int, step: int) -> Column:
     """Mean type-token ratio of the windows that fit; of the whole where none does."""
     n = F.size(words)

@@ -143,7 +143,7 @@ def due_claims(spark, d):
 
 def _scaled(scale: float) -> str:
     return f"""(with {C}, {DER}, {_implied(scale)}, ats as (select *, {STATED} stated from im) select person, {scale}::double scale, count(*) claims, avg((case when target is not null then stated when not vague and derived is not null then derived when not vague and dhow in ('recurring', 'event_anchored') then null else implied end) - said) mean_window,
- count(*) filter ((case when target is not null then stated when crosses then null when not vague and derived is not null then derived when not vague and dhow in ('recurring', 'event_anchored') then null else implied end) <= date '1996-12-31') due from ats where not crosses group by person)"""
+ count(*) filter ((case when target is not null then stated when crosses then null when not vague and derived is not null then derived when not vague and dhow in ('recurring', 'event_anchored') then null else implied end) <= date '1996-12-31') due from ats where not (crosses and target is null) group by person)"""
 
 
 @query(

@@ -128,9 +128,9 @@ ORACLES = {
 ORACLES["qa_gate"] = r"""with b as (select doc_id, text, regexp_replace(regexp_replace(coalesce(text, ''), '\[\d{2}:\d{2}:\d{2}\]', ' ', 'g'), '(?i)\[(music|applause|laughter|cheering|silence)\]', ' ', 'g') bare from documents),
  t as (select doc_id, len(regexp_extract_all(coalesce(text, ''), '(?i)\[(music|applause|laughter|cheering|silence)\]')) nonspeech, regexp_extract_all(lower(bare), '[a-z'']+') w from b),
  e as (select doc_id, len(w) n, unnest(w) x, generate_subscripts(w, 1) i from t), r as (select *, i - row_number() over (partition by doc_id, x order by i) g from e), m as (select doc_id, max(k) best from (select doc_id, count(*) k from r group by doc_id, x, g) group by doc_id),
- s as (select t.doc_id, len(w) words, round(len(list_filter(w, lambda x, i: i > 2 and w[i - 1] = x and w[i - 2] = x)) / nullif(len(w), 0), 5) loop_share, case when len(w) >= 10 and best > 5 then best - 4 else 0 end loop_score, round(list_unique(w) / nullif(len(w), 0), 4) ttr,
- round(case when len(w) <= 1000 then list_unique(w) / nullif(len(w), 0) else list_avg([list_unique(w[i + 1 : i + 1000]) / 1000 for i in range(0, len(w) - 999, 250)]) end, 4) mattr, nonspeech from t left join m on m.doc_id = t.doc_id),
- v as (select *, case when words = 0 then 'empty_after_cleaning' else array_to_string(list_filter([case when words < 700 then 'word_count' end, case when loop_share > 0.02 then 'loop_share' end, case when mattr < 0.28 then 'mattr' end], lambda x: x is not null), ',') end reasons from s) select *, case when reasons = '' then 'pass' else 'reject' end verdict from v"""
+ s as (select t.doc_id, len(w) words, round(len(list_filter(w, lambda x, i: i > 2 and w[i - 1] = x and w[i - 2] = x)) / nullif(len(w), 0), 5) loop_share, case when len(w) >= 10 and best > 5 then best - 4 else 0 end loop_score, list_unique(w) kinds, case when len(w) <= 1000 then list_unique(w) else list_sum([list_unique(w[i + 1 : i + 1000]) for i in range(0, len(w) - 999, 250)]) end moved, case when len(w) <= 1000 then len(w) else 1000 * ((len(w) - 1000) // 250 + 1) end of_, nonspeech from t left join m on m.doc_id = t.doc_id),
+ s2 as (select doc_id, words, loop_share, loop_score, (20000 * kinds + words) // nullif(2 * words, 0) / 10000 ttr, (20000 * moved + of_) // nullif(2 * of_, 0) / 10000 mattr, nonspeech from s),
+ v as (select *, case when words = 0 then 'empty_after_cleaning' else array_to_string(list_filter([case when words < 700 then 'word_count' end, case when loop_share > 0.02 then 'loop_share' end, case when mattr < 0.28 then 'mattr' end], lambda x: x is not null), ',') end reasons from s2) select *, case when reasons = '' then 'pass' else 'reject' end verdict from v"""
 ORACLES["span_dedupe"] = f"""with recursive q as (select item_id, string_split({NORM.format('text')}, ' ') q from benchmark where {NORM.format('text')} <> ''), n as (select doc_id, string_split({NORM.format('text')}, ' ') w from documents), e as (select doc_id, w, unnest(range(1, len(w) + 1)) at_ from n),
  h as (select e.doc_id, item_id, at_ s, at_ + len(q) e from e join q on e.w[at_] = q[1] and e.w[at_ : at_ + len(q) - 1] = q), o as (select *, row_number() over (partition by doc_id order by s - e, s, item_id) k, count(*) over (partition by doc_id) spans from h),
  st as (select doc_id, 1 k, spans, [{{'id': item_id, 's': s, 'e': e}}] kept from o where k = 1 union all select o.doc_id, o.k, o.spans, case when len(list_filter(st.kept, lambda y: greatest(0, least(o.e, y.e) - greatest(o.s, y.s)) >= 0.8 * greatest(o.e - o.s, y.e - y.s, 1))) > 0 then st.kept else list_append(st.kept, {{'id': o.item_id, 's': o.s, 'e': o.e}}) end

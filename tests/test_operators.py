@@ -109,6 +109,31 @@ def test_dates_named(spark):
     assert [tuple(r) for r in parts] == [(2026, 6, 30), (2026, 7, 4), (2025, 3, None), (1999, None, None)]
 
 
+def test_horizons_beyond_the_calendar(spark):
+    texts = ["in 12345678901 years", "in 900000 years", "3 to 99999999999 days", "in 2000000 days", "in 2 years", "40000000 months"]
+    said = F.to_date(F.lit("2020-02-29"))
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", dl.horizon_span(F.col("t")).alias("s"))
+    got = [(r["count"], r["how"], r["d"]) for r in rows.select("k", "s.*", dl.add_span(said, F.col("s.count"), F.col("s.unit")).cast("string").alias("d")).orderBy("k").collect()]
+    none = (None, "no_horizon_value", None)
+    assert got == [none, (900000.0, "number and unit", None), none, (2000000.0, "number and unit", None), (2.0, "number and unit", "2022-02-28"), (40000000.0, "number and unit", None)]
+
+
+def test_stated_date_beats_a_range_over_new_year(spark):
+    day = lambda x: F.to_date(F.lit(x))
+    row = spark.range(1).select(
+        day("2021-01-02").alias("said"), day("2020-12-30").alias("earliest"), F.lit("next year").alias("phrase"), F.lit(None).cast("double").alias("years"), F.lit("2021-06-30").alias("target"),
+        *[F.lit("x").alias(c) for c in ("claim", "criteria", "quote", "category", "control", "form")],
+    )
+    a = dl.attach_deadlines(row).first()
+    assert str(a["deadline"]) == "2021-06-30"
+    assert dl.attach_deadlines(row.withColumn("target", F.lit(None).cast("string"))).first()["why_none"] == "range_crosses_new_year"
+
+
+def test_shares_round_alike(spark):
+    rows = spark.createDataFrame([(41875, 100000), (1, 3), (0, 5), (5, 0), (1, 20000), (3, 20000)], "p int, w int")
+    assert [r["x"] for r in rows.select(tx.rounded_share(F.col("p"), F.col("w"), 4).alias("x")).collect()] == [0.4188, 0.3333, 0.0, None, 0.0001, 0.0002]
+
+
 def test_sounds(spark):
     words = ["phonetics", "check", "xerox", "quizzes", "aardvark", "cook", "", "o'neil"]
     got = [r["s"] for r in spark.createDataFrame([(k, w) for k, w in enumerate(words)], "k int, w string").select("k", tx.consonant_skeleton(F.col("w")).alias("s")).orderBy("k").collect()]
