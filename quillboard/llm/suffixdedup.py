@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -291,6 +292,14 @@ def _covered(n: int, marks: list[tuple[int, int]]) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+def _whole_characters(text: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """The mask widened to all bytes of each UTF-8 character that loses one."""
+    if not gone.any():
+        return gone
+    character = np.cumsum((text & 0xC0) != 0x80)
+    return np.bincount(character, gone)[character] > 0
+
+
 def repeats(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """row, doc_id, text and tag of the documents, and (doc_id, tag, marks) of those with repeated strings."""
     docs = documents.select(F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("row"), documents["doc_id"].cast("long").alias("doc_id"), documents["text"].alias("text"))
@@ -298,7 +307,8 @@ def repeats(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
     if unique:
         docs = docs.withColumn("tag", F.lit(0))
     else:  # rows that share a doc_id: equal texts are one document, others follow each other
-        docs = docs.withColumn("tag", F.when(F.col("doc_id").isNull(), 0).otherwise(F.dense_rank().over(Window.partitionBy("doc_id").orderBy("text")) - 1))
+        ranked = docs.where("doc_id is not null").withColumn("tag", F.dense_rank().over(Window.partitionBy("doc_id").orderBy("text")) - 1)
+        docs = ranked.union(docs.where("doc_id is null").withColumn("tag", F.lit(0)))
     known = docs.where("doc_id is not null").select("doc_id", "tag", "text")
     known = known if unique else known.dropDuplicates(["doc_id", "tag"])
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -359,7 +369,7 @@ def remove_repeats(documents: DataFrame, scratch: Scratch, keep: bool = False) -
 
         def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                texts = [None if old is None else text[~gone].tobytes().decode("utf-8", "ignore") for (text, gone), old in zip(cut(b), b.column("text").to_pylist(), strict=True)]
+                texts = [None if null else text[~_whole_characters(text, gone)].tobytes().decode() for (text, gone), null in zip(cut(b), pc.is_null(b.column("text")).to_pylist(), strict=True)]
                 columns = dict(zip(kinds.names, b.column("row").flatten(), strict=True)) | {"text": pa.array(texts, pa.string())}
                 if "n_chars" in columns:
                     columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], columns["n_chars"].type)

@@ -43,7 +43,8 @@ OTHER_WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in "
 
 
 def _slot(keys: np.ndarray, seed: np.ndarray | int, slots: int) -> np.ndarray:
-    return mix(keys.view(np.uint64) + (np.asarray(seed, np.uint64) + np.uint64(1)) * SEED) % np.uint64(slots)
+    with np.errstate(over="ignore"):  # modulo 2^64
+        return mix(keys.view(np.uint64) + (np.asarray(seed, np.uint64) + np.uint64(1)) * SEED) % np.uint64(slots)
 
 
 def _fingerprint(keys: np.ndarray) -> np.ndarray:
@@ -108,8 +109,8 @@ class Shard:
         self.file.seek(at)
         return np.frombuffer(self.file.read(n * np.dtype(kind).itemsize), kind)
 
-    def get(self, key: int) -> np.ndarray | None:
-        """The ids of a document, or None; four small reads however large the shard is."""
+    def find(self, key: int) -> int | None:
+        """The ordinal of the first document of a key, or None; four small reads however large the shard is."""
         if not self.slots:
             return None
         k = np.array([key], np.int64)
@@ -118,11 +119,25 @@ class Shard:
         if self.read(self.prints + 4 * slot, "<u4", 1)[0] != _fingerprint(k)[0]:
             return None
         ordinal = int(self.read(self.ordinals + 4 * slot, "<u4", 1)[0])
-        if self.read(self.keys + 8 * ordinal, "<i8", 1)[0] != key:
-            return None
+        return ordinal if self.read(self.keys + 8 * ordinal, "<i8", 1)[0] == key else None
+
+    def at(self, ordinal: int) -> np.ndarray:
+        """The ids of a document by its place in the shard."""
         lo, hi = (int(x) for x in self.read(self.offsets + 8 * ordinal, "<u8", 2))
         return self.read(self.payload + lo * self.id_bytes, f"<u{self.id_bytes}", hi - lo)
 
+    def get(self, key: int) -> np.ndarray | None:
+        """The ids of the first document of a key, or None."""
+        ordinal = self.find(key)
+        return None if ordinal is None else self.at(ordinal)
+
+    def every(self, key: int) -> Iterator[np.ndarray]:
+        """The ids of each document of a key: they stand side by side."""
+        ordinal = self.find(key)
+        while ordinal is not None and ordinal < self.documents and self.read(self.keys + 8 * ordinal, "<i8", 1)[0] == key:
+            yield self.at(ordinal)
+            ordinal += 1
+
     def lookup(self, wanted: np.ndarray) -> np.ndarray:
         """The ordinal of the first document of each int64 key, -1 where the shard has none: one pass over the index."""
         if not self.slots or not len(wanted):
@@ -297,8 +312,8 @@ def lookup_token_files(manifest: DataFrame, keys: DataFrame) -> DataFrame:
 
     Files and keys meet in ranges of doc_ids of one width, so neither side is broadcast; a
     file that spans several ranges stands in each. A key that no file holds gives no row, a
-    null key neither; a key held by several files (documents that share it) gives a row for
-    each.
+    null key neither; a key that several documents share gives a row for each, whether they
+    stand in one file or in several.
     """
     wanted = keys.select(keys["doc_id"].cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     files = manifest.where("last_doc is not null").select("path", F.col("first_doc").alias("first"), F.col("last_doc").alias("last"))
@@ -315,7 +330,7 @@ def lookup_token_files(manifest: DataFrame, keys: DataFrame) -> DataFrame:
                 some = doc[paths == path]
                 with _open(path, "r") as f:
                     shard = Shard(f)
-                    got = [(k, ids.astype(np.int64)) for k, ids in ((k, shard.get(k)) for k in some.tolist()) if ids is not None]
+                    got = [(k, ids.astype(np.int64)) for k in some.tolist() for ids in shard.every(k)]
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.int64()), pa.array([x for _, x in got], pa.list_(pa.int64()))], names=["doc_id", "ids"])
 
     return met.select("path", "doc_id").repartition("path").sortWithinPartitions("path").mapInArrow(run, "doc_id long, ids array<long>")
