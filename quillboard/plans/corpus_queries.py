@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from quillboard.functions import text as tx
-from quillboard.operators import corpus as co, grounding as gr, rater as rt, screens as sc, selection as se, transcript as tr
+from quillboard.operators import corpus as co, replays as rp, grounding as gr, rater as rt, screens as sc, selection as se, transcript as tr
 from quillboard.operators.rater import r6
 from quillboard.plans.grounding_queries import Q, T, W, _located
 from quillboard.plans.oracles import BOARD, F as FC, G, TOK
@@ -117,11 +117,22 @@ def copy_sweep(spark, d):
     return co.sweep(placed, write("pairs", pairs.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))), write).withColumnRenamed("id", "doc_id")
 
 
-@query(None)
+@query(
+    r"""with t as (select doc_id, coalesce(text, '') text, list_filter(string_split_regex(coalesce(text, ''), '\s+'), lambda x: x <> '') toks from documents), d as (select *, list_filter(toks, lambda x: not regexp_full_match(x, '\[\d\d:\d\d:\d\d\]')) w from t),
+ x as (select doc_id, i, md5(array_to_string(w[i + 1 : i + 20], ' ')) h from (select doc_id, w, unnest(range(0, len(w) - 19)) i from d)), m0 as (select doc_id, i, min(i) over (partition by doc_id, h) p from x), m as (select *, lag(i) over (partition by doc_id order by i) before_ from m0 where i > p),
+ s0 as (select m.*, before_ is null or i - before_ > 20 seed, least(20, p, case when before_ is null then i else i - before_ - 20 end) most from m), e as (select s0.*, case when seed and most > 0 then list_transform(range(1, most + 1), lambda b: w[i - b + 1] = w[p - b + 1]) else [] end eq from s0 join d using (doc_id)),
+ g as (select doc_id, i, seed, coalesce(list_max(list_filter(range(1, len(eq) + 1), lambda b: eq[b] and len(list_filter(range(4, b + 1), lambda z: not list_contains(eq[z - 3 : z], true))) = 0)), 0) back from e),
+ n as (select doc_id, i - back s, i + 20 e, sum(case when seed and i - back > coalesce(lag_e, -1) then 1 else 0 end) over (partition by doc_id order by i) run from (select *, lag(i + 20) over (partition by doc_id order by i) lag_e from g)),
+ r as (select doc_id, run, min(s) s, max(e) e from n group by doc_id, run), c as (select doc_id, sum(e - s) covered from r group by doc_id),
+ j as (select doc_id, s, e, sum(case when before_ is null or s - before_ >= 20 then 1 else 0 end) over (partition by doc_id order by s) piece from (select *, lag(e) over (partition by doc_id order by s) before_ from r)), k as (select j.doc_id, min(s) s, max(e) e from j join c on c.doc_id = j.doc_id join d on d.doc_id = j.doc_id where covered / len(w) >= 0.05 group by j.doc_id, piece),
+ tk as (select doc_id, z, tok, regexp_full_match(tok, '\[\d\d:\d\d:\d\d\]') stamp from (select doc_id, unnest(toks) tok, unnest(range(0, len(toks))) z from d where doc_id in (select doc_id from k))), tp as (select *, sum((not stamp)::int) over (partition by doc_id order by z) - 1 place from tk),
+ kt as (select * from tp where stamp or not exists (select 1 from k where k.doc_id = tp.doc_id and s <= place and place < e)), ks as (select *, lead(stamp) over (partition by doc_id order by z) next_ from kt), lf as (select doc_id, string_agg(tok, ' ' order by z) left_ from ks where not stamp or not coalesce(next_, false) group by doc_id)
+ select d.doc_id, len(w)::bigint words, coalesce(round(covered / len(w), 4), 0) "share", coalesce((select sum(e - s) from k where k.doc_id = d.doc_id), 0)::bigint removed, md5(case when d.doc_id in (select doc_id from k) then coalesce(left_, '') else text end) text_md5 from d left join c on c.doc_id = d.doc_id left join lf on lf.doc_id = d.doc_id"""
+)
 def replay_cut(spark, d):
     """Texts without replayed passages: what goes and the digest of what stays."""
-    cut = read(spark, d, "documents").select("doc_id", F.explode(F.array(co.without_replays(F.coalesce("text", F.lit(""))))).alias("c"))
-    return cut.select("doc_id", "c.words", "c.share", "c.removed", F.md5("c.text").alias("text_md5"))
+    cut = rp.without_replays(read(spark, d, "documents"), "doc_id", "text")
+    return cut.select("doc_id", "words", "share", "removed", F.md5("text").alias("text_md5"))
 
 
 @query(

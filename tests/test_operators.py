@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillboard.functions import dates, text as tx
-from quillboard.operators import corpus as co, deadlines as dl, grounding as gr, intervals as iv, rater as rt, records as rc, screens as sc, selection as se, transcript as tr
+from quillboard.operators import corpus as co, deadlines as dl, grounding as gr, intervals as iv, rater as rt, records as rc, replays as rp, screens as sc, selection as se, transcript as tr
 from quillboard.sources import records as js
 
 
@@ -64,16 +64,34 @@ def test_locate_quotes(spark):
     assert text[got[3]["start"] : got[3]["end"]] == "day, it's" and text[got[4]["start"] : got[4]["end"]] == "Élan vital"
 
 
-def test_replays():
+def test_replays(spark):
     say = [f"w{k}" for k in range(200)]
     again = [*say[:60], "[00:01:00]", "[00:02:00]", *say[20:60], "x", *say[100:160]]
-    text, share, removed, words = co._cut(" ".join(again))
-    assert (removed, words, share) == (40, 161, round(40 / 161, 4)) and text.split()[60:63] == ["[00:02:00]", "x", "w100"]
-    assert co._cut(" ".join(say))[2] == 0 and co._cut("") == ("", 0.0, 0, 0)
     slipped = [*say[:100], "a", "b", *say[2:100]]  # two words before the passage fit nowhere
-    assert co._cut(" ".join(slipped))[2] == 98
+    grown = [*say[:100], "q", *say[3:6], "a", "b", "c", *say[9:60]]  # three slips, and words that fit before them
+    broken = [*say[:100], "q", *say[3:6], "a", "b", "c", "d", *say[10:60]]  # four slips end the growth
+    island = [*say[:60], *say[0:25], *[f"i{k}" for k in range(19)], *say[30:60]]
+    apart = [*say[:60], *say[0:25], *[f"i{k}" for k in range(24)], *say[30:60]]
+    thrice = [*say[:30], *say[:30], *say[:30]]
     teaser = [*say[:20], *[f"v{k}" for k in range(1000)], *say[:20]]
-    assert co._cut(" ".join(teaser))[1:3] == (round(20 / 1040, 4), 0)
+    texts = [again, say, [], slipped, grown, broken, island, apart, thrice, teaser, ["a"] * 30, None]
+    rows = [(k, None if t is None else " ".join(t)) for k, t in enumerate(texts)]
+    got = rp.without_replays(spark.createDataFrame([*rows, rows[0], (None, rows[3][1]), (0, rows[3][1])], "doc_id long, text string"), "doc_id", "text").collect()
+    assert len(got) == len(texts) + 3 and sum(r["doc_id"] == 0 and r["removed"] == 40 for r in got) == 2 and {r["removed"] for r in got if r["doc_id"] is None} == {98}
+    by = {r["doc_id"]: r for r in got if not (r["doc_id"] == 0 and r["removed"] == 98)}
+    assert [by[k]["removed"] for k in range(12)] == [40, 0, 0, 98, 57, 50, 25 + 19 + 30, 25 + 30, 60, 0, 29, 0]
+    assert (by[0]["words"], by[0]["share"]) == (161, round(40 / 161, 4)) and by[0]["text"].split()[60:63] == ["[00:02:00]", "x", "w100"]
+    assert by[4]["text"].split() == [*say[:100], "q"] and by[5]["text"].split() == [*say[:100], "q", *say[3:6], "a", "b", "c", "d"]
+    assert by[9]["share"] == round(20 / 1040, 4) and by[9]["text"] == " ".join(teaser) and by[11]["text"] == ""
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 7, 20])
+def test_window_hashes(spark, window):
+    words = "a b c a b c d e a b c a b c d f g h i j k l a b c a b c d e a b".split()
+    got = spark.createDataFrame([(words,), (words[:window],), (words[: window - 1],), ([],)], "w array<string>").select("w", rp.window_hashes(F.col("w"), window).alias("h")).collect()
+    for w, h in got:
+        pieces = [tuple(w[k : k + window]) for k in range(len(w) - window + 1)]
+        assert len(h) == len(pieces) and len(set(h)) == len(set(pieces)) == len(set(zip(h, pieces, strict=True)))
 
 
 def test_sweep(spark, tmp_path):
