@@ -1,16 +1,11 @@
-"""Pages and words: dates and bodies that a page's own data name, excerpts, labels, and names that were heard wrongly."""
+"""Pages: dates and bodies that a page's own data name, excerpts, labels, days of moments."""
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 from quillboard.functions import text as tx
 
-#: How like a name a misheard word must be in spelling and in sound, and how rare.
-SPELLING, SOUND, MOST_TIMES, MOST_LONGER = 0.64, 0.80, 25, 3
 LD = r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"
 NEXT = r"(?is)<script[^>]*id=\"__NEXT_DATA__\"[^>]*>(.*?)</script>"
 
@@ -42,28 +37,6 @@ def excerpt_place(page_text: Column, excerpt: Column) -> Column:
     return F.when(tx.normalised(excerpt) == "", 0).otherwise(F.locate("\u0000", F.replace(padded(page_text), padded(excerpt), F.lit("\u0000"))))
 
 
-@F.pandas_udf(T.DoubleType())
-def likeness(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Share of two words that matching blocks cover."""
-    return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
-
-
-def misheard(texts: DataFrame, key: str, anchors: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """(key, word, anchor): capitalised words of a text (key, text) that are a name (key, anchor) misheard.
-
-    A word that the dictionary knows, that holds an apostrophe, stands often, or is the name itself
-    is none. It must resemble the name in spelling and in consonants; of several names the first.
-    """
-    words = texts.select(key, F.explode(F.regexp_extract_all("text", F.lit(r"\b([A-Za-z][A-Za-z'\u2019-]{3,})\b"), 1)).alias("raw")).withColumn("word", F.lower("raw"))
-    per = words.groupBy(key, "word").agg(F.count("*").alias("n"), F.bool_or(F.col("raw").rlike("^[A-Z]")).alias("capital")).where(f"capital and n <= {MOST_TIMES}").where(~F.col("word").rlike("['\u2019]"))
-    per = per.join(dictionary.select("word").distinct(), "word", "left_anti")
-    names = anchors.select(key, "anchor", F.lower("anchor").alias("name")).where(F.length("anchor") >= 4)
-    met = per.join(names, key).where((F.col("word") != F.col("name")) & (F.abs(F.length("word") - F.length("name")) <= MOST_LONGER))
-    met = met.withColumn("spelling", likeness("word", "name")).where(F.col("spelling") >= SPELLING)
-    met = met.withColumn("sound", likeness(tx.consonant_skeleton(F.col("word")), tx.consonant_skeleton(F.col("name")))).where(F.col("sound") >= SOUND)
-    return met.groupBy(key, "word").agg(F.min("anchor").alias("anchor"))
-
-
 def zone_day(at: Column, zone: Column, spoken: Column) -> Column:
     """The day of a moment: where it was spoken, or in UTC for a publication."""
     return F.to_date(F.when(spoken, F.from_utc_timestamp(at, zone)).otherwise(at))

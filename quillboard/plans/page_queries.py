@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillboard.functions import text as tx
-from quillboard.operators import pages as pg, screens as sc
+from quillboard.operators import likeness as lk, pages as pg, screens as sc
 from quillboard.plans.oracles import F as FC, NORM
 from quillboard.plans.registry import query
 from quillboard.sources.tables import forecasts, read
@@ -69,10 +69,25 @@ def zone_days(spark, d):
     return forecasts(spark, d).select("id", pg.zone_day(F.col("ts").cast("timestamp"), F.lit("-05:00"), F.col("id") % 2 == 0).alias("day"))
 
 
-@query(None)
+#: Letters in matching blocks of pairs q(a, b), table m: each step takes the longest common stretch out of every open pair.
+BLOCKS = """bl(a0, b0, a, b, n) as (select a, b, a, b, 0 from q union all select a0, b0, s.a, s.b, s.n from (select a0, b0, unnest(case when z.n = 0 then [] else [{'a': a[1 : z.i - 1], 'b': b[1 : instr(b, a[z.i : z.i + z.n - 1]) - 1], 'n': z.n}, {'a': a[z.i + z.n : length(a)], 'b': b[instr(b, a[z.i : z.i + z.n - 1]) + z.n : length(b)], 'n': 0}] end) s
+ from (select *, list_aggregate(list_transform(range(1, length(a) + 1), lambda i: {'n': coalesce(list_max(list_filter(range(1, length(a) - i + 2), lambda k: instr(b, a[i : i + k - 1]) > 0)), 0), 'j': -i, 'i': i}), 'max') z from bl where a <> '' and b <> ''))), m as (select a0 a, b0 b, sum(n) n from bl group by all)"""
+SKELETON = """array_to_string(list_transform(list_filter(list_transform(generate_series(1, length(s0)), lambda i: {{'c': s0[i], 'i': i}}), lambda z: z.i = 1 or not contains('aeiouy', z.c)), lambda z: z.c), '')"""
+
+
+@query(
+    rf"""with recursive d as (select doc_id, source, regexp_replace(text, '[^\x00-\x7F\x{{2019}}]', '0', 'g') text from documents), n0 as (select source, arg_min(regexp_extract(text, '\b([A-Z][a-z]{{4,}})\b', 1), doc_id) anchor from d group by source), nm as (select source, anchor, lower(anchor) name from n0 where length(anchor) >= 4),
+ w as (select doc_id, source, unnest(regexp_extract_all(text, '\b([A-Za-z][A-Za-z''\x{{2019}}-]{{3,}})\b', 1)) raw from d), kn as (select distinct unnest(regexp_extract_all(lower(text), '([a-z'']+)', 1)) word from conversations),
+ p as (select doc_id, source, lower(raw) word from w group by all having count(*) <= 25 and bool_or(regexp_matches(raw, '^[A-Z]')) and not regexp_matches(lower(raw), '[''\x{{2019}}]') and lower(raw) not in (select word from kn)),
+ c0 as (select distinct word, name from p join nm using (source) where word <> name and abs(length(word) - length(name)) <= 3), st as (select distinct x from (select word x from c0 union all select name from c0)),
+ s1 as (select x, translate(replace(replace(regexp_replace(lower(x), '[^a-z]+', '', 'g'), 'ph', 'f'), 'x', 'ks'), 'cqz', 'kks') s0 from st), s2 as (select x, string_split({SKELETON.format()}, '') c from s1), sk as (select x, array_to_string(list_filter(c, lambda y, i: i = 1 or y <> c[i - 1]), '') s from s2),
+ q as (select distinct word a, name b from c0 union select distinct a.s, b.s from c0 join sk a on a.x = word join sk b on b.x = name), {BLOCKS},
+ ok as (select word, name from c0 join sk a on a.x = word join sk b on b.x = name join m on m.a = word and m.b = name join m h on h.a = a.s and h.b = b.s where 2 * m.n / (length(word) + length(name)) >= 0.64 and case when length(a.s) + length(b.s) = 0 then 1 else 2 * h.n / (length(a.s) + length(b.s)) end >= 0.8)
+ select doc_id, p.word, min(anchor) anchor from p join ok using (word) join nm on nm.source = p.source and nm.name = ok.name group by all"""
+)
 def misheard_names(spark, d):
-    """Capitalised words of English documents that are their source's name misheard, here its first capitalised word of five letters or more."""
-    docs = read(spark, d, "documents").where("lang = 'en'").select("doc_id", "source", "text")
+    """Capitalised words of documents that are their source's name misheard, here its first capitalised word of five letters or more."""
+    docs = read(spark, d, "documents").select("doc_id", "source", "text")
     names = docs.groupBy("source").agg(F.min_by(F.regexp_extract("text", r"\b([A-Z][a-z]{4,})\b", 1), "doc_id").alias("anchor"))
     known = read(spark, d, "conversations").select(F.explode(tx.tokens(F.col("text"))).alias("word"))
-    return pg.misheard(docs, "doc_id", docs.select("doc_id", "source").join(names, "source"), known)
+    return lk.misheard(docs, "doc_id", docs.select("doc_id", "source").join(names, "source"), known)

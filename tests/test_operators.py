@@ -264,9 +264,41 @@ def test_top_up_and_halves(spark):
 
 
 def test_misheard_names(spark):
-    from quillboard.operators import pages as pg
+    from quillboard.operators import likeness as lk
 
     texts = spark.createDataFrame([(1, "Curran spoke. Then Kurion and the hang of it. Kurian's words, Kurian. CURRENT Curran"), (2, "curran is not capital"), (3, "Kuran " * 30)], "id int, text string")
     anchors = spark.createDataFrame([(k, "Kurian") for k in (1, 2, 3)] + [(1, "Bob")], "id int, anchor string")
     known = spark.createDataFrame([("current",)], "word string")
-    assert {(r["id"], r["word"], r["anchor"]) for r in pg.misheard(texts, "id", anchors, known).collect()} == {(1, "curran", "Kurian"), (1, "kurion", "Kurian")}
+    assert {(r["id"], r["word"], r["anchor"]) for r in lk.misheard(texts, "id", anchors, known).collect()} == {(1, "curran", "Kurian"), (1, "kurion", "Kurian")}
+
+
+def test_likeness_as_difflib(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    from quillboard.operators import likeness as lk
+
+    r = random.Random(5)
+    pairs = [("", ""), ("", "a"), ("kurian", "curran"), ("abcdefgh", "hgfedcba"), ("aaaa", "aa"), ("private thread", "private volatile")]
+    pairs += [("".join(r.choices("abcde", k=r.randint(0, 14))), "".join(r.choices("abcde", k=r.randint(0, 14)))) for _ in range(150)]
+    rows = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "k int, a string, b string")
+    got = rows.select("k", lk.likeness(F.col("a"), F.col("b")).alias("x"), lk.common_letters(F.col("a"), F.col("b")).alias("c")).orderBy("k").collect()
+    for (a, b), row in zip(pairs, got, strict=True):
+        assert math.isclose(row["x"], SequenceMatcher(None, a, b).ratio()), (a, b)
+        assert row["c"] == sum(min(a.count(c), b.count(c)) for c in set(a))
+
+
+def test_alike_loses_no_pair(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    from quillboard.operators import likeness as lk
+
+    r = random.Random(6)
+    words = sorted({"".join(r.choices("bcdfgkrtaeiou", k=r.randint(4, 9))) for _ in range(160)})
+    names = sorted({"".join(c if r.random() > 0.2 else r.choice("bcdaeo") for c in w) for w in words[::3]})
+    skeleton = dict(spark.createDataFrame([(w,) for w in {*words, *names}], "w string").select("w", tx.consonant_skeleton(F.col("w"))).collect())
+    like = lambda a, b: SequenceMatcher(None, a, b).ratio()
+    want = {(w, n) for w in words for n in names if w != n and abs(len(w) - len(n)) <= 3 and like(w, n) >= lk.SPELLING and like(skeleton[w], skeleton[n]) >= lk.SOUND}
+    got = lk.alike(spark.createDataFrame([(w,) for w in words], "word string"), spark.createDataFrame([(n,) for n in names], "name string")).collect()
+    assert {tuple(x) for x in got} == want and len(got) == len(want) > 20
