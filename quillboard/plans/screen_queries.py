@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
-from quillboard.functions import dates as dt
-from quillboard.operators import rater as rt, screens as sc, transcript as tr
+from quillboard.functions import dates as dt, text as tx
+from quillboard.operators import blinding as bl, likeness as lk, rater as rt, screens as sc, transcript as tr
 from quillboard.operators.rater import r6
 from quillboard.plans.oracles import F as FC, G
 from quillboard.plans.registry import query
@@ -271,3 +271,18 @@ def page_addresses(spark, d):
     a = F.when(i % 3 == 0, F.concat(F.lit("https://web.archive.org/web/20240101000000id_/"), "url")).when(i % 3 == 1, F.concat(F.lit("https://www.youtube.com/watch?v="), key(i), F.lit("&t=5"))).otherwise(F.concat(F.lit("https://youtu.be/"), key(i - i % 2)))
     p = read(spark, d, "pages").select("page_id", a.alias("a"), key(i).alias("v"))
     return p.select("page_id", sc.unwrapped(F.col("a")).alias("page"), sc.own_page(sc.unwrapped(F.col("a")), F.col("v")).alias("own"))
+
+
+@query(None)
+def blinded_texts(spark, d):
+    """Texts without their source's person, here named by the first two words of the source's first document, with words of its last one as affiliation and handle; misheard forms too."""
+    docs = read(spark, d, "documents").select("doc_id", "source", "text")
+    two = F.regexp_extract("text", r"([A-Za-z]{2,}\s+[A-Za-z]{2,})", 1)
+    people = docs.groupBy(F.col("source").alias("subject")).agg(F.min_by(two, "doc_id").alias("name"), F.max_by(two, "doc_id").alias("other"))
+    people = people.select("subject", "name", F.array(F.substring_index("other", " ", -1)).alias("handles"), F.array("other").alias("affiliations"), F.array(F.concat("name", F.lit(" Show"))).alias("aliases"))
+    known = read(spark, d, "conversations").select(F.explode(tx.tokens(F.col("text"))).alias("word"))
+    texts = docs.select(F.col("doc_id").alias("key"), F.col("source").alias("subject"), "text")
+    anchors = texts.select("key", "subject").join(people, "subject").select("key", F.explode(F.split("name", r"\s+")).alias("anchor"))
+    heard = lk.misheard(texts, "key", anchors, known).select("key", "word", F.lit("subject").alias("role"))
+    got = bl.blind_texts(texts, bl.person_forms(people, known), heard=heard)
+    return got.select(F.col("key").alias("doc_id"), "subjects", "affiliations", "kept", F.md5("text").alias("text_md5"))
