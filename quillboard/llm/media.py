@@ -129,8 +129,24 @@ def _riff(form: bytes) -> Callable[[bytes, int], int | None]:
 
 
 def _pdf(b: bytes, at: int) -> int | None:
-    end = b.after(b"%%EOF", at)
-    return end + 5 - at if end >= 0 and at <= b.after(b"startxref", at) < end else None
+    """Up to the last end mark that has its own startxref: a file that was added to, or made for the web, has several.
+
+    Another header behind an end begins another file; one before the first end is that of a
+    file inside, whose end is not this one's.
+    """
+    end, inside, p = None, 0, at + 5
+    while (eof := b.after(b"%%EOF", p)) >= 0 and p <= b.after(b"startxref", p) < eof:
+        header = b.after(b"%PDF-", p)
+        while 0 <= header < eof:
+            inside, header = inside + 1, b.after(b"%PDF-", header + 5)
+        if inside and end is not None:
+            break
+        if inside:
+            inside -= 1
+        else:
+            end = eof + 5
+        p = eof + 5
+    return end - at if end is not None else None
 
 
 def _gzip(b: bytes, at: int) -> int | None:
@@ -154,13 +170,73 @@ def _zip(b: bytes, at: int) -> int | None:
     return None if end is None else end - at
 
 
+def _crc_table(bits: int, polynomial: int) -> list[int]:
+    top, out = 1 << (bits - 1), []
+    for x in range(256):
+        x <<= bits - 8
+        for _ in range(8):
+            x = (x << 1 ^ polynomial if x & top else x << 1) & ((1 << bits) - 1)
+        out.append(x)
+    return out
+
+
+#: The polynomials of FLAC's checksums, and block sizes by their code.
+CRC8, CRC16 = _crc_table(8, 0x07), _crc_table(16, 0x8005)
+BLOCK_SIZES = {1: 192, 2: 576, 3: 1152, 4: 2304, 5: 4608, **{k: 256 << (k - 8) for k in range(8, 16)}}
+
+
+def _flac_frame(b: bytes, p: int) -> tuple[int, int, int] | None:
+    """(number, samples, whether numbers count samples) of the frame whose header, by its checksum, begins at p."""
+    if p + 6 > len(b) or b[p] != 0xFF or b[p + 1] & 0xFE != 0xF8 or b[p + 3] & 1:
+        return None
+    size, rate, lead = b[p + 2] >> 4, b[p + 2] & 15, b[p + 4]
+    more = next((k for k in range(8) if not lead << k & 0x80), 8)  # bytes of a number in the manner of UTF-8
+    if size == 0 or rate == 15 or more in (1, 8):
+        return None
+    number, q = lead & (0x7F >> more if more else 0x7F), p + 5
+    tail = max(0, more - 1)
+    if q + tail + 5 > len(b):
+        return None
+    for x in b[q : q + tail]:
+        number = number << 6 | x & 0x3F
+    q += tail
+    extra = {6: 1, 7: 2}.get(size, 0)
+    samples = int.from_bytes(b[q : q + extra], "big") + 1 if extra else BLOCK_SIZES[size]
+    q += extra + {12: 1, 13: 2, 14: 2}.get(rate, 0)
+    check = 0
+    for x in b[p:q]:
+        check = CRC8[check ^ x]
+    return (number, samples, b[p + 1] & 1) if q < len(b) and check == b[q] else None
+
+
 def _flac(b: bytes, at: int) -> int | None:
-    p = at + 4
-    while p + 4 <= len(b):
-        last, size = b[p] & 128, int.from_bytes(b[p + 1 : p + 4], "big")
+    """Frame by frame: a frame ends where its checksum comes out even and the next one begins, the last where it first does."""
+    p, total = at + 4, 0
+    while True:
+        if p + 4 > len(b):
+            return None
+        kind, size = b[p], int.from_bytes(b[p + 1 : p + 4], "big")
+        if kind & 127 == 0 and size == 34:
+            total = int.from_bytes(b[p + 17 : p + 22], "big") & (1 << 36) - 1
         p += 4 + size
-        if last:  # the stream has no length of its own: it runs on to the end
-            return len(b) - at if p + 1 < len(b) and b[p] == 0xFF and b[p + 1] & 0xFC == 0xF8 else None
+        if kind & 128:
+            break
+    seen, frame = 0, _flac_frame(b, p)
+    while frame is not None:
+        number, samples, counted = frame
+        seen, frame, even, check = seen + samples, None, None, 0
+        for e in range(p, len(b)):
+            check = check << 8 & 0xFFFF ^ CRC16[check >> 8 ^ b[e]]
+            if check == 0 and e - p > 8:
+                even = even or e + 1
+                if total and seen >= total:
+                    break
+                after = _flac_frame(b, e + 1)
+                if after and after[2] == counted and after[0] == number + (samples if counted else 1):
+                    p, frame = e + 1, after
+                    break
+        if frame is None:
+            return even - at if even and (not total or seen >= total) else None
     return None
 
 

@@ -71,6 +71,46 @@ def test_sniff(spark):
     assert [(r["detected_type"], r["corrected"]) for r in got] == [("audio/wav", True), ("application/octet-stream", False)]
 
 
+def test_ends_of_pdf():
+    part = b"%PDF-1.4\n1 0 obj\nendobj\nstartxref\n9\n%%EOF"
+    added = part + b"\n2 0 obj\nendobj\nstartxref\n50\n%%EOF"
+    within = b"%PDF-1.7\nstream\n" + part + b"\nendstream\nstartxref\n9\n%%EOF"
+    for whole in (part, added, within):
+        assert media.sniff(whole)[:2] == ("application/pdf", len(whole)) == media.sniff(whole + b" rest %%EOF")[:2]
+        assert [(s, n) for s, n, _ in media.locate(b"x" + whole + b"--" + added)] == [(1, len(whole)), (3 + len(whole), len(added))]
+    assert media.sniff(b"%PDF-1.4 no end %%EOF")[0] == "application/octet-stream"
+
+
+def flac(frames, total, body=b""):
+    """A stream with a checksum on each frame; samples are not coded, which no validator looks at."""
+
+    def crc(data, bits, polynomial):
+        x = 0
+        for c in data:
+            x ^= c << (bits - 8)
+            for _ in range(8):
+                x = (x << 1 ^ polynomial if x >> (bits - 1) & 1 else x << 1) & ((1 << bits) - 1)
+        return x.to_bytes(bits // 8, "big")
+
+    info = struct.pack(">HH", 4096, 4096) + b"\0" * 6 + (44100 << 44 | 1 << 41 | 15 << 36 | total).to_bytes(8, "big") + b"\0" * 16
+    out = b"fLaC\x80" + len(info).to_bytes(3, "big") + info
+    for k in range(frames):
+        head = b"\xff\xf8\xc9\x18" + chr(k).encode()
+        frame = head + crc(head, 8, 0x07) + np.random.default_rng(k).bytes(60) + body
+        out += frame + crc(frame, 16, 0x8005)
+    return out
+
+
+@pytest.mark.parametrize("total", [3 * 4096, 3 * 4096 - 100, 0])
+def test_ends_of_flac(total):
+    whole = flac(3, total, b"\xff\xf8\xc9\x18")
+    assert media.sniff(whole)[:2] == ("audio/flac", len(whole))
+    wav = media.to_wav(b"abc" * 64)
+    assert [(s, n, k) for s, n, k in media.locate(b"junk" + whole + wav)] == [(4, len(whole), "audio/flac"), (4 + len(whole), len(wav), "audio/wav")]
+    assert media.sniff(whole[:-5])[0] == ("application/octet-stream" if total else "audio/flac") or total == 0
+    assert media.sniff(flac(140, 140 * 4096))[1] == len(flac(140, 140 * 4096))  # numbers of two bytes
+
+
 def shingles(text):
     w = re.findall("[^\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
