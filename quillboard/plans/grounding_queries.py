@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from quillboard.operators import grounding as gr, transcript as tr
+from quillboard.operators import grounding as gr, transcript as tr, turns as tn
 from quillboard.plans.registry import query
 from quillboard.sources.tables import read, transcripts, turns
 
@@ -133,3 +133,45 @@ def play_times(spark, d):
     marks = t.where("k % 2 = 0").select("conv_id", F.col("a").alias("word"), (F.col("k") * 60).alias("second"))
     words = t.select("conv_id", "k", (F.col("a") + F.floor(F.col("n") / 2)).alias("word"))
     return words.join(gr.play_second(marks, words.select("conv_id", "word").distinct(), "conv_id"), ["conv_id", "word"]).select("conv_id", "k", "word", F.round("second", 6).alias("second"))
+
+
+#: A token's word in the other engine: letters, marks, digits, low lines and apostrophes in lower case.
+PLAIN_WORD = r"case when regexp_full_match({t}, '\[\d{{2}}:\d{{2}}:\d{{2}}\]|>{{2,}}') then '' else regexp_replace(lower({t}), '[^\pL\pM\pN_'']', '', 'g') end"
+SPLIT = r"list_filter(string_split_regex({t}, '\s+'), lambda z: z <> '')"
+
+
+@query(
+    f"""with {T}, x as (select conv_id, string_agg(mark || ' ' || words, chr(10) order by k) txt from v group by conv_id), tk as (select conv_id, {SPLIT.format(t='txt')} toks from x), nm as (select conv_id, list_transform(toks, lambda y: {PLAIN_WORD.format(t='y')}) w, len(toks) size from tk),
+ s0 as (select conv_id, k, role, {SPLIT.format(t='words')} ws from v), s1 as (select *, sum(1 + len(ws)) over (partition by conv_id order by k) - 1 - len(ws) s from s0),
+ q as (select s1.*, w, size, greatest(0, least((s - (s1.conv_id + k) % 45)::int, size - 1)) m, list_filter(list_transform(ws[1:6], lambda y: {PLAIN_WORD.format(t='y')}), lambda y: y <> '')[1:5] want from s1 join nm on nm.conv_id = s1.conv_id),
+ h as (select *, case when len(want) > 0 then list_filter(range(m, least(m + 40, size)), lambda i: w[i + 1] <> '' and list_filter(w[i + 1 : i + len(want) + 3], lambda y: y <> '')[1:len(want)] = want)[1] end h from q),
+ r as (select conv_id, k n, coalesce(h, m)::int "start", role speaker, h is not null found, size, lead(coalesce(h, m)::int) over (partition by conv_id order by coalesce(h, m), k) nx from h) select conv_id, n, "start", coalesce(nx, size)::int "end", speaker, found from r where coalesce(nx, size) > "start" """
+)
+def anchored_turns(spark, d):
+    """Ranges of tokens of each conversation's turns, found by their first words from a marker that lags behind, or by the marker."""
+    text = transcripts(spark, d).select("conv_id", tn.tokens(F.col("text")).alias("tokens"))
+    t = turns(spark, d).withColumn("ws", tn.tokens(F.col("words")))
+    before = Window.partitionBy("conv_id").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    t = t.withColumn("s", F.coalesce(F.sum(F.size("ws") + 1).over(before), F.lit(0)))
+    t = t.select("conv_id", F.col("k").alias("n"), (F.col("s") - (F.col("conv_id") + F.col("k")) % 45).alias("marker"), F.array_join(F.slice("ws", 1, 6), " ").alias("first_words"), F.col("role").alias("speaker"))
+    return tn.anchored_turns(text, t, "conv_id")
+
+
+QUOTE_WORD = r"trim(regexp_replace(lower(replace(replace({t}, chr(8217), chr(39)), chr(8216), chr(39))), '[^\pL\pM\pN_'']', '', 'g'), '''')"
+
+
+@query(
+    f"""with d as (select doc_id, {SPLIT.format(t='text')} toks from documents), q as (select doc_id, toks, case when len(toks) >= 12 then list_transform(toks[4:11], lambda y, i: case when i = 4 and doc_id % 3 = 0 then '[SUBJECT]' when i = 5 and doc_id % 3 = 1 then '[AFFILIATION]' else y end) else toks end qt from d),
+ n as (select doc_id, list_filter(list_transform(toks, lambda y, i: {{'w': {QUOTE_WORD.format(t='y')}, 'i': i - 1}}), lambda z: z.w <> '') t, list_filter(list_transform(qt, lambda y: case when y in ('[SUBJECT]', '[AFFILIATION]') then y else {QUOTE_WORD.format(t='y')} end), lambda z: z <> '') q from q),
+ m as (select doc_id, t, list_transform(t, lambda z: z.w) w, q, coalesce(list_position(q, '[SUBJECT]'), list_position(q, '[AFFILIATION]'), 0) p, case when list_contains(q, '[AFFILIATION]') then 5 else 3 end most from n where len(q) >= 4),
+ f as (select doc_id, t, q, p, case when p = 0 then list_transform(list_filter(range(0, len(w) - len(q) + 1), lambda i: w[i + 1 : i + len(q)] = q), lambda i: {{'i': i, 'n': 0}})
+ else list_filter(flatten(list_transform(list_filter(range(0, len(w)), lambda i: w[i + 1 : i + p - 1] = q[1 : p - 1]), lambda i: list_transform(range(1, most + 1), lambda k: {{'i': i, 'n': k}}))), lambda z: z.i + p - 1 + z.n <= len(w) and w[z.i + p + z.n : z.i + z.n + len(q) - 1] = q[p + 1 : len(q)]) end c from m)
+ select n.doc_id, t2.first, t2.last from n left join (select doc_id, t[c[1].i + 1].i::int first, t[c[1].i + len(q) + case when p = 0 then 0 else c[1].n - 1 end].i::int as "last" from f where len(c) > 0) t2 on t2.doc_id = n.doc_id"""
+)
+def token_quotes(spark, d):
+    """Where a quote of eight words from the front of each document, one of them blinded in two of three, stands among its tokens."""
+    docs = read(spark, d, "documents").withColumn("toks", tn.tokens(F.coalesce("text", F.lit(""))))
+    k = F.col("doc_id") % 3
+    blinded = F.transform(F.slice("toks", 4, 8), lambda y, i: F.when((i == 3) & (k == 0), "[SUBJECT]").when((i == 4) & (k == 1), "[AFFILIATION]").otherwise(y))
+    quote = F.array_join(F.when(F.size("toks") >= 12, blinded).otherwise(F.col("toks")), " ")
+    return docs.select("doc_id", F.explode(F.array(tn.quote_span(F.col("text"), quote))).alias("s")).select("doc_id", "s.first", "s.last")
