@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quillboard.functions.special import two_sided_t
 from quillboard.sources.shared import shared_folder
 
 DIMENSIONS = ("d1", "d2", "d3")
@@ -154,3 +155,22 @@ def _alternated(cells: DataFrame, rounds: int = 1000, enough: float = 1e-5) -> D
             break
     centre = effects.agg(F.avg("e").alias("m"))  # one row
     return effects.crossJoin(F.broadcast(centre)).select("venue", F.round(F.col("e") - F.col("m"), 3).alias("effect"))
+
+
+#: Critical t at 95 % by degrees of freedom; 1.96 beyond.
+T_CRITICAL = {1: 12.706, 2: 4.303, 3: 3.182, 4: 2.776, 5: 2.571, 6: 2.447, 7: 2.365}
+
+
+def ols(rows: DataFrame, key: str, x: str, y: str) -> DataFrame:
+    """key, n, slope, intercept, r2, se, t, p, lo, hi of y on x in each group.
+
+    The error, t, its two-sided probability and the 95 % interval are null with two rows or fewer; without
+    variation in x all are null. Sums combine before the shuffle.
+    """
+    s = rows.groupBy(key).agg(F.count("*").alias("n"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2"), F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"))
+    s = s.withColumn("freedom", F.col("n") - 2)
+    left = F.greatest(F.lit(0.0), F.col("syy") - F.col("sxy") * F.col("sxy") / F.nullif(F.col("sxx"), F.lit(0.0)))
+    s = s.withColumn("se", F.when(F.col("freedom") > 0, F.sqrt(left / F.col("freedom") / F.nullif(F.col("sxx"), F.lit(0.0)))))
+    critical = F.coalesce(F.create_map(*[F.lit(v) for pair in T_CRITICAL.items() for v in pair])[F.col("freedom").cast("int")], F.lit(1.96))
+    s = s.withColumns({"t": F.col("slope") / F.nullif(F.col("se"), F.lit(0.0)), "lo": F.col("slope") - critical * F.col("se"), "hi": F.col("slope") + critical * F.col("se")})
+    return s.withColumn("p", two_sided_t(F.col("t"), F.col("freedom"))).select(key, "n", "slope", "intercept", "r2", "se", "t", "p", "lo", "hi")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
+from quillboard.functions import special as sp
 from quillboard.operators import intervals as iv, rater as rt
 from quillboard.operators.rater import r6
 from quillboard.plans.oracles import BOARD, CAL, CON, G, LONG
@@ -280,7 +281,7 @@ def lean_half_widths(spark, d):
 def exact_rates(spark, d):
     """Exact bounds of each person's share of high ratings."""
     a = ratings(spark, d).where("run = 0").groupBy("person").agg(F.count("*").alias("n"), F.count_if(F.col("d1") > 40).alias("hits"))
-    return a.withColumn("ci", iv.clopper_pearson("hits", "n")).select("person", "n", "hits", r6(F.col("ci.lo")).alias("lo"), r6(F.col("ci.hi")).alias("hi"))
+    return a.select("*", F.explode(F.array(sp.clopper_pearson(F.col("hits"), F.col("n")))).alias("ci")).select("person", "n", "hits", r6(F.col("ci.lo")).alias("lo"), r6(F.col("ci.hi")).alias("hi"))
 
 
 ORACLES["board_bootstrap"] = f"with {_ratio_sql('select user_id grp, event_id unit, value num, 1.0::double den from events', 100, 0.1)} select grp person, units n, round(lo, 6) lo, round(hi, 6) hi from ci2"

@@ -56,7 +56,9 @@ ORACLES = {
  select gr::bigint as "groups", n::bigint n, round(sd, 6) sd, round(greatest(0.0, (ssb / (gr - 1) - ssw / (n - gr)) / (ssb / (gr - 1) + ((n - kk / n) / (gr - 1) - 1) * ssw / (n - gr))), 6) icc from z, w""",
     "repeatability": f"with {G} select judge, mode, count(*) n, round(avg(d1), 6) mean, round(stddev_samp(d1), 6) sd, min(d1) low, max(d1) high, round(100 * stddev_samp(d1) / avg(d1), 6) cv, round(2.77 * stddev_samp(d1), 6) lsd from g group by all",
     "retest": f"with {G} select a.judge, count(*) n, round(corr(a.d1, b.d1), 6) r, round(avg(b.d1 - a.d1), 6) drift, round(stddev_samp(b.d1 - a.d1), 6) sd from g a join g b on a.rec = b.rec and a.judge = b.judge and a.mode = b.mode and a.run = 0 and b.run = 1 group by a.judge",
-    "ols_fit": "select l_returnflag judge, count(*) n, round(regr_slope(l_extendedprice / 1000, l_quantity), 6) slope, round(regr_intercept(l_extendedprice / 1000, l_quantity), 6) as \"intercept\", round(regr_r2(l_extendedprice / 1000, l_quantity), 6) r2 from lineitem group by 1",
+    "ols_fit": """with g as (select l_returnflag judge, count(*) n, regr_slope(l_extendedprice / 1000, l_quantity) b, regr_intercept(l_extendedprice / 1000, l_quantity) a, regr_r2(l_extendedprice / 1000, l_quantity) r2, avg(l_quantity) mx from lineitem group by 1),
+ s as (select judge, sum(pow(l_extendedprice / 1000 - a - b * l_quantity, 2)) sse, sum(pow(l_quantity - mx, 2)) sxx from lineitem join g on judge = l_returnflag group by 1), e as (select *, sqrt(sse / (n - 2) / sxx) se from g join s using (judge))
+ select judge, n, round(b, 6) slope, round(a, 6) as "intercept", round(r2, 6) r2, round(se, 6) se, round(b / se, 6) t, round(b - 1.96 * se, 6) lo, round(b + 1.96 * se, 6) hi from e""",
     "era_slope": f"""with {G}, b as (select person, (day - date '1992-01-01') / 365.25 t, d1 from g where run = 0), c as (select person, t - avg(t) over (partition by person) x, d1 - avg(d1) over (partition by person) y from b)
  select count(*) n, round(sum(x * y) / sum(x * x), 6) slope from c""",
     "drift_gate": f"""with {G}, c as (select rec, judge, mode, arg_max(d1, run) - arg_min(d1, run) x from g group by all having max(run) > 0), m as (select judge, count(*) n, avg(x) m, stddev_samp(x) / sqrt(count(*)) se from c group by judge)

@@ -125,9 +125,9 @@ def retest(spark, d):
 
 @query
 def ols_fit(spark, d):
-    x, y = F.col("d1"), F.col("l_extendedprice") / 1000
-    g = read(spark, d, "lineitem").select("l_returnflag", F.col("l_quantity").alias("d1"), "l_extendedprice").groupBy(F.col("l_returnflag").alias("judge"))
-    return g.agg(F.count("*").alias("n"), r6(F.regr_slope(y, x)).alias("slope"), r6(F.regr_intercept(y, x)).alias("intercept"), r6(F.regr_r2(y, x)).alias("r2"))
+    """Slope, intercept, standard error, t and 95 % interval of prices on quantities for each judge."""
+    g = read(spark, d, "lineitem").select(F.col("l_returnflag").alias("judge"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"))
+    return rt.ols(g, "judge", "x", "y").select("judge", "n", *[r6(F.col(c)).alias(c) for c in ("slope", "intercept", "r2", "se", "t", "lo", "hi")])
 
 
 @query

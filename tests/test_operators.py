@@ -7,7 +7,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from quillboard.functions import dates, text as tx
+from quillboard.functions import dates, special as sp, text as tx
 from quillboard.operators import corpus as co, deadlines as dl, grounding as gr, intervals as iv, rater as rt, records as rc, replays as rp, screens as sc, selection as se, transcript as tr
 from quillboard.sources import records as js
 
@@ -247,7 +247,7 @@ def test_panels_of_four(spark):
 
 
 def test_exact_bounds(spark):
-    got = [tuple(round(x, 4) for x in r["c"]) for r in spark.createDataFrame([(0, 10), (10, 10), (3, 10)], "k int, n int").select(iv.clopper_pearson("k", "n").alias("c")).collect()]
+    got = [tuple(round(x, 4) for x in r["c"]) for r in spark.createDataFrame([(0, 10), (10, 10), (3, 10)], "k int, n int").select(sp.clopper_pearson(F.col("k"), F.col("n")).alias("c")).collect()]
     assert got == [(0.0, 0.3085), (0.6915, 1.0), (0.0667, 0.6525)]
 
 
@@ -302,3 +302,35 @@ def test_alike_loses_no_pair(spark):
     want = {(w, n) for w in words for n in names if w != n and abs(len(w) - len(n)) <= 3 and like(w, n) >= lk.SPELLING and like(skeleton[w], skeleton[n]) >= lk.SOUND}
     got = lk.alike(spark.createDataFrame([(w,) for w in words], "word string"), spark.createDataFrame([(n,) for n in names], "name string")).collect()
     assert {tuple(x) for x in got} == want and len(got) == len(want) > 20
+
+
+def test_special_functions(spark):
+    def below(k, n, p):  # at least k hits of n
+        return math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(p) + (n - j) * math.log1p(-p)) for j in range(k, n + 1))
+
+    xs = [0.001, 0.5, 1.0, 2.5, 10.0, 123.4, 5e4]
+    got = [r["g"] for r in spark.createDataFrame([(k, x) for k, x in enumerate(xs)], "k int, x double").select("k", sp.log_gamma(F.col("x")).alias("g")).orderBy("k").collect()]
+    assert all(math.isclose(g, math.lgamma(x), rel_tol=1e-12, abs_tol=1e-12) for g, x in zip(got, xs, strict=True))
+    trials = [(1, 1), (1, 10), (5, 10), (10, 10), (3, 400), (390, 400), (1500, 3000), (20, 30000), (15000, 30000)]
+    cases = [(k, n, p) for k, n in trials for p in (0.001, 0.3, 0.5, 0.97)]
+    rows = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, k int, n int, p double")
+    got = rows.select("i", sp.incomplete_beta(F.col("k"), F.col("n") - F.col("k") + 1, F.col("p")).alias("x")).orderBy("i").collect()
+    assert all(math.isclose(r["x"], below(*c), rel_tol=1e-7, abs_tol=1e-10) for r, c in zip(got, cases, strict=True))
+    bounds = spark.createDataFrame([(i, *c) for i, c in enumerate(trials)], "i int, k int, n int").select("i", sp.clopper_pearson(F.col("k"), F.col("n")).alias("c")).orderBy("i").collect()
+    for r, (k, n) in zip(bounds, trials, strict=True):
+        assert math.isclose(below(k, n, r["c"]["lo"]), 0.025, rel_tol=1e-4) and (k == n or math.isclose(below(k + 1, n, r["c"]["hi"]), 0.975, rel_tol=1e-4))
+    ends = spark.createDataFrame([(0, 0), (0, 5), (5, 5)], "k int, n int").select(sp.clopper_pearson(F.col("k"), F.col("n")).alias("c")).collect()
+    assert ends[0]["c"] is None and ends[1]["c"]["lo"] == 0 and ends[2]["c"]["hi"] == 1
+    p = [r["p"] for r in spark.createDataFrame([(0, 2.0, 10), (1, -2.228, 10), (2, 12.706, 1), (3, 0.0, 4)], "k int, t double, f int").select("k", sp.two_sided_t(F.col("t"), F.col("f")).alias("p")).orderBy("k").collect()]
+    assert [round(x, 4) for x in p] == [0.0734, 0.05, 0.05, 1.0]
+
+
+def test_ols(spark):
+    rows = [("a", float(x), 2.0 * x + 1 + (-1) ** x) for x in range(9)] + [("b", 1.0, 2.0), ("b", 2.0, 4.0), ("c", 1.0, 2.0), ("c", 1.0, 3.0), ("c", 1.0, 4.0)]
+    got = {r["g"]: r for r in rt.ols(spark.createDataFrame(rows, "g string, x double, y double"), "g", "x", "y").collect()}
+    xs, ys = [r[1] for r in rows if r[0] == "a"], [r[2] for r in rows if r[0] == "a"]
+    mx, my = sum(xs) / 9, sum(ys) / 9
+    b = sum((x - mx) * (y - my) for x, y in zip(xs, ys, strict=True)) / sum((x - mx) ** 2 for x in xs)
+    se = math.sqrt(sum((y - my - b * (x - mx)) ** 2 for x, y in zip(xs, ys, strict=True)) / 7 / sum((x - mx) ** 2 for x in xs))
+    assert math.isclose(got["a"]["se"], se) and math.isclose(got["a"]["t"], b / se) and math.isclose(got["a"]["hi"], b + 2.365 * se) and 0 < got["a"]["p"] < 1e-4
+    assert got["b"]["slope"] == 2 and got["b"]["se"] is None and got["c"]["slope"] is None and got["c"]["t"] is None
