@@ -107,3 +107,30 @@ def schema_errors(value: Column, schema: dict, path: str = "$") -> Column:
 def publication_floor(count: Column, previous: Column) -> Column:
     """A board may not shrink: publish where it holds as many as the last one, or there was none."""
     return F.when(previous.isNull() | (count >= previous), "publish").otherwise("refuse")
+
+
+#: The share of what is there that may go at once, and the number from which that share is looked at.
+MOST_PRUNED, GUARDED_FROM = 0.25, 10
+
+
+def prune_orphans(derived: DataFrame, grades: DataFrame, written: DataFrame, shelf: DataFrame, rejected: DataFrame, key: list[str], mode: str, most: float = MOST_PRUNED) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(derived, grades, report): what stays of derived rows and what becomes of their grades.
+
+    A derived row goes if this run did not write it and it is ``rejected`` or no longer on the
+    ``shelf``. Grades of this ``mode`` for rows that go are kept, marked orphaned. If ten rows or more and
+    over ``most`` of all would go, nothing does: the report says refused and how many there would have been.
+    The counts are one row, worked out before anything is taken away.
+    """
+    keys = lambda df, name: df.select(*key).distinct().withColumn(name, F.lit(True))
+    seen = derived.join(keys(written, "w"), key, "left").join(keys(shelf, "s"), key, "left").join(keys(rejected, "r"), key, "left")
+    stale = F.col("w").isNull() & (F.col("r").isNotNull() | F.col("s").isNull())
+    seen = seen.withColumn("stale", stale).drop("w", "s", "r")
+    count = seen.agg(F.count("*").alias("examined"), F.count_if("stale").alias("withdrawn"))
+    count = count.withColumn("refused", (F.col("withdrawn") >= GUARDED_FROM) & (F.col("withdrawn") > F.col("examined") * most))
+    told = seen.crossJoin(F.broadcast(count.select("refused")))  # one row
+    gone = told.where("stale and not refused").select(*key).distinct().withColumn("gone", F.lit(True))
+    left = told.where("not stale or refused").drop("stale", "refused")
+    marked = grades.join(gone, key, "left").withColumn("orphaned", F.coalesce(F.col("gone") & (F.col("mode") == mode), F.lit(False))).drop("gone")
+    orphans = marked.agg(F.count_if("orphaned").alias("orphaned_grades"))
+    report = count.crossJoin(F.broadcast(orphans)).select(F.lit(mode).alias("mode"), "examined", F.when(F.col("refused"), 0).otherwise(F.col("withdrawn")).alias("pruned"), "refused", F.when(F.col("refused"), F.col("withdrawn")).alias("would_have_pruned"), "orphaned_grades")
+    return left, marked, report

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quillboard.sources.shared import shared_folder
+
 DRAWS = 20_000
 
 
@@ -37,6 +39,10 @@ def ratio_interval(rows: DataFrame, group: str, unit: str, draws: int = DRAWS, a
     before = Window.partitionBy(group).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = tally.select(group, "b", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("o"), F.sum("c").over(Window.partitionBy(group)).alias("units"))
     ranked = ranked.join(offsets, [group, "b"]).select(group, unit, "num", "den", "units", (F.col("o") + F.col("r")).alias("at"))
+    # Written, so that its size is known: while it is small picks meet it where they are made, else both sides are shuffled.
+    path = f"{shared_folder(rows.sparkSession, 'ranked')}/rows"
+    ranked.write.parquet(path)
+    ranked = rows.sparkSession.read.schema(ranked.schema).parquet(path)
     picks = ranked.where("at % 4 = 0").select(group, "units", "at", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("draw"))
     picks = picks.withColumn("h", F.md5(F.concat_ws(":", group, "draw", F.expr("at div 4"))))
     picks = picks.select(group, "units", "draw", "h", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(3), F.col("units") - F.col("at") - 1).cast("long"))).alias("k"))

@@ -93,6 +93,7 @@ def leaks(prompt: Column, quoted: list[Column]) -> Column:
 def grade_errors(codes: Column, scores: Column, dims: dict[str, dict[str, Column]], weights: dict[str, float], overall: Column, coverage: Column, expected: list[str], supported: bool = False, least_scored: int = 0) -> Column:
     """Rules of a grade: its criteria once each with scores of 0 to 5, its dimensions whole, its sums right.
 
+    ``dims`` holds score, words (of the reasoning), counterevidence, quotes (the words of each) and supported of each dimension.
     ``supported`` allows a dimension without support to have no score; then ``least_scored``
     criteria at least must have one.
     """
@@ -102,8 +103,8 @@ def grade_errors(codes: Column, scores: Column, dims: dict[str, dict[str, Column
     for key, d in dims.items():
         off = ~F.coalesce(d["supported"], F.lit(False)) if supported else F.lit(False)
         rules += [
-            (f"{key}_score", ~off & (d["score"].isNull() | (d["score"] < 1) | (d["score"] > 100))), (f"{key}_scored_unsupported", off & d["score"].isNotNull()), (f"{key}_reasoning", F.size(F.regexp_extract_all(F.coalesce(d["reasoning"], F.lit("")), F.lit(r"(\S+)"), 1)) < 20),
-            (f"{key}_counterevidence", F.btrim(F.coalesce(d["counterevidence"], F.lit(""))) == ""), (f"{key}_quote", F.exists(d["quotes"], lambda q: quote_size(q) > QUOTE_CAP)),
+            (f"{key}_score", ~off & (d["score"].isNull() | (d["score"] < 1) | (d["score"] > 100))), (f"{key}_scored_unsupported", off & d["score"].isNotNull()), (f"{key}_reasoning", F.coalesce(d["words"], F.lit(0)) < 20),
+            (f"{key}_counterevidence", F.btrim(F.coalesce(d["counterevidence"], F.lit(""))) == ""), (f"{key}_quote", F.exists(d["quotes"], lambda n: n > QUOTE_CAP)),
         ]
         whole = whole & d["score"].isNotNull()
     total = sum((d["score"] * weights[k] for k, d in dims.items()), F.lit(0.0))
@@ -112,15 +113,15 @@ def grade_errors(codes: Column, scores: Column, dims: dict[str, dict[str, Column
     return broken(*rules)
 
 
-def quote_size(quote: Column) -> Column:
-    return F.size(F.regexp_extract_all(quote, F.lit(r"(\S+)"), 1))
+def word_count(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(r"\S+"))
 
 
 def quote_overruns(grades: DataFrame, key: list[str], dims: dict[str, str], cap: int = QUOTE_CAP) -> DataFrame:
     """A row for each quote of a dimension that is longer than the cap: the key, dimension, words and its first eight words."""
     named = lambda d: lambda q: F.struct(F.lit(d).alias("dimension"), q.alias("quote"))
     every = F.explode(F.concat(*[F.transform(F.col(c), named(d)) for d, c in dims.items()]))
-    rows = grades.select(*key, every.alias("e")).select(*key, "e.dimension", "e.quote", quote_size(F.col("e.quote")).alias("words"))
+    rows = grades.select(*key, every.alias("e")).select(*key, "e.dimension", "e.quote", word_count(F.col("e.quote")).alias("words"))
     return rows.where(F.col("words") > cap).select(*key, "dimension", "words", F.regexp_extract("quote", r"^\s*((?:\S+\s+){7}\S+)", 1).alias("head"))
 
 

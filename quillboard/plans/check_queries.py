@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Window, functions as F
 
 from quillboard.functions import text as tx
@@ -81,12 +83,12 @@ def year_evidence(spark, d):
 
 
 @query(
-    f"""with {TOK}, w as (select distinct unnest(w) word from documents d join t on t.doc_id = d.doc_id where lang = 'en'), k as (select distinct unnest(regexp_extract_all(lower(text), '[a-z'']+')) word from conversations)
+    f"""with {TOK}, w as (select distinct unnest(w) word from documents d join t on t.doc_id = d.doc_id), k as (select distinct unnest(regexp_extract_all(lower(text), '[a-z'']+')) word from conversations)
  select word, word in (select word from k) or (suffix(word, 'ies') and left(word, length(word) - 3) || 'y' in (select word from k)) or (suffix(word, 'es') and left(word, length(word) - 2) in (select word from k)) or (suffix(word, 's') and left(word, length(word) - 1) in (select word from k)) known from w"""
 )
 def known_words(spark, d):
-    """Words of English documents that the conversations know, plurals by their stems."""
-    words = read(spark, d, "documents").where("lang = 'en'").select(F.explode(tx.tokens(F.col("text"))).alias("word"))
+    """Words of documents that the conversations know, plurals by their stems."""
+    words = read(spark, d, "documents").select(F.explode(tx.tokens(F.col("text"))).alias("word"))
     return ck.in_dictionary(words, read(spark, d, "conversations").select(F.explode(tx.tokens(F.col("text"))).alias("word")))
 
 
@@ -209,3 +211,22 @@ def exact_dates(spark, d):
     basis = F.when(k % 4 == 0, "stated_in_page").when(k % 4 == 1, "sourced_override").otherwise("upload")
     year = F.coalesce(F.when(k % 6 == 0, F.year("o_orderdate")), F.when(c % 2 == 0, 2024), F.lit(0))
     return read(spark, d, "orders").select(k.alias("id"), ck.exact_statement_date(basis, c % 3 == 0, c % 5 == 0, c % 7 == 0).alias("exact_"), year.alias("declared"))
+
+
+@query(
+    """with d as (select o_orderkey k, o_orderpriority as "set" from orders), x as (select k, "set", (k % 3 = 0 and (k % 5 = 0 or k % 7 = 0 or "set" = '1-URGENT')) stale from d), c as (select "set", count(*) examined, count(*) filter (stale) withdrawn from x group by all), r as (select *, withdrawn >= 10 and withdrawn > examined * 0.25 refused from c),
+ g as (select distinct l_orderkey k, l_linenumber ln, l_linestatus "mode" from lineitem), o as (select x."set", count(*) n from g join x on x.k = g.k join r on r."set" = x."set" where stale and not refused and "mode" = 'F' group by all)
+ select "set", examined, case when refused then 0 else withdrawn end pruned, refused, case when refused then withdrawn end would_have_pruned, coalesce(n, 0) orphaned_grades from r left join o using ("set")"""
+)
+def orphan_pruning(spark, d):
+    """Per set of derived recordings: how many are pruned, or that the run refuses to, and the grades that lose theirs."""
+    k = F.col("k")
+    recordings = read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("set"))
+    grades = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), "l_linenumber", F.col("l_linestatus").alias("mode")).distinct()
+    reports = []
+    for name in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"):
+        own = recordings.where(F.col("set") == name)
+        shelf = recordings.where(k % 7 != 0) if name != "1-URGENT" else recordings.where("false")
+        report = ck.prune_orphans(own, grades.join(own.select("k"), "k", "left_semi"), own.where(k % 3 != 0), shelf, own.where(k % 5 == 0), ["k"], "F")[2]
+        reports.append(report.select(F.lit(name).alias("set"), "examined", "pruned", "refused", "would_have_pruned", "orphaned_grades"))
+    return reduce(lambda a, b: a.union(b), reports)

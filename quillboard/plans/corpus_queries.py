@@ -29,7 +29,7 @@ def grade_scan(spark, d):
 
 
 @query(
-    "with h as (select sha256(doc_id::varchar || ' ' || sha256(text)) h from documents), p as (select substr(h, 1, 2) b, sha256(string_agg(h, chr(10) order by h)) d, count(*) n from h group by 1) select sum(n)::bigint as rows, sha256(string_agg(b || ' ' || d, chr(10) order by b || ' ' || d)) digest from p"
+    "with h as (select sha256(doc_id::varchar || ' ' || sha256(text)) h from documents), s as (select count(*) n, " + ", ".join(f"coalesce(sum(('0x' || substr(h, {8 * k + 1}, 8))::bigint), 0)::hugeint s{k}" for k in range(8)) + " from h) select n as rows, sha256(concat_ws(',', n, " + ", ".join(f"s{k}" for k in range(8)) + ")) digest from s"
 )
 def corpus_digest(spark, d):
     return js.corpus_digest(read(spark, d, "documents"), F.concat_ws(" ", F.col("doc_id").cast("string"), F.sha2("text", 256)))
@@ -224,4 +224,4 @@ def venue_adjusted(spark, d):
     g = ratings(spark, d)
     rows = rt.consensus(rt.calibrated(g).where("mode = 'F'")).join(rt.venue_vote(g).where("agreed").select("rec", "venue"), "rec")
     effects = rt.venue_effects(rows, "overall").select("venue", "effect")
-    return rows.join(F.broadcast(effects), "venue", "left").select("rec", "person", "venue", r6(F.col("overall")).alias("overall"), F.round(F.col("overall") - F.coalesce("effect", F.lit(0.0)), 2).alias("adjusted"))  # a row for each venue
+    return rows.join(effects, "venue", "left").select("rec", "person", "venue", r6(F.col("overall")).alias("overall"), F.round(F.col("overall") - F.coalesce("effect", F.lit(0.0)), 2).alias("adjusted"))  # a row for each venue

@@ -28,11 +28,11 @@ def page_dates(spark, d):
 
 
 @query(
-    f"""with d as (select doc_id, ' ' || {NORM.format("text")} || ' ' t, {NORM.format("substr(text, 40, 60)")} e from documents where length(text) > 100) select doc_id, case when e = '' then 0 else strpos(t, ' ' || e || ' ') end::int place from d"""
+    f"""with d as (select doc_id, ' ' || {NORM.format("text")} || ' ' t, {NORM.format("substr(text, 40, 60)")} e from documents) select doc_id, case when e = '' then 0 else strpos(t, ' ' || e || ' ') end::int place from d"""
 )
 def excerpt_places(spark, d):
     """Where an excerpt of each document stands in it; one that cuts words in two is not found."""
-    docs = read(spark, d, "documents").where(F.length("text") > 100)
+    docs = read(spark, d, "documents")
     return docs.select("doc_id", pg.excerpt_place(F.col("text"), F.substring("text", 40, 60)).alias("place"))
 
 

@@ -111,7 +111,7 @@ def _grades(spark, d):
 
 
 def _errors(g, supported: bool):
-    one = lambda score: {"score": F.col(score), "reasoning": F.col("reasoning"), "counterevidence": F.col("counter"), "quotes": F.col("quotes"), "supported": F.col("supported")}
+    one = lambda score: {"score": F.col(score), "words": F.col("said.words"), "counterevidence": F.col("counter"), "quotes": F.col("said.sizes"), "supported": F.col("supported")}
     return sc.grade_errors(F.col("codes"), F.col("scores"), {"d1": one("s1"), "d2": one("s2"), "d3": one("s3")}, rt.WEIGHTS, F.col("overall"), F.col("coverage"), CODES, supported, 13 if supported else 0)
 
 
@@ -128,7 +128,8 @@ def _grade_sql(v2: bool) -> str:
 @query(f"with {GR}, e as (select k, ln, {_grade_sql(False)} v1, {_grade_sql(True)} v2 from gr), u as (select 'v1' as contract, unnest(v1) error from e union all select 'v2', unnest(v2) from e) select contract, error, count(*) n from u group by all union all select 'v1', 'none', count(*) filter (len(v1) = 0) from e union all select 'v2', 'none', count(*) filter (len(v2) = 0) from e")
 def grade_errors(spark, d):
     """How many grades break each rule of the first contract, and of the second, which lets dimensions go without support."""
-    g = _grades(spark, d)
+    # words are counted once for a text, whatever the contracts and dimensions that look at it
+    g = _grades(spark, d).select("*", F.explode(F.array(F.struct(sc.word_count(F.col("reasoning")).alias("words"), F.transform("quotes", sc.word_count).alias("sizes")))).alias("said"))
     both = g.select(F.explode(F.array(F.struct(F.lit("v1").alias("contract"), _errors(g, False).alias("e")), F.struct(F.lit("v2").alias("contract"), _errors(g, True).alias("e")))).alias("x"))
     each = both.select("x.contract", F.explode(F.when(F.size("x.e") > 0, F.col("x.e")).otherwise(F.array(F.lit("none")))).alias("error"))
     return each.groupBy("contract", "error").agg(F.count("*").alias("n"))
@@ -253,11 +254,11 @@ def redacted_texts(spark, d):
 HEDGE = {"hedges": r"\b(may|might|perhaps|could)\b", "claims": r"\b(will|shall|must)\b", "licenses": r"\b(license|licensed|rights)\b"}
 
 
-@query("select doc_id, " + ", ".join(f"len(regexp_extract_all(coalesce(text, ''), '(?i){p}'))::int {n}" for n, p in HEDGE.items()) + r", length(lower(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g')))::int letters, md5(lower(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g'))) letters_md5 from documents where lang = 'en'")
+@query("select doc_id, " + ", ".join(f"len(regexp_extract_all(regexp_replace(coalesce(text, ''), '[^\\x00-\\x7F]', 'q', 'g'), '(?i){p}'))::int {n}" for n, p in HEDGE.items()) + r", length(lower(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g')))::int letters, md5(lower(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g'))) letters_md5 from documents")
 def lexical_hits(spark, d):
-    """Words of each category in English documents, and their stream of letters."""
+    """Words of each category in documents, and their stream of letters."""
     stream = sc.letter_stream(F.col("text"))
-    return read(spark, d, "documents").where("lang = 'en'").select("doc_id", *[c.alias(n) for n, c in sc.lexical_hits(F.col("text"), HEDGE).items()], F.length(stream).alias("letters"), F.md5(stream).alias("letters_md5"))
+    return read(spark, d, "documents").select("doc_id", *[c.alias(n) for n, c in sc.lexical_hits(F.col("text"), HEDGE).items()], F.length(stream).alias("letters"), F.md5(stream).alias("letters_md5"))
 
 
 @query(

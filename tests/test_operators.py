@@ -334,3 +334,20 @@ def test_ols(spark):
     se = math.sqrt(sum((y - my - b * (x - mx)) ** 2 for x, y in zip(xs, ys, strict=True)) / 7 / sum((x - mx) ** 2 for x in xs))
     assert math.isclose(got["a"]["se"], se) and math.isclose(got["a"]["t"], b / se) and math.isclose(got["a"]["hi"], b + 2.365 * se) and 0 < got["a"]["p"] < 1e-4
     assert got["b"]["slope"] == 2 and got["b"]["se"] is None and got["c"]["slope"] is None and got["c"]["t"] is None
+
+
+@pytest.mark.parametrize(("gone", "refused"), [(9, False), (10, False), (11, True)])
+def test_pruning_is_guarded(spark, gone, refused):
+    from quillboard.operators import checks as ck
+
+    frame = lambda ks: spark.createDataFrame([(k,) for k in ks], "k int")
+    derived, written = frame(range(40)), frame(range(20))
+    shelf = frame(k for k in range(40) if not 20 <= k < 20 + gone - 1)
+    grades = spark.createDataFrame([(k, m) for k in range(40) for m in ("F", "O")], "k int, mode string")
+    left, marked, report = ck.prune_orphans(derived, grades, written, shelf, frame([39, 39, 1]), ["k"], "F")
+    r = report.first()
+    assert (r["examined"], r["pruned"], r["refused"], r["would_have_pruned"]) == (40, 0 if refused else gone, refused, gone if refused else None)
+    kept = {x["k"] for x in left.collect()}
+    want = set(range(40)) - (set() if refused else {39, *range(20, 20 + gone - 1)})
+    assert kept == want and left.count() == len(want) and left.columns == ["k"]
+    assert {x["k"] for x in marked.where("orphaned").collect()} == set(range(40)) - want and r["orphaned_grades"] == 40 - len(want) and marked.count() == 80
