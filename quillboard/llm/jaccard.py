@@ -377,7 +377,7 @@ def shingle_join(documents: DataFrame, scratch: Scratch) -> DataFrame:
     unsettled = scratch.table("unsettled", refs.where("parts - loss - hot < 1").groupBy("cls").agg(F.min((F.col("parts") - F.col("hot")) / F.col("parts")).alias("unshared")))
 
     involved = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(unsettled.select("cls")).distinct()
-    texts = docs.join(involved.select(F.col("cls.rep").alias("rep")).distinct(), F.col("doc_id") == F.col("rep"))
+    texts = docs.join(involved.select(F.col("cls.rep").alias("rep")).distinct().hint("merge"), F.col("doc_id") == F.col("rep"))  # at every size, as above
     sets = scratch.table("sets", _sets(texts.select("rep", "text")).join(involved, "cls", "left_semi").dropDuplicates(["cls"]))
 
     linked = f"shared * {DENOMINATOR} >= total * {NUMERATOR}"
