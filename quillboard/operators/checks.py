@@ -134,3 +134,11 @@ def prune_orphans(derived: DataFrame, grades: DataFrame, written: DataFrame, she
     orphans = marked.agg(F.count_if("orphaned").alias("orphaned_grades"))
     report = count.crossJoin(F.broadcast(orphans)).select(F.lit(mode).alias("mode"), "examined", F.when(F.col("refused"), 0).otherwise(F.col("withdrawn")).alias("pruned"), "refused", F.when(F.col("refused"), F.col("withdrawn")).alias("would_have_pruned"), "orphaned_grades")
     return left, marked, report
+
+
+def contract_id(components: Column) -> Column:
+    """Sixteen hex digits of the SHA-256 of a JSON text in canonical form: keys in order, no spaces, letters as they are.
+
+    A text that is no JSON has no id.
+    """
+    return F.substring(F.sha2(F.to_json(F.try_parse_json(components)).cast("binary"), 256), 1, 16)

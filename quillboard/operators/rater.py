@@ -174,3 +174,78 @@ def ols(rows: DataFrame, key: str, x: str, y: str) -> DataFrame:
     critical = F.coalesce(F.create_map(*[F.lit(v) for pair in T_CRITICAL.items() for v in pair])[F.col("freedom").cast("int")], F.lit(1.96))
     s = s.withColumns({"t": F.col("slope") / F.nullif(F.col("se"), F.lit(0.0)), "lo": F.col("slope") - critical * F.col("se"), "hi": F.col("slope") + critical * F.col("se")})
     return s.withColumn("p", two_sided_t(F.col("t"), F.col("freedom"))).select(key, "n", "slope", "intercept", "r2", "se", "t", "p", "lo", "hi")
+
+
+def venue_gate(recordings: DataFrame, least: int = 8, least_people: int = 3, least_mixed: float = 0.80) -> DataFrame:
+    """One row (ok, venues, people, mixed_share, reasons): whether the corpus bears an adjustment for venues.
+
+    ``recordings``: person and venue, null where unknown or disputed. Every venue needs ``least`` recordings and
+    ``least_people`` people, and ``least_mixed`` of all people two venues or more. Reasons are sorted;
+    without any known venue the only one is no_agreed_venue.
+    """
+    known = recordings.where("venue is not null")
+    per = known.groupBy("venue").agg(F.count("*").alias("n"), F.count_distinct("person").alias("people"))
+    thin = F.array_compact(F.array(F.when(F.col("n") < least, F.format_string("%s:rows", "venue")), F.when(F.col("people") < least_people, F.format_string("%s:people", "venue"))))
+    venues = per.agg(F.count("*").alias("venues"), F.flatten(F.collect_list(thin)).alias("thin"))  # two reasons at most for each venue
+    mixed = known.groupBy("person").agg(F.count_distinct("venue").alias("k")).agg(F.count("*").alias("people"), F.count_if(F.col("k") >= 2).alias("mixed"))
+    one = venues.crossJoin(F.broadcast(mixed)).withColumn("mixed_share", r6(F.col("mixed") / F.nullif(F.col("people"), F.lit(0))))  # one row each
+    short = F.when(F.col("mixed") < least_mixed * F.col("people"), F.array(F.lit("mixed_share"))).otherwise(F.array().cast("array<string>"))
+    reasons = F.when(F.col("venues") == 0, F.array(F.lit("no_agreed_venue"))).otherwise(F.array_sort(F.concat("thin", short)))
+    return one.select((F.size(reasons) == 0).alias("ok"), "venues", "people", "mixed_share", F.array_join(reasons, ",").alias("reasons"))
+
+
+def venue_sensitivity(recordings: DataFrame, floor: int = RANK_FLOOR) -> DataFrame:
+    """Per venue: what happens to the board without its recordings.
+
+    ``recordings``: person, overall, coverage and venue (null where unknown or disputed: these stay in
+    every run). dropped recordings of ranked people, people who had some, people still ranked, those
+    below the floor, those whose rank changes, Spearman's correlation of the ranks (null under three
+    people), the largest shift and whose it is, the mean shift. Ties keep the full board's order. Sums less a
+    venue's own stand for a rescoring, so recordings are read once.
+    """
+    w = F.greatest("coverage", F.lit(LEAST_COVERAGE))
+    rows = recordings.select("person", "venue", (F.col("overall") * w).alias("num"), w.alias("den"))
+    whole = board(recordings, floor).where("rank is not null").select("person", "rank", F.col("overall").alias("full"), F.col("n").alias("all"))
+    cells = rows.groupBy("person", "venue").agg(F.count("*").alias("n"), F.sum("num").alias("num"), F.sum("den").alias("den"))
+    totals = cells.groupBy("person").agg(F.sum("num").alias("t_num"), F.sum("den").alias("t_den")).join(whole, "person")
+    names = cells.join(whole.select("person"), "person", "left_semi").where("venue is not null").agg(F.array_sort(F.collect_set("venue")).alias("venues"))  # one row
+    each = totals.crossJoin(F.broadcast(names)).select("*", F.explode("venues").alias("venue")).drop("venues")
+    each = each.join(cells.select("person", "venue", "n", "num", "den"), ["person", "venue"], "left").na.fill(0, ["n", "num", "den"])
+    each = each.withColumns({"left": F.col("all") - F.col("n"), "without": r6((F.col("t_num") - F.col("num")) / F.nullif(F.col("t_den") - F.col("den"), F.lit(0.0)))}).withColumn("still", F.col("left") >= floor)
+    placed = each.withColumns({
+        "before": F.row_number().over(Window.partitionBy("venue", "still").orderBy("rank")),
+        "after": F.row_number().over(Window.partitionBy("venue", "still").orderBy(F.desc("without"), "rank")),
+        "shift": F.round(F.abs(F.col("without") - F.col("full")), 1),
+    })
+    on = lambda c: F.when(F.col("still"), c)
+    m, gap = F.count_if("still"), on(F.pow(F.col("before") - F.col("after"), F.lit(2)))
+    return placed.groupBy("venue").agg(
+        F.sum("n").alias("dropped"), F.count_if(F.col("n") > 0).alias("people"), m.alias("still_ranked"), F.count_if(~F.col("still")).alias("below_floor"), F.count_if(F.col("still") & (F.col("before") != F.col("after"))).alias("changing"),
+        F.when(m >= 3, F.round(1 - 6 * F.sum(gap) / (m * (m * m - 1)), 3)).alias("rho"), F.max(on(F.col("shift"))).alias("max_shift"), F.min_by("person", on(F.struct((-F.col("shift")).alias("s"), "rank"))).alias("max_shift_person"), F.round(F.avg(on(F.col("shift"))), 2).alias("mean_shift"),
+    )
+
+
+#: Fixed value: how many times another judge's rate makes a filter skewed.
+SKEW = 3.0
+
+
+def rejection_skew(rows: DataFrame, judge: str, rejected: Column) -> DataFrame:
+    """One row (skewed, highest, lowest, high_rate, low_rate, ratio): whether a filter rejects judges unlike each other.
+
+    Rates of a judge's own attempts, to four places. Skewed where one judge is never rejected and
+    another is, or one three times as often as another; the first name stands for equal rates. With fewer than two judges, or no rejection, nothing is.
+    """
+    per = rows.groupBy(judge).agg(F.round(F.count_if(rejected) / F.count("*"), 4).alias("rate"))
+    one = per.agg(F.count("*").alias("judges"), F.min(F.struct((-F.col("rate")).alias("r"), F.col(judge).alias("j"))).alias("hi"), F.min(F.struct(F.col("rate").alias("r"), F.col(judge).alias("j"))).alias("lo"))
+    high, low = -F.col("hi.r"), F.col("lo.r")
+    ratio = F.when(low > 0, F.round(high / low, 1))
+    skewed = (F.col("judges") >= 2) & (high > 0) & ((low == 0) | (high / F.nullif(low, F.lit(0.0)) >= SKEW))
+    return one.select(F.coalesce(skewed, F.lit(False)).alias("skewed"), F.col("hi.j").alias("highest"), F.col("lo.j").alias("lowest"), high.alias("high_rate"), low.alias("low_rate"), ratio.alias("ratio"))
+
+
+def gaps_to_others(rows: DataFrame) -> DataFrame:
+    """person, rec, judge, x: each judge's score (x) less the mean of the other judges', of recordings that the whole panel has judged."""
+    w = Window.partitionBy("rec")
+    panel = rows.agg(F.count_distinct("judge").alias("panel"))  # one row
+    whole = rows.withColumns({"s": F.sum("x").over(w), "k": F.count("*").over(w)}).crossJoin(F.broadcast(panel)).where("k = panel and k > 1")
+    return whole.select("person", "rec", "judge", (F.col("x") - (F.col("s") - F.col("x")) / (F.col("k") - 1)).alias("x"))

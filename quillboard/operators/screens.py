@@ -242,3 +242,12 @@ def one_exact(rows: DataFrame, claim: str) -> DataFrame:
 def truncation(containment: Column, words: Column, seconds: Column, whole: float = 0.95, slow: float = 90.0) -> Column:
     """A partial copy that runs too slowly may be cut short."""
     return F.coalesce((containment < whole) & (seconds > 0) & (words / (seconds / 60.0) < slow), F.lit(False))
+
+
+def own_channel_density(density: Column, channel: Column, own: Column) -> Column:
+    """(density, measured, check): a density of names, taken out of the gate where the upload is from one of the person's own channels.
+
+    A recording without a channel, or a person without own ones, keeps the check.
+    """
+    skip = F.coalesce(F.array_contains(own, channel), F.lit(False))
+    return F.struct(F.when(~skip, density).alias("density"), F.when(skip, density).alias("measured"), F.when(skip, "skipped_own_channel").alias("check"))
