@@ -43,8 +43,8 @@ OTHER_WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in "
 
 
 def _slot(keys: np.ndarray, seed: np.ndarray | int, slots: int) -> np.ndarray:
-    with np.errstate(over="ignore"):  # modulo 2^64
-        return mix(keys.view(np.uint64) + (np.asarray(seed, np.uint64) + np.uint64(1)) * SEED) % np.uint64(slots)
+    # an array, as numpy warns of scalars that go beyond 2^64
+    return mix(keys.view(np.uint64) + (np.atleast_1d(np.asarray(seed, np.uint64)) + np.uint64(1)) * SEED) % np.uint64(slots)
 
 
 def _fingerprint(keys: np.ndarray) -> np.ndarray:
