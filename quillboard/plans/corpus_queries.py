@@ -127,7 +127,7 @@ def copy_sweep(spark, d):
  j as (select doc_id, s, e, sum(case when before_ is null or s - before_ >= 20 then 1 else 0 end) over (partition by doc_id order by s) piece from (select *, lag(e) over (partition by doc_id order by s) before_ from r)), k as (select j.doc_id, min(s) s, max(e) e from j join c on c.doc_id = j.doc_id join d on d.doc_id = j.doc_id where covered / len(w) >= 0.05 group by j.doc_id, piece),
  tk as (select doc_id, z, tok, regexp_full_match(tok, '\[\d\d:\d\d:\d\d\]') stamp from (select doc_id, unnest(toks) tok, unnest(range(0, len(toks))) z from d where doc_id in (select doc_id from k))), tp as (select *, sum((not stamp)::int) over (partition by doc_id order by z) - 1 place from tk),
  kt as (select * from tp where stamp or not exists (select 1 from k where k.doc_id = tp.doc_id and s <= place and place < e)), ks as (select *, lead(stamp) over (partition by doc_id order by z) next_ from kt), lf as (select doc_id, string_agg(tok, ' ' order by z) left_ from ks where not stamp or not coalesce(next_, false) group by doc_id)
- select d.doc_id, len(w)::bigint words, coalesce(round(covered / len(w), 4), 0) "share", coalesce((select sum(e - s) from k where k.doc_id = d.doc_id), 0)::bigint removed, md5(case when d.doc_id in (select doc_id from k) then coalesce(left_, '') else text end) text_md5 from d left join c on c.doc_id = d.doc_id left join lf on lf.doc_id = d.doc_id"""
+ select d.doc_id, len(w)::bigint words, coalesce((20000 * covered + len(w)) // (2 * len(w)) / 10000, 0) "share", coalesce((select sum(e - s) from k where k.doc_id = d.doc_id), 0)::bigint removed, md5(case when d.doc_id in (select doc_id from k) then coalesce(left_, '') else text end) text_md5 from d left join c on c.doc_id = d.doc_id left join lf on lf.doc_id = d.doc_id"""
 )
 def replay_cut(spark, d):
     """Texts without replayed passages: what goes and the digest of what stays."""
