@@ -8,8 +8,6 @@ Lengths and bags of letters bound the likeness from above before it is worked ou
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillboard.functions import text as tx

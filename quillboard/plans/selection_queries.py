@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from quillboard.functions import text as tx
-from quillboard.operators import forecast as fc, rater as rt, selection as se
+from quillboard.operators import rater as rt, selection as se
 from quillboard.operators.rater import r6
-from quillboard.plans.oracles import F as FC, G, TOK
+from quillboard.plans.oracles import F as FC, G
 from quillboard.plans.registry import query
 from quillboard.sources.tables import forecasts, ratings, read
 
