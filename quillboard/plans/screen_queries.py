@@ -246,7 +246,7 @@ def repaired_texts(spark, d):
 def redacted_texts(spark, d):
     """Texts without the variants of their person's name, here the first two words of the source's first English document."""
     docs = read(spark, d, "documents").where("lang = 'en'")
-    names = docs.groupBy("source").agg(F.min_by(F.regexp_extract("text", r"([A-Za-z]{2,}\s+[A-Za-z]{2,})", 1), "doc_id").alias("name")).select("source", sc.name_variants(F.col("name")).alias("v"))
+    names = docs.where("text is not null").groupBy("source").agg(F.min_by(F.regexp_extract("text", rf"([A-Za-z]{{2,}}{sc.SPACE}+[A-Za-z]{{2,}})", 1), "doc_id").alias("name")).select("source", sc.name_variants(F.col("name")).alias("v"))
     rows = docs.join(names, "source").select("doc_id", sc.redacted(F.col("text"), F.col("v"), "[NAME]").alias("t"))
     return rows.select("doc_id", F.regexp_count("t", F.lit(r"\[NAME\]")).alias("tokens"), F.md5("t").alias("text_md5"))
 
