@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from quillboard.functions import text as tx
 from quillboard.operators import rater as rt, selection as se
-from quillboard.operators.rater import r6
+from quillboard.operators.rater import exact_mean, r6
 from quillboard.plans.oracles import F as FC, G
 from quillboard.plans.registry import query
 from quillboard.sources.tables import forecasts, ratings, read
@@ -89,7 +89,7 @@ def primary_market(spark, d):
 )
 def person_rows(spark, d):
     """Persons of at least four forecasts, one of them due, in the order of the page."""
-    s = forecasts(spark, d).groupBy("person").agg(F.count("*").alias("n"), F.count_if(F.col("deadline") <= F.lit("2024-02-15").cast("date")).alias("due"), r6(F.avg("p")).alias("mean_p")).where("n >= 4 and due >= 1")
+    s = forecasts(spark, d).groupBy("person").agg(F.count("*").alias("n"), F.count_if(F.col("deadline") <= F.lit("2024-02-15").cast("date")).alias("due"), exact_mean(F.col("p")).alias("mean_p")).where("n >= 4 and due >= 1")
     return s.withColumn("place", F.row_number().over(Window.orderBy(F.col("due") == 0, F.desc("mean_p"), "person")))  # a row for each person
 
 
@@ -99,7 +99,7 @@ def person_rows(spark, d):
 )
 def default_order(spark, d):
     """Scored persons from the best mean, then the others by name."""
-    s = forecasts(spark, d).groupBy("person").agg(r6(F.avg(F.when(F.col("kind") != "error", F.col("p")))).alias("mean_p"), F.count_if(F.col("kind") == "purchase").alias("hits"))
+    s = forecasts(spark, d).groupBy("person").agg(exact_mean(F.when(F.col("kind") != "error", F.col("p"))).alias("mean_p"), F.count_if(F.col("kind") == "purchase").alias("hits"))
     return s.withColumn("place", F.row_number().over(Window.orderBy(F.col("hits") == 0, F.when(F.col("hits") > 0, F.col("mean_p")).desc(), "person")))  # a row for each person
 
 
