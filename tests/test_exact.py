@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from quillboard.operators import rater as rt
+from quillboard.operators import intervals as iv, rater as rt
 from quillboard.plans.catalog import ORACLES, QUERIES
 
 
@@ -51,3 +51,40 @@ def test_fingerprints_take_every_line(spark, tables):
     orders = [(k, None if k == 5 else "OFP"[k % 3]) for k in range(600)]
     d, con = tables(orders=(orders, "o_orderkey long, o_orderstatus string"), customer=([(1, "x"), (2, None)], "c_custkey long, c_mktsegment string"))
     assert sorted(map(tuple, QUERIES["input_fingerprints"](spark, d).collect())) == sorted(con.execute(ORACLES["input_fingerprints"]).fetchall())
+
+
+def _picks(key, n, suffix=""):
+    return [int(hashlib.md5(f"{key}{k // 4}{suffix}".encode()).hexdigest()[k % 4 * 8 : k % 4 * 8 + 8], 16) % n for k in range(n)]
+
+
+@pytest.mark.parametrize("block", [1 << 23, 3])
+def test_resampling_in_tasks_and_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(iv, "BLOCK", block), monkeypatch.setattr(iv, "SLICE", 2), monkeypatch.setattr(iv, "PICKS", 200)
+    units = {g: sorted(range(n), key=lambda u: (hashlib.md5(str(u).encode()).hexdigest()[:2], u)) for g, n in {"a": 33, "long" * 20: 7, "one": 1}.items()}
+    value = lambda g, u: None if u % 5 == 1 else u * 1.5
+    rows = [(g, u, value(g, u), 1.0 + u % 3) for g, all_ in units.items() for u in all_]
+    got = {r["g"]: (r["units"], r["lo"], r["hi"]) for r in iv.ratio_interval(spark.createDataFrame(rows, "g string, u int, num double, den double"), "g", "u", 40, 0.1).collect()}
+    for g, at in units.items():
+        m = sorted(sum(value(g, at[p]) or 0.0 for p in ps) / sum(1.0 + at[p] % 3 for p in ps) for i in range(40) for ps in [_picks(f"{g}:{i}:", len(at))])
+        assert got[g] == pytest.approx((len(at), m[2], m[38])), g
+
+    sides = {"a": {1: [1.0, 4.0, 9.0, None, 7.0], 2: [3.0] * 9 + [8.0]}, "b": {5: [2.0, None, 6.0], 6: [float(k) for k in range(21)], 7: [5.0]}}
+    data = [(by, s, c, v) for by in "xy" for s, cs in sides.items() for c, vs in cs.items() for v in vs if by == "x" or c != 7]
+    found = {r["by"]: r for r in iv.cluster_gap(spark.createDataFrame(data, "by string, side string, c int, value double"), "c", 30, 0.1, by=["by"]).collect()}
+    for by in "xy":
+        means = []
+        for i in range(30):
+            mean = {}
+            for s, cs in sides.items():
+                kept = [sorted(vs, key=lambda v: (v is None, v)) for c, vs in sorted(cs.items()) if by == "x" or c != 7]
+                drawn = []
+                for slot in range(len(kept)):
+                    vs = kept[int(hashlib.md5(f"{s}:{i}:{slot}".encode()).hexdigest()[:8], 16) % len(kept)]
+                    drawn += [vs[p] for p in _picks(f"{s}:{i}:{slot}:", len(vs), ":v") if vs[p] is not None]
+                mean[s] = sum(drawn) / len(drawn)
+            means.append(mean["a"] - mean["b"])
+        means.sort()
+        assert (found[by]["lo"], found[by]["hi"]) == pytest.approx((means[1], means[28])), by
+        flat = {s: [v for c, vs in cs.items() for v in vs if v is not None and (by == "x" or c != 7)] for s, cs in sides.items()}
+        assert found[by]["gap"] == pytest.approx(sum(flat["a"]) / len(flat["a"]) - sum(flat["b"]) / len(flat["b"]))
+        assert (found[by]["a"], found[by]["b"]) == (15, 25 if by == "x" else 24)
