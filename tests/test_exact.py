@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillboard.operators import intervals as iv, rater as rt
+from quillboard.plans import board_queries, corpus_queries, gate_queries
 from quillboard.plans.catalog import ORACLES, QUERIES
+from quillboard.sources import tables as tables_
 
 
 @pytest.fixture
@@ -88,3 +90,12 @@ def test_resampling_in_tasks_and_blocks(spark, monkeypatch, block):
         flat = {s: [v for c, vs in cs.items() for v in vs if v is not None and (by == "x" or c != 7)] for s, cs in sides.items()}
         assert found[by]["gap"] == pytest.approx(sum(flat["a"]) / len(flat["a"]) - sum(flat["b"]) / len(flat["b"]))
         assert (found[by]["a"], found[by]["b"]) == (15, 25 if by == "x" else 24)
+
+
+def test_run_zero_is_numbered_once(spark, monkeypatch):
+    numbered = []
+    monkeypatch.setattr(tables_, "ratings", lambda s, d, real=tables_.ratings: numbered.append(d) or real(s, d))
+    monkeypatch.setattr(board_queries, "ratings", None), monkeypatch.setattr(corpus_queries, "ratings", None), monkeypatch.setattr(gate_queries, "ratings", None)
+    for name in ["venue_adjusted", "venue_sensitivity", "person_rollup"]:
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(numbered) == 3
