@@ -1,9 +1,11 @@
 """Operators without SQL, against plain forms."""
 
+import random
 import re
 import statistics
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +126,57 @@ def test_gate_query(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     got = {r["doc_id"]: (r["words"], r["reasons"]) for r in QUERIES["qa_gate"](spark, SF).collect()}
     assert got == {r["doc_id"]: (plain_gate(r["text"])[0], plain_gate(r["text"])[4]) for r in docs}
+
+
+def _shares(sets, least):
+    """Pairs by brute force: {(a, b): common} of sets of a group, copies once by the least key."""
+    first = {}
+    for k, (group, s) in sorted(sets.items()):
+        if s:
+            first.setdefault((group, s), k)
+    out = {}
+    for (g, s), a in first.items():
+        for (h, t), b in first.items():
+            if a < b and g == h and len(s & t) / min(len(s), len(t)) >= least:
+                out[a, b] = len(s & t)
+    return out
+
+
+@pytest.mark.parametrize("least", [0.15, 0.4, 0.75])
+def test_packed_copies_lose_no_pair(spark, least):
+    """Short sets, sets in large ones, frequent lines, copies, keys without a group: all pairs, and exact counts."""
+    r = random.Random(11)
+    line = [f"l{k}" for k in range(12)]
+    texts = {}
+    for k in range(260):
+        w = [f"w{r.randrange(4000)}" for _ in range(r.choice((3, 5, 6, 8, 30, 200)))]
+        if k > 40 and k % 3:
+            w = list(texts[r.randrange(k)][1])
+            for _ in range(r.choice((0, 0, 1, 3, 12))):
+                w[r.randrange(len(w))] = f"x{r.randrange(9999)}"
+            w = w[: r.choice((len(w), len(w), max(1, len(w) // 2)))]
+        texts[k] = (None if k % 37 == 0 else f"g{k % 2}", w + line if k % 4 == 0 else w if k % 17 else line)
+    rows = spark.createDataFrame([(k, g, " ".join(w)) for k, (g, w) in texts.items()], "doc int, s string, text string").repartition(7)
+    sets = {k: (g, frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4))) for k, (g, w) in texts.items() if g}
+    got = {(x["doc_a"], x["doc_b"]): x["common"] for x in tr.containment_pairs(rows, "doc", "s", F.split("text", " "), least=least).collect()}
+    want = _shares(sets, least)
+    assert got == want and len(want) > 30
+
+    pairs = tr.shared_shingles(rows.where("doc % 2 = 1"), rows.where("doc % 2 = 0"), "doc", "s", F.split("text", " "), least).collect()
+    share = {(a, b): len(s & t) / min(len(s), len(t)) for a, (g, s) in sets.items() for b, (h, t) in sets.items() if a % 2 and not b % 2 and g == h and s and t}
+    assert {(x["new"], x["known"]): x["containment"] for x in pairs}.items() <= {p: c for p, c in share.items() if c >= least}.items()
+    least_known = lambda b: min(k for k, v in sets.items() if v == sets[b] and k % 2 == 0)
+    assert {(x["new"], x["known"]) for x in pairs} == {(a, least_known(b)) for (a, b), c in share.items() if c >= least}
+
+
+def test_copies_are_dealt_packed(spark):
+    """A shingle is dealt as fifteen bytes of a packed row, and most only where they may count: no row for each."""
+    from quillboard.operators import copies as cp
+
+    rows = spark.createDataFrame([(k, "g", " ".join(f"w{k}x{i}" for i in range(1004))) for k in range(40)], "doc int, s string, text string").coalesce(1)
+    sets = cp.shingle_hashes(rows, "doc", "s", F.split("text", " "), 5)
+    none = np.zeros(0, np.uint64)
+    dealt = cp._dealt(sets, cp.Order(0.75, none, np.zeros((1 << cp.MAP_BITS) // 8, np.uint8))).select(F.length("h").alias("h"), F.length("s").alias("s"), F.length("f").alias("f")).collect()
+    n = sum(x["f"] for x in dealt)
+    assert 0.33 * 40_000 < n < 0.37 * 40_000 and len(dealt) <= 1 << cp.PART_BITS
+    assert all((x["h"], x["s"]) == (6 * x["f"], 8 * x["f"]) for x in dealt)
