@@ -143,3 +143,21 @@ def test_a_dater_twice_stops(spark):
         dn.merge_proposals(a, recordings).collect()
     none = dn.assess_proposals(spark.createDataFrame([], PROPOSAL), recordings, spark.createDataFrame([], CHECK))
     assert dn.merge_proposals(none, recordings).count() == 0
+
+
+def test_dates_are_read_by_tasks_in_one_pass(spark):
+    """One Arrow call a text; a letter of any alphabet in front ends no word, and null texts stay null."""
+    rows = spark.createDataFrame([(1, "\u00e92024-01-02 or June 31, 2024, 3rd of May 2024"), (2, None), (3, "")], "k int, t string")
+    df = rows.select("k", dg.dated_spans(F.col("t")).alias("s"))
+    assert "ArrowEvalPython" in df._jdf.queryExecution().executedPlan().toString()
+    got = {r["k"]: r["s"] and [(s["text"], str(s["lo"]), str(s["hi"])) for s in r["s"]] for r in df.collect()}
+    assert got == {1: [("3rd of May 2024", "2024-05-03", "2024-05-03")], 2: None, 3: []}
+
+
+def test_a_description_is_read_once_for_a_recording(spark):
+    """The parse of descriptions stands below the join of proposals with recordings."""
+    from quillboard.plans.catalog import QUERIES
+
+    plan = QUERIES["dating_assessed"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    read = next(k for k, line in enumerate(plan) if "EvalPython" in line and "description" in line)
+    assert any("Join Inner" in line for line in plan[:read])
