@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillboard.functions import text as tx
-from quillboard.functions.dategrammar import dated_spans, for_verdict, only_day
+from quillboard.functions.dategrammar import dated_spans, for_verdict, let, only_day
 
 #: Days that last days of agreeing daters may lie apart, words of a piece of a quote.
 NEAR_DAYS, PIECE_WORDS = 7, 3
@@ -26,9 +26,13 @@ def first_reason(rules: list[tuple[Column, str]]) -> Column:
 
 def quote_found(text: Column, quote: Column) -> Column:
     """Whether a quote stands in a text, or, where an ellipsis joins pieces of three words or more, all pieces do."""
-    has = lambda q: (tx.normalised(q) != "") & F.concat(F.lit(" "), tx.normalised(text), F.lit(" ")).contains(F.concat(F.lit(" "), tx.normalised(q), F.lit(" ")))
     pieces = F.filter(F.split(quote, r"\s*(?:\.\.\.|…)\s*"), lambda p: F.size(F.split(tx.normalised(p), " ")) >= PIECE_WORDS)
-    return F.coalesce(has(quote) | ((F.size(pieces) > 1) & F.forall(pieces, has)), F.lit(False))
+
+    def within(whole: Column) -> Column:
+        has = lambda q: let(tx.normalised(q), lambda x: (x != "") & whole.contains(F.concat(F.lit(" "), x, F.lit(" "))))
+        return F.coalesce(has(quote) | let(pieces, lambda ps: (F.size(ps) > 1) & F.forall(ps, has)), F.lit(False))
+
+    return let(F.concat(F.lit(" "), tx.normalised(text), F.lit(" ")), within)
 
 
 def check_spans(checks: DataFrame, proposals: DataFrame) -> DataFrame:
@@ -63,6 +67,8 @@ def assess_proposals(proposals: DataFrame, recordings: DataFrame, checks: DataFr
     """
     per = check_spans(checks, proposals)
     known = recordings.select("recording", "own_date", "own_basis", "description", F.col("text").alias("talk"), F.coalesce("own_date", "fetched").alias("bound"))
+    # once for a recording, however many daters it has
+    known = known.select("*", *[only_day(F.col("description"), F.lit(publication), F.col("bound"))["day"].alias(name) for name, publication in (("told_talk", False), ("told_publication", True))]).drop("description")
     rows = proposals.join(known, "recording").join(per, ["recording", "dater"], "left")
     undated = F.col("verdict") == "cannot_date"
     low, high = F.col("earliest"), F.col("latest")
@@ -77,7 +83,7 @@ def assess_proposals(proposals: DataFrame, recordings: DataFrame, checks: DataFr
     open_ = F.col("early").isNull()
     rows = rows.withColumn("missing", open_ & (F.coalesce("evidence", F.lit("")) != "") & ~quote_found(F.col("talk"), F.col("evidence")))
     rows = rows.withColumn("eligible", open_ & ~F.col("missing"))
-    rows = rows.withColumn("told", F.when(open_, only_day(F.col("description"), F.col("verdict") == "publication_only", F.col("bound"))["day"]))
+    rows = rows.withColumn("told", F.when(open_, F.when(F.col("verdict") == "publication_only", F.col("told_publication")).otherwise(F.col("told_talk"))))
     none = F.array().cast("array<struct<lo: date, hi: date, route: string, publication: boolean>>")
     told = F.when(F.col("told").between(low, high), F.array(F.struct(F.col("told").alias("lo"), F.col("told").alias("hi"), F.lit("description").alias("route"), F.lit(False).alias("publication"))))
     rows = rows.withColumn("spans", F.when(open_, F.concat(F.coalesce("spans", none), F.coalesce(told, none))).otherwise(none))
