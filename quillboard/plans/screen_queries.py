@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from quillboard.functions import dates as dt, text as tx
@@ -110,9 +112,9 @@ def _grades(spark, d):
     )
 
 
-def _errors(g, supported: bool):
+def _rules(supported: bool):
     one = lambda score: {"score": F.col(score), "words": F.col("said.words"), "counterevidence": F.col("counter"), "quotes": F.col("said.sizes"), "supported": F.col("supported")}
-    return sc.grade_errors(F.col("codes"), F.col("scores"), {"d1": one("s1"), "d2": one("s2"), "d3": one("s3")}, rt.WEIGHTS, F.col("overall"), F.col("coverage"), CODES, supported, 13 if supported else 0)
+    return sc.grade_rules(F.col("codes"), F.col("scores"), {"d1": one("s1"), "d2": one("s2"), "d3": one("s3")}, rt.WEIGHTS, F.col("overall"), F.col("coverage"), CODES, supported, 13 if supported else 0)
 
 
 def _grade_sql(v2: bool) -> str:
@@ -130,9 +132,13 @@ def grade_errors(spark, d):
     """How many grades break each rule of the first contract, and of the second, which lets dimensions go without support."""
     # words are counted once for a text, whatever the contracts and dimensions that look at it
     g = _grades(spark, d).select("*", F.explode(F.array(F.struct(sc.word_count(F.col("reasoning")).alias("words"), F.transform("quotes", sc.word_count).alias("sizes")))).alias("said"))
-    both = g.select(F.explode(F.array(F.struct(F.lit("v1").alias("contract"), _errors(g, False).alias("e")), F.struct(F.lit("v2").alias("contract"), _errors(g, True).alias("e")))).alias("x"))
-    each = both.select("x.contract", F.explode(F.when(F.size("x.e") > 0, F.col("x.e")).otherwise(F.array(F.lit("none")))).alias("error"))
-    return each.groupBy("contract", "error").agg(F.count("*").alias("n"))
+    # counted as conditions, so that no row is made for each error
+    counts = []
+    for contract in ("v1", "v2"):
+        rules = [(name, F.coalesce(bad, F.lit(False))) for name, bad in _rules(contract == "v2")]
+        rules.append(("none", ~reduce(lambda a, b: a | b, [bad for _, bad in rules])))
+        counts += [F.struct(F.lit(contract).alias("contract"), F.lit(name).alias("error"), F.count_if(bad).alias("n")) for name, bad in rules]
+    return g.agg(F.array(*counts).alias("c")).select(F.explode("c").alias("c")).select("c.*").where("n > 0 or error = 'none'")
 
 
 @query(
