@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from quillboard.llm._arrow import mix
+from quillboard.llm._arrow import chunks, mix, utf8
 from quillboard.llm._scratch import Scratch
 from quillboard.llm.bpe import byte_letters
 
@@ -38,7 +38,11 @@ CACHE_CHARS = 32 << 20
 #: The words of the byte-level tokenizer.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 UNSETTLED = re.compile(r"[^\n -~\u00A1-\u0233]")
-PIECES = re.compile(r"\n(?=[^ \n])|[ \n]*[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]++(?=[\x00-\x40\x5B-\x60\x7B-\x7F]|\Z)|[ \n]*[^ \n]+|[ \n]+")
+BATCH_BYTES = 8 << 20
+#: Classes of UTF-8 bytes: white space that texts are cut at, ASCII that is no letter, ASCII letters, and the lead and
+#: last bytes of two-byte letters (U+00C0 to U+023F; the signs of times and division are none, nor what ends like them).
+BLANK, MARK, LETTER, LEAD, LAST = 1, 2, 4, 8, 16
+CLASSES = bytes((BLANK * (b in b"\n ") | (LETTER if chr(b).isalpha() else MARK)) if b < 128 else LEAD if 0xC3 <= b <= 0xC8 else LAST if b < 0xC0 and b not in (0x97, 0xB7) else 0 for b in range(256))
 OTHER_WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
 
@@ -166,15 +170,34 @@ class Shard:
             yield None if nulls[ordinal] else int(keys[ordinal]), lo, self.read(self.payload + lo * self.id_bytes, f"<u{self.id_bytes}", hi - lo)
 
 
+def cut(data: bytes, offsets: np.ndarray) -> np.ndarray:
+    """The starts of the pieces of texts of UTF-8 bytes, in ascending order; each text begins a piece of its own.
+
+    A piece ends before white space, between letters and the ASCII marks or digits behind
+    them, and behind a line end that stands alone before other characters.
+    """
+    kind = np.frombuffer(data.translate(CLASSES), np.uint8)
+    blank = kind & BLANK != 0
+    letter = kind & LETTER != 0
+    letter[1:] |= (kind[:-1] & LEAD != 0) & (kind[1:] & LAST != 0)
+    first = np.zeros(len(data) + 1, bool)
+    first[1:-1] = (blank[1:] & ~blank[:-1]) | (letter[:-1] & (kind[1:] & MARK != 0))
+    first[offsets] = True
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8)[:-1] == 10)
+    first[ends[first[ends] & ~blank[ends + 1]] + 1] = True
+    return np.flatnonzero(first[:-1])
+
+
 class Encoder:
     """A byte-level tokenizer of the tokenizers library, asked only once for each piece.
 
     Its words never cross from a run of other characters into the spaces or line ends
     behind it, nor from letters into ASCII marks and digits, nor from a single line end
-    into what follows, so a text's ids are those of its pieces. A new piece of letters
-    whose classes no Unicode version has changed is cut into words here and its words go
-    to the library's model at once; other pieces go through the whole of the library, and
-    so do texts with other white space or with a special token in them.
+    into what follows, so a text's ids are those of its pieces. The texts of a batch are
+    cut together and their distinct pieces found by Arrow. A new piece of letters whose
+    classes no Unicode version has changed is cut into words here and its words go to the
+    library's model at once; other pieces go through the whole of the library, and so do
+    texts with other white space or with a special token in them.
     """
 
     def __init__(self, path: str):
@@ -188,40 +211,71 @@ class Encoder:
         self.model = self.library.model
         self.words = regex.compile(WORDS)
         self.letters = {b: c for c, b in byte_letters().items()}
+        self.space = self.letters[ord(" ")]
         self.apart = OTHER_WHITE + [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.id_bytes = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.known: dict[str, bytes] = {}
         self.held = 0
 
+    def _spelt(self, word: str) -> str:
+        return word.encode().decode("latin-1").translate(self.letters)
+
     def _learn(self, pieces: list[str]) -> None:
         """Ids of new pieces: those of plain letters by the library's model, word by word."""
-        code = "H" if self.id_bytes == 2 else "I"
-        other = [p for p in pieces if UNSETTLED.search(p)]
-        plain = list(set(pieces).difference(other)) if other else pieces
-        made: dict[str, bytes] = {}
-        for piece in plain:
-            out = b""
-            for word in self.words.findall(piece):
-                if word not in made:
-                    made[word] = array(code, [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]).tobytes()
-                out += made[word]
-            self.known[piece] = out
+        code, other = "H" if self.id_bytes == 2 else "I", []
+        for piece in pieces:
+            bare = piece[1:] if piece[0] == " " else piece
+            if UNSETTLED.search(piece):
+                other.append(piece)
+                continue
+            if bare.isalpha() and piece.isascii():  # a single word, and its letters spell themselves
+                tokens = self.model.tokenize(self.space + bare if bare is not piece else bare)
+            elif bare.isalpha():
+                tokens = self.model.tokenize(self._spelt(piece))
+            else:
+                tokens = [t for word in self.words.findall(piece) for t in self.model.tokenize(self._spelt(word))]
+            self.known[piece] = array(code, [t.id for t in tokens]).tobytes()
         for lo in range(0, len(other), 1000):
             some = other[lo : lo + 1000]
             self.known.update(zip(some, (array(code, e.ids).tobytes() for e in self.library.encode_batch_fast(some, add_special_tokens=False)), strict=True))
         self.held += sum(map(len, pieces))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        kind = f"<u{self.id_bytes}"
-        whole = [any(s in t for s in self.apart) for t in texts]
-        cut = [[] if w else PIECES.findall(t) for t, w in zip(texts, whole, strict=True)]
+    def _together(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of texts without other white space or special tokens."""
+        coded = [t.encode() for t in texts]
+        offsets = np.concatenate(([0], np.cumsum([len(t) for t in coded]))).astype(np.int64)
+        joined = b"".join(coded)
+        starts = cut(joined, offsets)
+        bounds = np.append(starts, len(joined)).astype(np.int64)
+        distinct = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(joined)).dictionary_encode()
+        pieces, which = distinct.dictionary.to_numpy(zero_copy_only=False).tolist(), distinct.indices.to_numpy()
         if len(self.known) > CACHE_PIECES or self.held > CACHE_CHARS:
             self.known.clear()
             self.held = 0
-        if cut:
-            self._learn(list(set().union(*cut).difference(self.known)))
-        get = self.known.__getitem__
-        return [np.array(self.library.encode(t, add_special_tokens=False).ids, kind) if w else np.frombuffer(b"".join(map(get, c)), kind) for t, w, c in zip(texts, whole, cut, strict=True)]
+        ids = list(map(self.known.get, pieces))
+        if new := [k for k, x in enumerate(ids) if x is None]:
+            self._learn([pieces[k] for k in new])
+            for k in new:
+                ids[k] = self.known[pieces[k]]
+        flat = np.frombuffer(b"".join(ids), f"<u{self.id_bytes}")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.id_bytes
+        before, sizes = (np.cumsum(size) - size)[which], size[which]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        out = flat[np.repeat(before - ends[:-1], sizes) + np.arange(ends[-1])]
+        return np.split(out, ends[np.searchsorted(starts, offsets[1:-1])])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray] = [np.empty(0, f"<u{self.id_bytes}")] * len(texts)
+        plain: list[int] = []
+        for k, t in enumerate(texts):
+            if any(s in t for s in self.apart):
+                out[k] = np.array(self.library.encode(t, add_special_tokens=False).ids, f"<u{self.id_bytes}")
+            elif t:
+                plain.append(k)
+        if plain:
+            for k, ids in zip(plain, self._together([texts[k] for k in plain]), strict=True):
+                out[k] = ids
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -270,8 +324,8 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str, end_id:
 
         kind = pa.schema([("path", pa.string()), ("part", pa.int32()), ("number", pa.int32()), *((n, pa.int64()) for n in ("first_doc", "last_doc", "n_docs", "n_ids"))])
         for b in batches:
-            for lo in range(0, len(b), 200):
-                some = b.slice(lo, 200)
+            for lo, hi in chunks(utf8(b.column("text"))[1], BATCH_BYTES):
+                some = b.slice(lo, hi - lo)
                 for key, x in zip(some.column("doc_id").to_pylist(), encoder.encode(some.column("text").to_pylist()), strict=True):
                     if keys and held + (len(x) + 1) * encoder.id_bytes > shard_bytes:
                         yield flush()

@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import itertools
 import re
 import struct
 import zlib
@@ -401,6 +402,19 @@ def test_encoders_on_random_letters():
         assert by_byte.encode([t])[0].tolist() == other.encode(t, add_special_tokens=False).ids, ascii(t)
 
 
+def test_pieces_of_a_batch():
+    """Texts are cut together, and each has the library's ids whatever stands beside it."""
+    from tokenizers import Tokenizer
+
+    pieces = lambda t: [t.encode()[a:b].decode() for a, b in itertools.pairwise([*tokenfile.cut(t.encode(), np.array([0, len(t.encode())])).tolist(), len(t.encode())])]
+    assert pieces("\nDon't  go,\u00e9t\u00e9! a\u00d7b\n\n x9\n") == ["\n", "Don", "'t", "  go", ",\u00e9t\u00e9", "!", " a\u00d7b", "\n\n x", "9", "\n"]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, encoder = Tokenizer.from_file(path), tokenfile.Encoder(path)
+    texts = ["", *random_texts(3000, 17), "", "\n", "it's", "'s,''s", "a\u00d7b \u00f7c", "x<|endoftext|>y", ""]
+    for t, got in zip(texts, encoder.encode(texts), strict=True):
+        assert got.tolist() == library.encode(t, add_special_tokens=False).ids, ascii(t)
+
+
 def test_very_long_words(monkeypatch):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
