@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillboard.functions import text as tx
-from quillboard.operators import likeness as lk, pages as pg, screens as sc
+from quillboard.operators import likeness as lk, pages as pg, screens as sc, vocabulary as vo
 from quillboard.plans.oracles import F as FC, NORM
 from quillboard.plans.registry import query
 from quillboard.sources.tables import forecasts, read
@@ -89,5 +88,5 @@ def misheard_names(spark, d):
     """Capitalised words of documents that are their source's name misheard, here its first capitalised word of five letters or more."""
     docs = read(spark, d, "documents").select("doc_id", "source", "text")
     names = docs.groupBy("source").agg(F.min_by(F.regexp_extract("text", r"\b([A-Z][a-z]{4,})\b", 1), "doc_id").alias("anchor"))
-    known = read(spark, d, "conversations").select(F.explode(tx.tokens(F.col("text"))).alias("word"))
+    known = vo.vocabulary(read(spark, d, "conversations").select("text"), vo.tokens)
     return lk.misheard(docs, "doc_id", docs.select("doc_id", "source").join(names, "source"), known)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from quillboard.functions import dates as dt, text as tx
-from quillboard.operators import blinding as bl, likeness as lk, rater as rt, screens as sc, transcript as tr
+from quillboard.operators import blinding as bl, likeness as lk, rater as rt, screens as sc, transcript as tr, vocabulary as vo
 from quillboard.operators.rater import r6
 from quillboard.plans.oracles import F as FC, G
 from quillboard.plans.registry import query
@@ -287,7 +287,7 @@ def blinded_texts(spark, d):
     two = F.regexp_extract("text", r"([A-Za-z]{2,}\s+[A-Za-z]{2,})", 1)
     people = docs.groupBy(F.col("source").alias("subject")).agg(F.min_by(two, "doc_id").alias("name"), F.max_by(two, "doc_id").alias("other"))
     people = people.select("subject", "name", F.array(F.substring_index("other", " ", -1)).alias("handles"), F.array("other").alias("affiliations"), F.array(F.concat("name", F.lit(" Show"))).alias("aliases"))
-    known = read(spark, d, "conversations").select(F.explode(tx.tokens(F.col("text"))).alias("word"))
+    known = vo.vocabulary(read(spark, d, "conversations").select("text"), vo.tokens)
     texts = docs.select(F.col("doc_id").alias("key"), F.col("source").alias("subject"), "text")
     anchors = texts.select("key", "subject").join(people, "subject").select("key", F.explode(F.split("name", r"\s+")).alias("anchor"))
     heard = lk.misheard(texts, "key", anchors, known).select("key", "word", F.lit("subject").alias("role"))

@@ -272,6 +272,22 @@ def test_misheard_names(spark):
     assert {(r["id"], r["word"], r["anchor"]) for r in lk.misheard(texts, "id", anchors, known).collect()} == {(1, "curran", "Kurian"), (1, "kurion", "Kurian")}
 
 
+def test_heard_words_as_java(spark):
+    import random
+
+    from quillboard.operators import likeness as lk, vocabulary as vo
+
+    r = random.Random(3)
+    letters = "abcDEFxyz'\u2019--__09 \u0301\u0308\u00e9\u00b2\u00bd\u00aa\u0416\u65e5\u2014.,"
+    texts = ["", None, *("".join(r.choices(letters, k=r.randint(1, 40))) for _ in range(3000))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    java = rows.select("k", F.explode(F.regexp_extract_all("text", F.lit("\\b([A-Za-z][A-Za-z'\u2019-]{3,})\\b"), 1)).alias("raw")).withColumn("word", F.lower("raw"))
+    want = java.groupBy("k", "word").agg(F.count("*").alias("n"), F.bool_or(F.col("raw").rlike("^[A-Z]")).alias("capital"))
+    assert sorted(map(tuple, vo.counted(rows, "k", lk.heard_words).collect())) == sorted(map(tuple, want.collect()))
+    plain = want.where(F.col("capital") & ~F.col("word").rlike("['\u2019]")).select("word").distinct()
+    assert sorted(map(tuple, vo.vocabulary(rows.select("text"), lk.capitals).collect())) == sorted(map(tuple, plain.collect()))
+
+
 def test_likeness_as_difflib(spark):
     import random
     from difflib import SequenceMatcher
