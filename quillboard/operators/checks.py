@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillboard.operators import deadlines as dl
+from quillboard.operators.vocabulary import parts
 
 #: Fixed value: words that stand for a year that nobody named.
 PLACEHOLDER = r"\b(?:statement\s+year|the\s+(?:calendar\s+)?year\s+(?:following|after|of)\s+the\s+(?:recording|statement))\b"
@@ -75,8 +76,10 @@ def year_evidence(rows: DataFrame, key: str) -> DataFrame:
 def in_dictionary(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(word, known): as it stands, or without -ies (for y), -es or -s."""
     forms = F.array_compact(F.array(F.col("word"), F.when(F.col("word").endswith("ies"), F.concat(F.expr("left(word, length(word) - 3)"), F.lit("y"))), F.when(F.col("word").endswith("es"), F.expr("left(word, length(word) - 2)")), F.when(F.col("word").endswith("s"), F.expr("left(word, length(word) - 1)"))))
-    hits = words.select("word", F.explode(forms).alias("form")).join(dictionary.select(F.col("word").alias("form")).distinct(), "form", "left_semi").select("word").distinct()
-    return words.select("word").distinct().join(hits.withColumn("known", F.lit(True)), "word", "left").fillna(False, ["known"])
+    n = parts(words.sparkSession)
+    spelt = words.select("word").distinct().select("word", F.explode(forms).alias("form")).repartition(n, "form")
+    told = spelt.join(dictionary.select(F.col("word").alias("form")).distinct().withColumn("hit", F.lit(True)), "form", "left")
+    return told.select("word", "hit").repartition(n, "word").groupBy("word").agg(F.coalesce(F.bool_or("hit"), F.lit(False)).alias("known"))
 
 
 def schema_errors(value: Column, schema: dict, path: str = "$") -> Column:

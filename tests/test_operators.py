@@ -288,6 +288,18 @@ def test_heard_words_as_java(spark):
     assert sorted(map(tuple, vo.vocabulary(rows.select("text"), lk.capitals).collect())) == sorted(map(tuple, plain.collect()))
 
 
+def test_tokens_as_column(spark):
+    from quillboard.operators import checks as ck, vocabulary as vo
+
+    rows = spark.createDataFrame([("It's \u212aELVIN \u0130s o'clock\nX9y flies",), (None,), ("",), ("it's \u017fo boxes",)], "text string")
+    want = rows.select(F.explode(tx.tokens(F.col("text"))).alias("word")).distinct()
+    words = vo.vocabulary(rows, vo.tokens)
+    assert sorted(map(tuple, words.collect())) == sorted(map(tuple, want.collect()))
+    known = ck.in_dictionary(words, spark.createDataFrame([("fly",), ("box",), ("box",), ("x",)], "word string"))
+    assert {r["word"] for r in known.collect() if r["known"]} == {"flies", "boxes", "x"} and known.count() == words.count()
+    assert known.rdd.getNumPartitions() == vo.parts(spark)  # not merged by their few bytes
+
+
 def test_likeness_as_difflib(spark):
     import random
     from difflib import SequenceMatcher
