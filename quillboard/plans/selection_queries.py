@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from quillboard.functions import text as tx
 from quillboard.operators import rater as rt, selection as se
-from quillboard.operators.rater import exact_mean, r6
+from quillboard.operators.rater import exact_mean, means_in_order, r6
 from quillboard.plans.oracles import F as FC, G
 from quillboard.plans.registry import query
 from quillboard.sources.tables import forecasts, ratings, read
@@ -99,7 +99,8 @@ def person_rows(spark, d):
 )
 def default_order(spark, d):
     """Scored persons from the best mean, then the others by name."""
-    s = forecasts(spark, d).groupBy("person").agg(exact_mean(F.when(F.col("kind") != "error", F.col("p"))).alias("mean_p"), F.count_if(F.col("kind") == "purchase").alias("hits"))
+    s = means_in_order(forecasts(spark, d), "person", ["id", "ts", "p"], F.when(F.col("kind") != "error", F.col("p")), hits=F.count_if(F.col("kind") == "purchase"))
+    s = s.select("person", F.col("mean").alias("mean_p"), "hits")
     return s.withColumn("place", F.row_number().over(Window.orderBy(F.col("hits") == 0, F.when(F.col("hits") > 0, F.col("mean_p")).desc(), "person")))  # a row for each person
 
 

@@ -1,6 +1,7 @@
 """Results that must not hang on regular-expression dialects, on null rows or on the order of sums."""
 
 import hashlib
+import math
 
 import duckdb
 import pytest
@@ -39,6 +40,28 @@ def test_exact_mean_at_a_half(spark):
     assert rows.select(rt.exact_mean(F.col("x")).alias("m")).first()["m"] == 0.10001
 
 
+@pytest.mark.parametrize("name", ["default_order"])
+def test_means_at_a_half_are_those_of_the_sql(spark, name):
+    """At sf0.01 some means are halves of the sixth place: there the SQL's sum in the order of its rows decides."""
+    d = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{d}/events.parquet'")
+    columns = [c[0] for c in con.execute(f"describe {ORACLES[name]}").fetchall()]
+    assert sorted(map(tuple, QUERIES[name](spark, d).select(*columns).collect())) == sorted(con.execute(ORACLES[name]).fetchall())
+
+
+def test_means_in_order(spark):
+    """The sum goes by the order, not by partitions; nulls count for nothing and a group of nulls has no mean."""
+    values = [0.1 * k for k in range(1, 400)]
+    rows = spark.createDataFrame([("a", k, v if k % 5 else None) for k, v in enumerate(values)] + [("b", 1, None)], "g string, k int, v double").repartition(7)
+    got = {r["g"]: (r["mean"], r["n"]) for r in rt.means_in_order(rows, "g", ["k"], F.col("v"), n=F.count("*")).collect()}
+    kept = [v for k, v in enumerate(values) if k % 5]
+    total = 0.0
+    for v in kept:
+        total += v
+    assert got == {"a": (math.floor(total / len(kept) * 1e6 + 0.5) / 1e6, 399), "b": (None, 1)}
+
+
 def test_digests_take_every_line(spark, tables):
     docs = [(k, None if k == 3 else f"t{k}") for k in range(600)]
     d, con = tables(documents=(docs, "doc_id long, text string"))
