@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from quillboard.functions import text as tx
 from quillboard.operators import rater as rt, selection as se
-from quillboard.operators.rater import exact_mean, means_in_order, r6
+from quillboard.operators.rater import means_in_order, r6
 from quillboard.plans.oracles import F as FC, G
 from quillboard.plans.registry import query
 from quillboard.sources.tables import forecasts, ratings, read
@@ -89,7 +89,8 @@ def primary_market(spark, d):
 )
 def person_rows(spark, d):
     """Persons of at least four forecasts, one of them due, in the order of the page."""
-    s = forecasts(spark, d).groupBy("person").agg(F.count("*").alias("n"), F.count_if(F.col("deadline") <= F.lit("2024-02-15").cast("date")).alias("due"), exact_mean(F.col("p")).alias("mean_p")).where("n >= 4 and due >= 1")
+    s = means_in_order(forecasts(spark, d), "person", ["id", "ts", "p"], F.col("p"), n=F.count("*"), due=F.count_if(F.col("deadline") <= F.lit("2024-02-15").cast("date")))
+    s = s.where("n >= 4 and due >= 1").select("person", "n", "due", F.col("mean").alias("mean_p"))
     return s.withColumn("place", F.row_number().over(Window.orderBy(F.col("due") == 0, F.desc("mean_p"), "person")))  # a row for each person
 
 

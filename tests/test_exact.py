@@ -40,7 +40,7 @@ def test_exact_mean_at_a_half(spark):
     assert rows.select(rt.exact_mean(F.col("x")).alias("m")).first()["m"] == 0.10001
 
 
-@pytest.mark.parametrize("name", ["default_order"])
+@pytest.mark.parametrize("name", ["default_order", "person_rows"])
 def test_means_at_a_half_are_those_of_the_sql(spark, name):
     """At sf0.01 some means are halves of the sixth place: there the SQL's sum in the order of its rows decides."""
     d = "/root/testdata/sf0.01"
