@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quillboard.functions import dates as dt, text as tx
 from quillboard.operators import rater as rt, transcript as tr
+from quillboard.plans import catalog
 from quillboard.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -180,3 +181,30 @@ def test_copies_are_dealt_packed(spark):
     n = sum(x["f"] for x in dealt)
     assert 0.33 * 40_000 < n < 0.37 * 40_000 and len(dealt) <= 1 << cp.PART_BITS
     assert all((x["h"], x["s"]) == (6 * x["f"], 8 * x["f"]) for x in dealt)
+
+
+def test_copy_sweep_drops_equal_copies(spark, tmp_path):
+    """Of equal texts only the best stays, also where it is not the least id, and near copies are held against it."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    base = [[word() for _ in range(60)] for _ in range(6)]
+    docs, labels = [], []
+    for k in range(90):
+        w = list(base[k % 6])
+        if k % 4 == 3:
+            w = w[: r.choice((25, 40))] + [word() for _ in range(r.choice((5, 40)))]
+        text = " ".join(w if k % 9 else w[:3]) + " [1:2]" * (k % 5 if k > 30 else 0)
+        docs.append((k, f"s{k % 2}" if k != 50 else None, text))
+        labels += [(k, k // 40)] * (k % 7 == 0)
+    spark.createDataFrame(docs, "doc_id long, source string, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {x["doc_id"]: x["kept"] for x in catalog.QUERIES["copy_sweep"](spark, str(tmp_path)).collect()}
+
+    made, want, kept = dict(labels), {}, []
+    sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, _, t in docs for w in [re.findall("[a-z']+", t)]}
+    better = sorted(docs, key=lambda x: (-made.get(x[0], 0), -x[2].count("["), -len(re.findall("[a-z']+", x[2])), x[0]))
+    for k, source, _ in better:
+        s = sets[k]
+        want[k] = not any(source and source == o and s and sets[q] and len(s & sets[q]) >= 0.4 * min(len(s), len(sets[q])) for q, o in kept)
+        kept += [(k, source)] * want[k]
+    assert got == want and sum(want.values()) < 45
