@@ -208,3 +208,24 @@ def test_copy_sweep_drops_equal_copies(spark, tmp_path):
         want[k] = not any(source and source == o and s and sets[q] and len(s & sets[q]) >= 0.4 * min(len(s), len(sets[q])) for q, o in kept)
         kept += [(k, source)] * want[k]
     assert got == want and sum(want.values()) < 45
+
+
+def test_pairs_leave_a_block_once(spark, monkeypatch):
+    """A large group of near copies: a shuffled row for each set, not for each pair, in small blocks, groups and parts as well."""
+    from quillboard.operators import copies as cp
+
+    monkeypatch.setattr(cp, "SETS", 7), monkeypatch.setattr(cp, "GROUP", 900), monkeypatch.setattr(cp, "PAIRS", 50), monkeypatch.setattr(cp, "BYTES", 500)
+    near, real = [], cp.stored
+    monkeypatch.setattr(cp, "stored", lambda rows, name: near.append(real(rows, name)) or near[-1] if name == "near" else real(rows, name))
+    r = random.Random(3)
+    base, texts = [f"w{k}" for k in range(80)], {}
+    for k in range(70):
+        texts[k] = list(base)
+        for _ in range(2):
+            texts[k][r.randrange(80)] = f"x{r.randrange(9999)}"
+    rows = spark.createDataFrame([(k, "g", " ".join(w)) for k, w in texts.items()], "doc int, s string, text string").repartition(5)
+    got = {(x["doc_a"], x["doc_b"]): x["common"] for x in tr.containment_pairs(rows, "doc", "s", F.split("text", " ")).collect()}
+    sets = {k: ("g", frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4))) for k, w in texts.items()}
+    want = _shares(sets, 0.75)
+    blocks = 10
+    assert got == want and len(want) > 1000 and near[0].count() <= 70 * (blocks + 1)
