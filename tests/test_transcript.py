@@ -229,3 +229,17 @@ def test_pairs_leave_a_block_once(spark, monkeypatch):
     want = _shares(sets, 0.75)
     blocks = 10
     assert got == want and len(want) > 1000 and near[0].count() <= 70 * (blocks + 1)
+
+
+def test_names_of_a_set_are_dealt_together(spark):
+    """In few parts each set's name stands in one run of a packed row, so that it is compressed."""
+    from quillboard.operators import copies as cp
+
+    rows = spark.createDataFrame([(k, "g", " ".join(f"w{k}x{i}" for i in range(1004))) for k in range(10)], "doc int, s string, text string").coalesce(1)
+    sets = cp.shingle_hashes(rows, "doc", "s", F.split("text", " "), 5)
+    bits = cp.part_bits(10_000)
+    dealt = cp._dealt(sets, cp.Order(0.15, np.zeros(0, np.uint64), np.zeros((1 << cp.MAP_BITS) // 8, np.uint8)), bits).collect()
+    names = [np.frombuffer(r["s"], np.int64) for r in dealt]
+    assert len(dealt) <= 32 == 1 << bits and sum(s.size for s in names) > 9000
+    assert all((s[1:] != s[:-1]).sum() + 1 == np.unique(s).size for s in names)
+    assert (cp.part_bits(0), cp.part_bits(1 << 31), cp.part_bits(1 << 50)) == (5, 7, cp.PART_BITS)
